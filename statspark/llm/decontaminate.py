@@ -6,6 +6,7 @@ verified word by word in a join with the windows themselves, and hit spans or do
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +54,16 @@ def _found(words: Column, size: int, first: list[str], hashes: list[int]) -> Col
     )
 
 
+def _window_at(words: Column, size: int, hashed: bool = False) -> Callable[[Column], Column]:
+    def at(i: Column) -> Column:
+        window = F.slice(words, i + 1, size)
+        return F.struct(
+            i.alias("place"), F.lit(size).alias("size"), F.xxhash64(window).alias("h") if hashed else window.alias("window")
+        )
+
+    return at
+
+
 def hits(
     docs: DataFrame,
     items: DataFrame,
@@ -75,9 +86,7 @@ def hits(
                     sorted({r["first"] for r in sample if r["size"] == size}),
                     sorted({r["h"] for r in sample if r["size"] == size}),
                 ),
-                lambda i, size=size: F.struct(
-                    i.alias("place"), F.lit(size).alias("size"), F.slice(F.col("words"), i + 1, size).alias("window")
-                ),
+                _window_at(F.col("words"), size),
             )
             for size in sorted({r["size"] for r in sample})
         ]
@@ -104,11 +113,7 @@ def hits(
         [
             F.transform(
                 _starts(F.col("words"), size),
-                lambda i, size=size: F.struct(
-                    i.alias("place"),
-                    F.lit(size).alias("size"),
-                    F.xxhash64(F.slice(F.col("words"), i + 1, size)).alias("h"),
-                ),
+                _window_at(F.col("words"), size, hashed=True),
             )
             for size in sizes
         ],

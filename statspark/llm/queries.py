@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup
+from . import decontaminate, exact_dedup, ngram_join
 from .shared import table
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contamination(docs, items).drop("spans")
@@ -21,13 +25,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_benchmark_decontamination": OP5, "op9_exact_dedup": OP9}
+    return {"op4_ngram_jaccard_join": OP4, "op5_benchmark_decontamination": OP5, "op9_exact_dedup": OP9}
 
 
 _WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -54,3 +59,18 @@ select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition b
  doc_id = first_value(doc_id) over w as kept, sha256(norm) as text_sha256
 from t window w as (partition by norm order by n desc, doc_id rows between unbounded preceding and unbounded following)
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4 = rf"""
+with recursive doc as (select doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+ shingle as (select distinct doc_id, array_to_string(list_slice(w, i, i + 3), ' ') as s
+  from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) as i from doc where len(w) > 0)),
+ size as (select doc_id, count(*) as n from shingle group by doc_id),
+ common as (select a.doc_id as a, b.doc_id as b, count(*) as i from shingle a join shingle b on a.s = b.s and a.doc_id < b.doc_id group by all),
+ link as (select a, b from common join size x on x.doc_id = a join size y on y.doc_id = b where 100 * i >= 85 * (x.n + y.n - i)),
+ side as (select a, b from link union all select b, a from link),
+ reach as (select doc_id as a, doc_id as b from doc union select reach.a, side.b from reach join side on side.a = reach.b)
+select doc.doc_id, coalesce(n, 0) as n_shingles, m as component_id
+from doc left join size on size.doc_id = doc.doc_id join (select a, min(b) as m from reach group by a) r on r.a = doc.doc_id
+"""

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import materialised
+from .shared import in_batches, materialised
 
 WORDS, PERCENT = 4, 85
 #: Rounds in which a bucket's sets are compared with one hub; the pairs left over are then compared directly.
@@ -171,8 +171,7 @@ class _Verifier:
         keys = materialised(self.holders.join(wanted, "s", "left_semi").select(F.col("doc_id").alias("_id")))
         small = keys.count() <= KEY_LIMIT
         docs = self.docs.join(F.broadcast(keys) if small else keys, F.col("doc_id") == F.col("_id"), "left_semi")
-        sets = docs.mapInArrow(
-            _sets("doc_id", "text", self.words, "shingles"), "s long, n int, shingles array<long>"
+        sets = in_batches(docs, _sets("doc_id", "text", self.words, "shingles"), "s long, n int, shingles array<long>"
         )
         sides = [sets.select(F.col("s").alias(x), F.col("n").alias(f"n{x}"), F.col("shingles").alias(f"{x}s")) for x in "ab"]
         both = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("common", F.size(F.array_intersect("as", "bs")))
@@ -195,12 +194,11 @@ def jaccard_components(
         F.col(text).alias("text"),
     )
     held = plain.select("doc_id", "text")
-    sized = plain.select(F.struct("doc_id", "own_id").alias("id"), "text").mapInArrow(
-        _sets("id", "text", words, "size"), "doc_id struct<doc_id:long,own_id:long>, n long, s long"
+    sized = in_batches(plain.select(F.struct("doc_id", "own_id").alias("id"), "text"), _sets("id", "text", words, "size"), "doc_id struct<doc_id:long,own_id:long>, n long, s long"
     )
     each = materialised(sized.select("doc_id.doc_id", "doc_id.own_id", "n", "s"))
     verifier = _Verifier(held, each, words, percent)
-    rows = held.mapInArrow(_sets("doc_id", "text", words, "signatures", percent), "sig long, s long, n int")
+    rows = in_batches(held, _sets("doc_id", "text", words, "signatures", percent), "sig long, s long, n int")
     order = Window.partitionBy("sig").orderBy("s")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = rows.select(

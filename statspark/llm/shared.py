@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,16 +50,20 @@ def plain_words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def map_rows(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
+def in_batches(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """Run ``function`` over each Arrow batch; it yields any number of batches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from function(batch)
-
-    return df.mapInArrow(run, schema)
+    """``mapInArrow`` for functions of this package, which the workers get with the job if they lack it."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_statspark_shipped", False):
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="statspark-")) / "statspark.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in root.rglob("*.py"):
+                z.write(source, f"{root.name}/{source.relative_to(root)}")
+        context.addPyFile(str(archive))
+        context._statspark_shipped = True
+    return df.mapInArrow(function, schema)
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int) -> Iterator[pa.RecordBatch]:

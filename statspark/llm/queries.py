@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_dedup, decontaminate, exact_dedup, ngram_join, secrets, suffix_dedup
+from . import chunk_dedup, decontaminate, exact_dedup, licenses, ngram_join, secrets, suffix_dedup
 from .shared import table
 
 
@@ -24,6 +24,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(docs, items).drop("spans")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licences(table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
+        "op6_license_scan": op6_license_scan,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialised
+from .shared import materialised, without_rows
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: Chunk sizes in characters, and the place after which a chunk ends once it has the least size.
@@ -83,6 +83,6 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_groups(docs, key, text).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns; rows without an id stay, as nothing can name them."""
+    gone = exact_groups(docs, key, text).where(~F.col("kept")).select("doc_id")
+    return without_rows(docs, gone, key)

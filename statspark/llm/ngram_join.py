@@ -20,13 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import in_batches, materialised
+from .shared import bounded, in_batches, materialised, without_rows
 
 WORDS, PERCENT = 4, 85
 #: Rounds in which a bucket's sets are compared with one hub; the pairs left over are then compared directly.
 HUB_ROUNDS = 4
-#: Up to so many keys (8 bytes each) are broadcast to pick documents; beyond, they are joined by shuffling.
-KEY_LIMIT = 1_000_000
 #: Words whose hashes a task remembers.
 CACHE = 200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -168,9 +166,8 @@ class _Verifier:
         """The pairs (a, b) that are similar enough."""
         pairs = materialised(pairs.distinct())
         wanted = pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s"))).distinct()
-        keys = materialised(self.holders.join(wanted, "s", "left_semi").select(F.col("doc_id").alias("_id")))
-        small = keys.count() <= KEY_LIMIT
-        docs = self.docs.join(F.broadcast(keys) if small else keys, F.col("doc_id") == F.col("_id"), "left_semi")
+        keys = bounded(self.holders.join(wanted, "s", "left_semi").select(F.col("doc_id").alias("_id")))
+        docs = self.docs.join(keys, F.col("doc_id") == F.col("_id"), "left_semi")
         sets = in_batches(docs, _sets("doc_id", "text", self.words, "shingles"), "s long, n int, shingles array<long>"
         )
         sides = [sets.select(F.col("s").alias(x), F.col("n").alias(f"n{x}"), F.col("shingles").alias(f"{x}s")) for x in "ab"]
@@ -250,4 +247,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     Rows without an id and texts without words stay.
     """
     gone = jaccard_components(docs, key, text, words, percent).where("doc_id <> component_id")
-    return docs.join(gone.select(F.col("doc_id").alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
+    return without_rows(docs, gone.select("doc_id"), key)

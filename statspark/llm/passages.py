@@ -9,12 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import in_batches, materialised
+from .shared import bounded, in_batches, materialised
 
 #: Whole words in the shortest match that is kept.
 LEAST_WORDS = 50
-#: Up to so many document ids (8 bytes each) are broadcast to pick texts; beyond, they are joined by shuffling.
-KEY_LIMIT = 1_000_000
 SCHEMA = "doc_id long, start int, end int, n_words int, keep_doc_id long, keep_start int"
 
 
@@ -82,9 +80,8 @@ def passages(docs: DataFrame, pairs: DataFrame, least_words: int = LEAST_WORDS)
     Every pair's texts meet once, by two joins; only documents of pairs are moved.
     """
     pairs = materialised(pairs)
-    ids = materialised(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    few = ids.count() <= KEY_LIMIT
-    wanted = docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    ids = bounded(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
+    wanted = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
     texts = wanted.dropDuplicates(["doc_id"])
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_dedup, decontaminate, exact_dedup, licenses, ngram_join, secrets, suffix_dedup
+from . import chunk_dedup, decontaminate, exact_dedup, language_id, licenses, ngram_join, secrets, suffix_dedup
 from .shared import table
 
 
@@ -28,6 +28,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licences(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = language_id.document_rows(table(spark, sf_dir, "documents"))
+    return language_id.identified(docs.unionByName(language_id.page_rows(table(spark, sf_dir, "pages"))))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_license_scan": op6_license_scan,
+        "op7_language_id": op7_language_id,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,

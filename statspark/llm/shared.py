@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,14 +65,17 @@ def in_batches(
     return df.mapInArrow(function, schema)
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds about ``most`` bytes of text, or one row."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
-    start, held = 0, 0
-    for i, n in enumerate(lengths):
-        if held and held + n > most:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += n
-    if start < len(lengths):
-        yield batch.slice(start)
+#: Up to so many ids (8 bytes each) are broadcast to pick rows; beyond, they are joined by shuffling.
+KEY_LIMIT = 1_000_000
+
+
+def bounded(keys: DataFrame) -> DataFrame:
+    """Keys, written once, with a hint to broadcast them if they are few enough for it."""
+    keys = materialised(keys)
+    return F.broadcast(keys) if keys.count() <= KEY_LIMIT else keys
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is not in the one column of ``gone``; nulls match nothing."""
+    ids = bounded(gone.select(F.col(gone.columns[0]).alias("_gone")).where("_gone is not null").distinct())
+    return docs.join(ids, F.col(key) == F.col("_gone"), "left_anti")

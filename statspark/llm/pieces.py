@@ -31,10 +31,16 @@ SAMPLES = 2
 PLACES = 400_000
 #: Other segmentations of a word that have less than this share of its mass together are left out of the search.
 LEAST = 1e-9
+#: Characters of texts whose words are built together.
+TOGETHER = 200_000
 SPACE, LITERAL = "▁", "\ud800"  # a lone surrogate, which no text holds, stands for a literal U+2581
 SCHEMA = "doc_id long, sample int, n_pieces int, log_prob double, value double, inclusion double, round_trip boolean, ids array<int>"
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(64)]
+
+
 @dataclass
 class Vocabulary:
     """Pieces by text, log-probability and bytes by number, and numbers of the byte pieces."""
@@ -84,79 +90,118 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.log = vocabulary.log_prob.tolist()
+        by_size: dict[int, list[tuple[str, int]]] = {}
+        for piece, i in vocabulary.number.items():
+            by_size.setdefault(len(piece), []).append((piece, i))
+        self.known = {}
+        for size, pieces in by_size.items():
+            codes = _codes("".join(p for p, _ in pieces)).reshape(-1, size)
+            hashes = sum(codes[:, size - 1 - i] * _POWERS[i] for i in range(size))
+            order = np.argsort(hashes)
+            self.known[size] = hashes[order], np.array([i for _, i in pieces], np.int32)[order]
         self.clear()
 
     def clear(self) -> None:
-        self.of: dict[str, tuple[int, int, float]] = {}
+        self.of: dict[str, int] = {}
         self.last = 0
+        self.base, self.size, self.total = array("q"), array("q"), array("d")
         self.bound, self.edge_log, self.piece, self.length = array("d"), array("d"), array("i"), array("i")
 
-    def get(self, word: str) -> tuple[int, int, float]:
-        """Base, characters and log of the total mass."""
-        known = self.of.get(word)
-        if known is None:
-            known = self.of[word] = self._add(word)
-        return known
-
-    def _add(self, word: str) -> tuple[int, int, float]:
-        base, n, number, log = self.last, len(word), self.v.number, self.log
-        mass = [0.0] * (n + 1)  # log of the total mass of the pieces' products up to a place
-        for j in range(1, n + 1):
-            edges = []
-            for size in range(1, min(j, self.v.longest) + 1):
-                i = number.get(word[j - size : j])
-                if i is not None:
-                    edges.append((size, i, log[i]))
-            if not edges or edges[0][0] > 1:  # the character is no piece: its bytes are
-                raw = _bytes_of(word[j - 1])
-                one = self.v.byte[raw[0]] if len(raw) == 1 else -1 - ord(word[j - 1])
-                edges.append((1, one, sum(log[self.v.byte[b]] for b in raw)))
-            weights = [mass[j - size] + value for size, _, value in edges]
-            top = max(weights)
-            shares = [math.exp(w - top) for w in weights]
-            total = sum(shares)
-            mass[j] = top + math.log(total)
-            so_far = 0.0
-            for (size, i, value), share in zip(edges, shares, strict=True):
-                so_far += share / total
-                self.bound.append(base + j + min(so_far, 1.0))
-                self.edge_log.append(value)
-                self.piece.append(i)
-                self.length.append(size)
-            self.bound[-1] = base + j + 1.0
-        self.last = base + n
-        return base, n, mass[n]
-
-    def draw(self, base: np.ndarray, n: np.ndarray, total: np.ndarray, rng: np.random.Generator):
-        """One segmentation of each word: its log-probability, a number that tells it, its pieces, their ends."""
+    def add(self, words: set[str]) -> None:
+        """Build the lattices of words, all at once."""
+        new = [w for w in words if w not in self.of]
+        if self.last > PLACES:
+            self.clear()
+            new = list(words)
+        if not new:
+            return
+        n = np.array([len(w) for w in new])
+        codes, total, longest = _codes("".join(new)), int(n.sum()), self.v.longest
+        ends = np.cumsum(n)
+        j = np.arange(total) - np.repeat(ends - n, n) + 1  # place in the word
+        piece, log = np.full((total, longest), -1, np.int32), np.full((total, longest), -np.inf)
+        h = np.zeros(total, np.uint64)
+        for size in range(1, min(longest, total) + 1):
+            h[size - 1 :] += codes[: total - size + 1] * _POWERS[size - 1]
+            if size in self.known:
+                at = np.flatnonzero(j >= size)
+                hashes, numbers = self.known[size]
+                i = np.minimum(np.searchsorted(hashes, h[at]), len(hashes) - 1)
+                hit = hashes[i] == h[at]
+                piece[at[hit], size - 1] = numbers[i[hit]]
+                log[at[hit], size - 1] = self.v.log_prob[numbers[i[hit]]]
+        bare = np.flatnonzero(piece[:, 0] < 0)  # characters that are no pieces: their bytes are
+        code = codes[bare].astype(np.int64)
+        n_bytes = np.where(code == ord(LITERAL), 3, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
+        piece[bare, 0] = np.where(n_bytes == 1, np.array(self.v.byte)[np.minimum(code, 127)], -1 - code)
+        log[bare, 0] = n_bytes * self.v.log_prob[self.v.byte[0]]
+        mass, share = np.zeros(total), np.zeros((total, longest))
+        order = np.argsort(j, kind="stable")
+        borders = np.concatenate(([0], np.cumsum(np.bincount(j)[1:])))
+        for place in range(1, len(borders)):
+            at, width = order[borders[place - 1] : borders[place]], min(place, longest)
+            before = mass[at[:, None] - np.arange(1, width + 1)]
+            if width == place:
+                before[:, -1] = 0.0
+            value = log[at, :width] + before
+            top = value.max(axis=1)
+            value = np.exp(value - top[:, None])
+            sums = value.sum(axis=1)
+            mass[at] = top + np.log(sums)
+            share[at, :width] = value
+        share = np.cumsum(share, axis=1)
+        share /= share[:, -1:]
+        where = np.nonzero(np.isfinite(log))
+        bound = share[where] + (self.last + 1 + where[0])
+        for store, values in (
+            (self.bound, bound),
+            (self.edge_log, log[where]),
+            (self.piece, piece[where]),
+            (self.length, (where[1] + 1).astype(np.int32)),
+            (self.base, self.last + ends - n),
+            (self.size, n),
+            (self.total, mass[ends - 1]),
+        ):
+            store.frombytes(values.tobytes())
+        self.of.update(zip(new, range(len(self.of), len(self.of) + len(new)), strict=True))
+        self.last += total
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.of.__getitem__, words), np.int64, len(words))
+
+    def draw(self, rows: np.ndarray, seeds: np.ndarray):
+        """One segmentation of each word: its log-probability, a number that tells it, its pieces, their ends.
+
+        The random numbers depend on the words' seeds alone.
+        """
         bound, edge_log = np.frombuffer(self.bound), np.frombuffer(self.edge_log)
         piece, length = np.frombuffer(self.piece, np.int32), np.frombuffer(self.length, np.int32)
-        m = len(base)
-        log, sign, count = -total, np.zeros(m, np.uint64), np.zeros(m, np.int64)
-        alive, at, steps = np.arange(m), base + n, []
+        m = len(rows)
+        base = np.frombuffer(self.base, np.int64)[rows]
+        log, sign, count = -np.frombuffer(self.total)[rows], np.zeros(m, np.uint64), np.zeros(m, np.int64)
+        alive, at, left, steps = np.arange(m), base + np.frombuffer(self.size, np.int64)[rows], base, []
         while len(alive):
-            edge = np.searchsorted(bound, at + 1.0 - rng.random(len(alive)))
+            noise = _mixed(seeds + np.uint64((len(steps) + 1) * int(_STEP) % (1 << 64))) >> np.uint64(11)
+            edge = np.searchsorted(bound, at + 1.0 - noise * 2.0**-53)
             steps.append((alive, piece[edge]))
             log[alive] += edge_log[edge]
             at = at - length[edge]
-            rest = at - base[alive]
-            sign[alive] ^= _mixed(rest)
+            sign[alive] ^= _mixed(at - left)
             count[alive] += 1
-            more = rest > 0
-            alive, at = alive[more], at[more]
+            more = at > left
+            alive, at, left, seeds = alive[more], at[more], left[more], seeds[more]
         ends = np.cumsum(count)
         ids = np.empty(ends[-1] if m else 0, np.int32)
         for step, (who, number) in enumerate(steps):
             ids[ends[who] - 1 - step] = number
         return log, sign, ids, ends
 
-
-    def draw_other(self, base: int, n: int, total: float, own: list[int], rng: np.random.Generator) -> tuple[float, int, list[int]]:
+    def draw_other(self, row: int, own: list[int], rng: np.random.Generator) -> tuple[float, int, list[int]]:
         """A segmentation of one word that is not ``own``: its log-probability, the number that tells it, its pieces.
 
         From the end on it follows ``own`` up to a drawn place, leaves it there by another edge, and goes on freely.
         """
+        base, n, total = self.base[row], self.size[row], self.total[row]
         places, at = [], base + n
         for number in reversed(own):
             low, high = bisect_right(self.bound, at), bisect_right(self.bound, at + 1.0)
@@ -196,6 +241,10 @@ def _bytes_of(character: str) -> bytes:
     return SPACE.encode() if character == LITERAL else character.encode("utf-8", "surrogatepass")
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -231,42 +280,79 @@ def _truncated(mass: np.ndarray, value: float, rng: np.random.Generator) -> np.n
     return -np.logaddexp(-value, noise - mass)
 
 
-def top_k(words: list[str], lattices: Lattices, k: int, rng: np.random.Generator) -> tuple[list[Path], float]:
-    """The k segmentations with the greatest perturbed log-probability, in order, and the next one's value."""
-    if lattices.last > PLACES:
-        lattices.clear()
-    known = [lattices.get(w) for w in words]
-    base, n = np.array([x[0] for x in known], np.int64), np.array([x[1] for x in known], np.int64)
-    total = np.array([x[2] for x in known])
-    value = -math.log(rng.exponential() + 1e-300)
-    log, sign, ids, ends = lattices.draw(base, n, total, rng)
-    paths = [Path(log, ids, ends, value, _bounds(log, value, rng), sign, {})]
-    while True:
-        tops = [float(p.bounds.max()) if len(p.bounds) else -math.inf for p in paths]
-        from_ = paths[int(np.argmax(tops))]
-        value = max(tops)
-        if len(paths) == k or value == -math.inf:
-            return paths, value
-        j = int(np.argmax(from_.bounds))
-        seen, spent = from_.out.get(j, ({int(from_.sign[j])}, math.exp(from_.log[j])))
-        own = from_.ids[int(from_.ends[j - 1]) if j else 0 : int(from_.ends[j])].tolist()
-        first = (int(base[j]), int(n[j]), float(total[j]))
+class Search:
+    """The search over one text's segmentations; the words that it wants drawn are drawn for many texts at once."""
+
+    def __init__(self, words: list[str], key: object, seed: int, lattices: Lattices):
+        self.seed = xxhash.xxh3_64_intdigest(f"{seed}:{key}")
+        self.rng = np.random.Generator(np.random.SFC64(self.seed))
+        self.rows, self.lattices = lattices.rows(words), lattices
+        self.paths: list[Path] = []
+        self.value = -math.log(self.rng.exponential() + 1e-300)  # of the next path
+        self.start, self.kept = 0, None
+
+    def wanted(self) -> tuple[np.ndarray, np.ndarray]:
+        """Words to draw for the next path, and their seeds."""
+        rows = self.rows[self.start :]
+        first = np.uint64((self.seed + len(self.paths) * 0xD1B54A32D192ED03) % (1 << 64))
+        return rows, _mixed(np.arange(self.start, self.start + len(rows), dtype=np.uint64) * _STEP + first)
+
+    def drawn(self, log: np.ndarray, sign: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Take the drawn words as the rest of the next path, and choose the region of the one after it."""
+        if self.kept is not None:
+            log0, sign0, ids0, ends0 = self.kept
+            log, sign = np.concatenate((log0, log)), np.concatenate((sign0, sign))
+            ids, ends = np.concatenate((ids0, ids)), np.concatenate((ends0, len(ids0) + ends))
+        bounds = _bounds(log, self.value, self.rng)
+        bounds[: self.start] = -np.inf
+        self.paths.append(Path(log, ids, ends, self.value, bounds, sign, {}))
+        tops = [float(p.bounds.max()) for p in self.paths]
+        self.value = max(tops)
+        self.origin = self.paths[int(np.argmax(tops))]
+
+    def branch(self) -> None:
+        """Fix the next path up to the word by which it leaves its origin."""
+        p = self.origin
+        j = int(np.argmax(p.bounds))
+        seen, spent = p.out.get(j, ({int(p.sign[j])}, math.exp(p.log[j])))
+        start = int(p.ends[j - 1]) if j else 0
         while True:
-            log1, sign1, piece = lattices.draw_other(*first, own, rng)
-            if sign1 not in seen:
+            log, sign, piece = self.lattices.draw_other(int(self.rows[j]), p.ids[start : int(p.ends[j])].tolist(), self.rng)
+            if sign not in seen:
                 break
-        log2, sign2, ids2, ends2 = lattices.draw(base[j + 1 :], n[j + 1 :], total[j + 1 :], rng)
-        start = int(from_.ends[j - 1]) if j else 0
-        logs = np.concatenate((from_.log[:j], [log1], log2))
-        bounds = _bounds(logs, value, rng)
-        bounds[: j + 1] = -np.inf
-        ends = np.concatenate((from_.ends[:j], [start + len(piece)], start + len(piece) + ends2)).astype(np.int64)
-        signs = np.concatenate((from_.sign[:j], np.array([sign1], np.uint64), sign2))
-        paths.append(Path(logs, np.concatenate((from_.ids[:start], np.array(piece, np.int32), ids2)), ends, value, bounds, signs, {}))
-        spent += math.exp(log1)
-        from_.out[j] = (seen | {sign1}, spent)
-        rest = float(from_.log[:j].sum()) + (math.log(1 - spent) if spent < 1 - LEAST else -math.inf)
-        from_.bounds[j] = float(_truncated(np.float64(rest), value, rng)) if rest > -math.inf else -math.inf
+        self.start = j + 1
+        self.kept = (
+            np.append(p.log[:j], log),
+            np.append(p.sign[:j], np.uint64(sign)),
+            np.concatenate((p.ids[:start], np.array(piece, np.int32))),
+            np.append(p.ends[:j], start + len(piece)),
+        )
+        spent += math.exp(log)
+        p.out[j] = (seen | {sign}, spent)
+        rest = float(p.log[:j].sum()) + (math.log(1 - spent) if spent < 1 - LEAST else -math.inf)
+        p.bounds[j] = float(_truncated(np.float64(rest), self.value, self.rng)) if rest > -math.inf else -math.inf
+
+
+def search(texts: list[tuple[object, list[str]]], lattices: Lattices, k: int, seed: int = 0) -> list[Search]:
+    """Finished searches for the k best segmentations of each (key, words); words must not be empty."""
+    lattices.add(set().union(*(words for _, words in texts)))
+    every = [Search(words, key, seed, lattices) for key, words in texts]
+    turn = every
+    for _ in range(k):
+        if not turn:
+            break
+        asked = [s.wanted() for s in turn]
+        log, sign, ids, ends = lattices.draw(np.concatenate([r for r, _ in asked]), np.concatenate([x for _, x in asked]))
+        a = b = 0
+        for s, (rows, _) in zip(turn, asked, strict=True):
+            stop = int(ends[a + len(rows) - 1]) if len(rows) else b
+            part = slice(a, a + len(rows))
+            s.drawn(log[part], sign[part], ids[b:stop], ends[part] - b)
+            a, b = a + len(rows), stop
+        turn = [s for s in turn if s.value > -math.inf and len(s.paths) < k]
+        for s in turn:
+            s.branch()
+    return every
 
 
 def units(text: str, pattern: re.Pattern) -> list[str]:
@@ -289,37 +375,47 @@ def decode(ids: list[int] | np.ndarray, v: Vocabulary) -> str:
     return raw[1:].decode("utf-8", "surrogatepass")
 
 
-def encode(text: str | None, key: object, lattices: Lattices, pattern: re.Pattern, k: int, seed: int) -> list[tuple]:
-    """(sample, log-probability, value, inclusion, ids) of the sampled segmentations of one text."""
-    rng = np.random.Generator(np.random.SFC64(xxhash.xxh3_64_intdigest(f"{seed}:{key}")))
-    words = units(text or "", pattern)
-    if not words:
-        return [(1, 0.0, 0.0, 1.0, np.empty(0, np.int32))]
-    paths, bound = top_k(words, lattices, k, rng)
+def samples(done: Search, v: Vocabulary) -> list[tuple]:
+    """(sample, log-probability, value, inclusion, ids) of a finished search."""
     out = []
-    for sample, p in enumerate(paths, 1):
+    for sample, p in enumerate(done.paths, 1):
         log = float(p.log.sum())
-        # The chance that a Gumbel around the log-probability exceeds the bound.
-        inclusion = 1.0 if bound == -math.inf else -math.expm1(-math.exp(min(log - bound, 700.0)))
-        out.append((sample, log, p.value, inclusion, expanded(p.ids, lattices.v)))
+        # The chance that a Gumbel around the log-probability exceeds the next value.
+        inclusion = 1.0 if done.value == -math.inf else -math.expm1(-math.exp(min(log - done.value, 700.0)))
+        out.append((sample, log, p.value, inclusion, expanded(p.ids, v)))
     return out
 
 
+NOTHING = [(1, 0.0, 0.0, 1.0, np.empty(0, np.int32))]
+
+
+def encode(texts: list[tuple[object, str | None]], lattices: Lattices, k: int = SAMPLES, seed: int = 0) -> list[list[tuple]]:
+    """The samples of each (key, text); an empty text has the empty segmentation alone."""
+    pattern = re.compile(lattices.v.unit)
+    words = [(key, units(text or "", pattern)) for key, text in texts]
+    done = iter(search([x for x in words if x[1]], lattices, k, seed) if any(w for _, w in words) else [])
+    return [samples(next(done), lattices.v) if w else NOTHING for _, w in words]
+
+
 def _encoder(v: Vocabulary, k: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices, pattern = Lattices(v), re.compile(v.unit)
+        lattices = Lattices(v)
         for batch in batches:
-            rows, held = [], 0
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                t = text.as_py() or ""
-                for sample, log, value, inclusion, ids in encode(t, key, lattices, pattern, k, seed):
-                    rows.append((key, sample, len(ids), log, value, inclusion, decode(ids, v) == t, ids))
-                    held += len(ids)
-                if held > 500_000:
-                    yield _batch(rows)
-                    rows, held = [], 0
-            if rows:
+            waiting, size = [], 0
+            texts = zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+            for last, (key, text) in enumerate(texts, 1):
+                waiting.append((key, text.as_py() or ""))
+                size += len(waiting[-1][1])
+                if size < TOGETHER and last < len(batch):
+                    continue
+                rows = []
+                for (key, t), found in zip(waiting, encode(waiting, lattices, k, seed), strict=True):
+                    raw = t.encode("utf-8", "surrogatepass")
+                    for sample, log, value, inclusion, ids in found:
+                        back = b"".join(map(v.raw.__getitem__, ids.tolist()))[1:]
+                        rows.append((key, sample, len(ids), log, value, inclusion, back == raw, ids))
                 yield _batch(rows)
+                waiting, size = [], 0
 
     return run
 

@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import bounded, in_batches, materialised, without_rows
+from .shared import bounded, in_batches, materialised, without_rows, written
 
 WORDS, PERCENT = 4, 85
 #: Rounds in which a bucket's sets are compared with one hub; the pairs left over are then compared directly.
 HUB_ROUNDS = 4
+#: Columns of a set's 512 parity bits.
+BITS = [f"p{i}" for i in range(8)]
 #: Words whose hashes a task remembers.
 CACHE = 200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -103,12 +105,20 @@ def signatures(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(out)
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """512 bits: whether each 512th of the domain holds an odd number of elements.
+
+    Each element in which two sets differ changes one bit, so sets differ in at least as many elements as bits.
+    """
+    return np.packbits(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=512).astype(np.uint8) & 1).view(np.int64)
+
+
 def _set_id(h: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
 
 
 def _sets(key: str, text: str, words: int, what: str, percent: int = PERCENT):
-    """A mapInArrow function; what: 'size' (doc_id, n, s), 'shingles' (s, n, shingles) or 'signatures' (sig, s, n)."""
+    """A mapInArrow function; what: 'size' (doc_id, n, s, bits), 'shingles' (s, n, shingles) or 'signatures' (sig, s)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen = _Hashes(), set()
@@ -117,7 +127,7 @@ def _sets(key: str, text: str, words: int, what: str, percent: int = PERCENT):
             for i, value in enumerate(batch.column(text)):
                 h = shingle_hashes(value.as_py(), words, cache)
                 if what == "size":
-                    out.append((len(h), _set_id(h) if len(h) else None))
+                    out.append((len(h), _set_id(h) if len(h) else None, parities(h)))
                     continue
                 s = _set_id(h)
                 if s in seen or not len(h):
@@ -130,10 +140,10 @@ def _sets(key: str, text: str, words: int, what: str, percent: int = PERCENT):
                     yield _batch(what, out)
                     out, held = [], 0
             if what == "size":
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array([n for n, _ in out], pa.int64()), pa.array([s for _, s in out], pa.int64())],
-                    ["doc_id", "n", "s"],
-                )
+                n, s, bits = zip(*out, strict=True) if out else ((), (), ())
+                bits = np.array(bits, np.int64).reshape(-1, 8).T
+                columns = [ids, pa.array(n, pa.int64()), pa.array(s, pa.int64()), *(pa.array(b.copy()) for b in bits)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s", *BITS])
             elif out:
                 yield _batch(what, out)
 
@@ -147,12 +157,18 @@ def _batch(what: str, rows: list[tuple]) -> pa.RecordBatch:
     if what == "shingles":
         ends = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
         return pa.RecordBatch.from_arrays([pa.array(s), pa.array(n), pa.ListArray.from_arrays(ends, flat)], ["s", "n", "shingles"])
-    return pa.RecordBatch.from_arrays([flat, pa.array(np.repeat(s, lengths)), pa.array(np.repeat(n, lengths))], ["sig", "s", "n"])
+    return pa.RecordBatch.from_arrays([flat, pa.array(np.repeat(s, lengths))], ["sig", "s"])
 
 
-def _near(x: Column, y: Column, percent: int) -> Column:
-    """Whether sizes allow the similarity."""
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and parity bits of two sets (column prefixes) allow the similarity; never false for similar sets."""
+    x, y = F.col(f"{a}n"), F.col(f"{b}n")
+    apart = sum((F.bit_count(F.col(a + p).bitwiseXOR(F.col(b + p))) for p in BITS[1:]), F.bit_count(F.col(a + "p0").bitwiseXOR(F.col(b + "p0"))))
+    return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & ((100 + percent) * apart <= (100 - percent) * (x + y))
+
+
+def _prefixed(sets: DataFrame, prefix: str) -> DataFrame:
+    return sets.select([F.col(c).alias(prefix + c) for c in sets.columns])
 
 
 class _Verifier:
@@ -191,37 +207,40 @@ def jaccard_components(
         F.col(text).alias("text"),
     )
     held = plain.select("doc_id", "text")
-    sized = in_batches(plain.select(F.struct("doc_id", "own_id").alias("id"), "text"), _sets("id", "text", words, "size"), "doc_id struct<doc_id:long,own_id:long>, n long, s long"
+    sized = in_batches(plain.select(F.struct("doc_id", "own_id").alias("id"), "text"), _sets("id", "text", words, "size"), "doc_id struct<doc_id:long,own_id:long>, n long, s long, " + ", ".join(f"{p} long" for p in BITS)
     )
-    each = materialised(sized.select("doc_id.doc_id", "doc_id.own_id", "n", "s"))
+    each = materialised(sized.select("doc_id.doc_id", "doc_id.own_id", "n", "s", *BITS))
+    sets = materialised(each.where("s is not null").select("s", "n", *BITS).dropDuplicates(["s"]))
+    each = each.drop(*BITS)
     verifier = _Verifier(held, each, words, percent)
-    rows = in_batches(held, _sets("doc_id", "text", words, "signatures", percent), "sig long, s long, n int")
+    rows = in_batches(held, _sets("doc_id", "text", words, "signatures", percent), "sig long, s long")
     order = Window.partitionBy("sig").orderBy("s")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.select(
-        "sig",
-        "s",
-        "n",
-        F.first("s").over(upto).alias("hub"),
-        F.first("n").over(upto).alias("hub_n"),
-        F.lag("s").over(order).alias("previous"),
-    )
-    bucket = materialised(ranked.where("s <> hub and s <> previous").drop("previous"))
-    links = verifier.linked(bucket.where(_near(F.col("n"), F.col("hub_n"), percent)).select(F.col("hub").alias("a"), F.col("s").alias("b")))
-    links = materialised(links)
+    ranked = rows.select("sig", "s", F.first("s").over(upto).alias("hub"), F.lag("s").over(order).alias("previous"))
+    bucket = written(ranked.where("s <> hub and s <> previous").drop("previous"))
+    pairs = bucket.select("hub", "s").distinct()
+    pairs = pairs.join(_prefixed(sets, "a"), F.col("hub") == F.col("as")).join(_prefixed(sets, "b"), F.col("s") == F.col("bs"))
+    pairs = pairs.where(_possible("a", "b", percent)).select(F.col("hub").alias("a"), F.col("s").alias("b"))
+    links = materialised(verifier.linked(pairs))
     roots = connected(links)
-    left = bucket.select("sig", "s", "n")
-    for turn in range(HUB_ROUNDS + 1):
-        left = _open(left, roots)
+    left = bucket.select("sig", "s")
+    for _ in range(HUB_ROUNDS):
+        rows = _rooted(sets, roots)
+        rows = left.join(rows, "s")
+        whole = Window.partitionBy("sig")
+        first = [F.first(c).over(upto).alias("h" + c) for c in rows.columns if c != "sig"]
+        open_ = rows.select("*", *first, F.min("root").over(whole).alias("low"), F.max("root").over(whole).alias("high"))
+        open_ = open_.where("low <> high and s <> hs")
+        marked = written(open_.select("sig", "s", "hs", ((F.col("root") != F.col("hroot")) & _possible("", "h", percent)).alias("near")))
+        links = materialised(links.unionByName(verifier.linked(marked.where("near").select(F.col("hs").alias("a"), F.col("s").alias("b")))))
+        roots = connected(links)
+        left = marked.select("sig", "s")
         if left.isEmpty():
             break
-        a, b = left.alias("a"), left.alias("b")
-        if turn < HUB_ROUNDS:
-            hub = left.groupBy("sig").agg(F.min_by(F.struct("s", "n", "root"), "s").alias("hub"))
-            pairs = left.join(hub, "sig").where((F.col("root") != F.col("hub.root")) & _near(F.col("n"), F.col("hub.n"), percent)).select(F.col("hub.s").alias("a"), F.col("s").alias("b"))
-            left = left.join(hub, (left.sig == hub.sig) & (left.s == F.col("hub.s")), "left_anti").drop("root")
-        else:
-            pairs = a.join(b, F.col("a.sig") == F.col("b.sig")).where((F.col("a.s") < F.col("b.s")) & (F.col("a.root") != F.col("b.root")) & _near(F.col("a.n"), F.col("b.n"), percent)).select(F.col("a.s").alias("a"), F.col("b.s").alias("b"))
+    else:
+        a, b = (_prefixed(left.join(_rooted(sets, roots), "s"), x) for x in "ab")
+        rest = (F.col("as") < F.col("bs")) & (F.col("aroot") != F.col("broot")) & _possible("a", "b", percent)
+        pairs = a.join(b, (F.col("asig") == F.col("bsig")) & rest).select(F.col("as").alias("a"), F.col("bs").alias("b"))
         links = materialised(links.unionByName(verifier.linked(pairs)))
         roots = connected(links)
     named = each.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
@@ -234,11 +253,10 @@ def jaccard_components(
     )
 
 
-def _open(bucket: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of buckets that still hold several components, with each row's component."""
-    rows = bucket.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
-    several = rows.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return materialised(rows.join(several.select("sig"), "sig", "left_semi").select("sig", "s", "n", "root"))
+def _rooted(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Sets with the component that they are in so far."""
+    named = sets.join(roots.withColumnRenamed("node", "s"), "s", "left")
+    return named.withColumn("root", F.coalesce("root", "s"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_dedup, decontaminate, exact_dedup, language_id, licenses, ngram_join, pieces, secrets, suffix_dedup
+from . import chunk_dedup, decontaminate, exact_dedup, language_id, licenses, lm_score, ngram_join, pieces, secrets, suffix_dedup
 from .shared import table
 
 
@@ -15,6 +15,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(docs, net=secrets.train(docs))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -25,20 +26,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster shares.
+def _shared_folder(df: DataFrame) -> str:
+    """The checkpoint folder that the cluster shares: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only a session without one (tests on one machine) gets a
-    temporary folder. Checkpoint files survive lost executors.
+    Only a session without one (tests on one machine) gets a temporary folder.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(
             context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-")
         )
+    return context.getCheckpointDir()
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint, which survives lost executors."""
+    _shared_folder(df)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same for larger rows: a compressed table in the checkpoint folder, of which later steps read columns."""
+    path = f"{_shared_folder(df)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z alone. Pure ASCII texts take the fast built-in."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

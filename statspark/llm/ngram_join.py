@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .components import connected
 from .shared import bounded, in_batches, materialised, without_rows, written
 
-WORDS, PERCENT = 4, 85
+WORDS, PERCENT = 5, 80
 #: Rounds in which a bucket's sets are compared with one hub; the pairs left over are then compared directly.
 HUB_ROUNDS = 4
 #: Columns of a set's 512 parity bits.

@@ -24,7 +24,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

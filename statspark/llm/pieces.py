@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +28,7 @@ from .shared import in_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 #: Lattice places that a task remembers.
-PLACES = 400_000
+PLACES = 800_000
 #: Other segmentations of a word that have less than this share of its mass together are left out of the search.
 LEAST = 1e-9
 #: Characters of texts whose words are built together.
@@ -84,8 +84,8 @@ def vocabulary(path: str = MODEL, power: float = 1.0) -> Vocabulary:
 class Lattices:
     """The lattices of words, one behind the other.
 
-    A lattice of n characters has places base + 1 to base + n. The edges that end at a place p have the cumulative
-    probabilities p + c, 0 < c <= 1, so one sorted search over all edges draws an edge for any number of places.
+    A lattice of n characters has places base + 1 to base + n. The edges that end at a place p are numbered from
+    first[p - 1] on, the longest first, and have cumulative probabilities up to 1.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -99,6 +99,9 @@ class Lattices:
             hashes = sum(codes[:, size - 1 - i] * _POWERS[i] for i in range(size))
             order = np.argsort(hashes)
             self.known[size] = hashes[order], np.array([i for _, i in pieces], np.int32)[order]
+        # Most strings are no pieces; a table of hash prefixes tells so at once.
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[(np.concatenate([h for h, _ in self.known.values()]) * _STEP) >> np.uint64(42)] = True
         self.clear()
 
     def clear(self) -> None:
@@ -106,6 +109,7 @@ class Lattices:
         self.last = 0
         self.base, self.size, self.total = array("q"), array("q"), array("d")
         self.bound, self.edge_log, self.piece, self.length = array("d"), array("d"), array("i"), array("i")
+        self.first = array("q", [0])
 
     def add(self, words: set[str]) -> None:
         """Build the lattices of words, all at once."""
@@ -119,45 +123,62 @@ class Lattices:
         codes, total, longest = _codes("".join(new)), int(n.sum()), self.v.longest
         ends = np.cumsum(n)
         j = np.arange(total) - np.repeat(ends - n, n) + 1  # place in the word
-        piece, log = np.full((total, longest), -1, np.int32), np.full((total, longest), -np.inf)
-        h = np.zeros(total, np.uint64)
-        for size in range(1, min(longest, total) + 1):
+        order = np.argsort(j.astype(np.uint16) if n.max() < 1 << 16 else j, kind="stable")
+        borders = np.concatenate(([0], np.cumsum(np.bincount(j)[1:])))
+        h, found = np.zeros(total, np.uint64), []
+        for size in range(1, min(longest, len(borders) - 1) + 1):
             h[size - 1 :] += codes[: total - size + 1] * _POWERS[size - 1]
+            at = order[borders[size - 1] :]
             if size in self.known:
-                at = np.flatnonzero(j >= size)
                 hashes, numbers = self.known[size]
-                i = np.minimum(np.searchsorted(hashes, h[at]), len(hashes) - 1)
-                hit = hashes[i] == h[at]
-                piece[at[hit], size - 1] = numbers[i[hit]]
-                log[at[hit], size - 1] = self.v.log_prob[numbers[i[hit]]]
-        bare = np.flatnonzero(piece[:, 0] < 0)  # characters that are no pieces: their bytes are
+                value = h[at]
+                some = np.flatnonzero(self.maybe[(value * _STEP) >> np.uint64(42)])
+                at, value = at[some], value[some]
+                i = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
+                hit = hashes[i] == value
+                found.append((size, at[hit], numbers[i[hit]], self.v.log_prob[numbers[i[hit]]]))
+        bare = np.ones(total, bool)  # characters that are no pieces: their bytes are
+        for size, at, _, _ in found:
+            if size == 1:
+                bare[at] = False
+        bare = np.flatnonzero(bare)
         code = codes[bare].astype(np.int64)
         n_bytes = np.where(code == ord(LITERAL), 3, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
-        piece[bare, 0] = np.where(n_bytes == 1, np.array(self.v.byte)[np.minimum(code, 127)], -1 - code)
-        log[bare, 0] = n_bytes * self.v.log_prob[self.v.byte[0]]
-        mass, share = np.zeros(total), np.zeros((total, longest))
-        order = np.argsort(j, kind="stable")
-        borders = np.concatenate(([0], np.cumsum(np.bincount(j)[1:])))
+        as_bytes = np.where(n_bytes == 1, np.array(self.v.byte)[np.minimum(code, 127)], -2 - code).astype(np.int32)
+        found.append((1, bare, as_bytes, n_bytes * self.v.log_prob[self.v.byte[0]]))
+        count = np.bincount(np.concatenate([at for _, at, _, _ in found]), minlength=total)
+        first = np.cumsum(count) - count
+        free, edges = first.copy(), int(count.sum())
+        piece, log, length = np.empty(edges, np.int32), np.empty(edges), np.empty(edges, np.int32)
+        for size, at, numbers, logs in sorted(found, key=lambda f: -f[0]):  # the longest first
+            slot = free[at]
+            free[at] += 1
+            piece[slot], log[slot], length[slot] = numbers, logs, size
+        mass, share = np.zeros(total), np.empty(edges)
         for place in range(1, len(borders)):
-            at, width = order[borders[place - 1] : borders[place]], min(place, longest)
-            before = mass[at[:, None] - np.arange(1, width + 1)]
-            if width == place:
-                before[:, -1] = 0.0
-            value = log[at, :width] + before
-            top = value.max(axis=1)
-            value = np.exp(value - top[:, None])
-            sums = value.sum(axis=1)
-            mass[at] = top + np.log(sums)
-            share[at, :width] = value
-        share = np.cumsum(share, axis=1)
-        share /= share[:, -1:]
-        where = np.nonzero(np.isfinite(log))
-        bound = share[where] + (self.last + 1 + where[0])
+            at = order[borders[place - 1] : borders[place]]
+            width = count[at]
+            begin = np.cumsum(width) - width
+            edge = np.arange(int(width.sum())) + np.repeat(first[at] - begin, width)
+            size = length[edge]
+            before = mass[np.repeat(at, width) - size]
+            before[size == place] = 0.0
+            value = log[edge] + before
+            top = np.maximum.reduceat(value, begin)
+            value = np.exp(value - np.repeat(top, width))
+            mass[at] = top + np.log(np.add.reduceat(value, begin))
+            share[edge] = value
+        share = np.cumsum(share)
+        start = np.where(first > 0, share[first - 1], 0.0)
+        end = first + count - 1
+        bound = (share - np.repeat(start, count)) / np.repeat(share[end] - start, count)
+        bound[end] = 1.0
         for store, values in (
             (self.bound, bound),
-            (self.edge_log, log[where]),
-            (self.piece, piece[where]),
-            (self.length, (where[1] + 1).astype(np.int32)),
+            (self.edge_log, log),
+            (self.piece, piece),
+            (self.length, length),
+            (self.first, self.first[-1] + np.cumsum(count)),
             (self.base, self.last + ends - n),
             (self.size, n),
             (self.total, mass[ends - 1]),
@@ -174,7 +195,7 @@ class Lattices:
 
         The random numbers depend on the words' seeds alone.
         """
-        bound, edge_log = np.frombuffer(self.bound), np.frombuffer(self.edge_log)
+        bound, edge_log, first = np.frombuffer(self.bound), np.frombuffer(self.edge_log), np.frombuffer(self.first, np.int64)
         piece, length = np.frombuffer(self.piece, np.int32), np.frombuffer(self.length, np.int32)
         m = len(rows)
         base = np.frombuffer(self.base, np.int64)[rows]
@@ -182,7 +203,12 @@ class Lattices:
         alive, at, left, steps = np.arange(m), base + np.frombuffer(self.size, np.int64)[rows], base, []
         while len(alive):
             noise = _mixed(seeds + np.uint64((len(steps) + 1) * int(_STEP) % (1 << 64))) >> np.uint64(11)
-            edge = np.searchsorted(bound, at + 1.0 - noise * 2.0**-53)
+            above = 1.0 - noise * 2.0**-53
+            edge = first[at - 1]
+            low = np.flatnonzero(bound[edge] < above)
+            while len(low):
+                edge[low] += 1
+                low = low[bound[edge[low]] < above[low]]
             steps.append((alive, piece[edge]))
             log[alive] += edge_log[edge]
             at = at - length[edge]
@@ -204,9 +230,9 @@ class Lattices:
         base, n, total = self.base[row], self.size[row], self.total[row]
         places, at = [], base + n
         for number in reversed(own):
-            low, high = bisect_right(self.bound, at), bisect_right(self.bound, at + 1.0)
+            low, high = self.first[at - 1], self.first[at]
             edge = next(e for e in range(low, high) if self.piece[e] == number)
-            shares = [self.bound[e] - (self.bound[e - 1] if e > low else at) for e in range(low, high)]
+            shares = [self.bound[e] - (self.bound[e - 1] if e > low else 0.0) for e in range(low, high)]
             places.append((at, low, edge - low, shares))
             at -= self.length[edge]
         reach, weights = 1.0, []
@@ -219,7 +245,7 @@ class Lattices:
         edges.append(low + _pick([0.0 if e == i else x for e, x in enumerate(shares)], rng))
         at -= self.length[edges[-1]]
         while at > base:
-            edges.append(bisect_left(self.bound, at + 1.0 - rng.random()))
+            edges.append(bisect_left(self.bound, 1.0 - rng.random(), self.first[at - 1], self.first[at]))
             at -= self.length[edges[-1]]
         rest, sign = n, np.uint64(0)
         for e in edges:
@@ -366,7 +392,7 @@ def expanded(ids: np.ndarray, v: Vocabulary) -> np.ndarray:
     """Piece numbers, with the bytes of characters that are no pieces."""
     if not len(ids) or ids.min() >= 0:
         return ids
-    return np.array([x for i in ids.tolist() for x in ([i] if i >= 0 else [v.byte[b] for b in _bytes_of(chr(-1 - i))])], np.int32)
+    return np.array([x for i in ids.tolist() for x in ([i] if i >= 0 else [v.byte[b] for b in _bytes_of(chr(-2 - i))])], np.int32)
 
 
 def decode(ids: list[int] | np.ndarray, v: Vocabulary) -> str:

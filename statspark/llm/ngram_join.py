@@ -25,8 +25,8 @@ from .shared import bounded, in_batches, materialised, without_rows, written
 WORDS, PERCENT = 5, 80
 #: Rounds in which a bucket's sets are compared with one hub; the pairs left over are then compared directly.
 HUB_ROUNDS = 4
-#: Columns of a set's 512 parity bits.
-BITS = [f"p{i}" for i in range(8)]
+#: Columns of a set's 1024 parity bits.
+BITS = [f"p{i}" for i in range(16)]
 #: Words whose hashes a task remembers.
 CACHE = 200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -106,11 +106,11 @@ def signatures(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def parities(h: np.ndarray) -> np.ndarray:
-    """512 bits: whether each 512th of the domain holds an odd number of elements.
+    """1024 bits: whether each 1024th of the domain holds an odd number of elements.
 
     Each element in which two sets differ changes one bit, so sets differ in at least as many elements as bits.
     """
-    return np.packbits(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=512).astype(np.uint8) & 1).view(np.int64)
+    return np.packbits(np.bincount((h >> np.uint64(54)).astype(np.int64), minlength=1024).astype(np.uint8) & 1).view(np.int64)
 
 
 def _set_id(h: np.ndarray) -> int:
@@ -141,7 +141,7 @@ def _sets(key: str, text: str, words: int, what: str, percent: int = PERCENT):
                     out, held = [], 0
             if what == "size":
                 n, s, bits = zip(*out, strict=True) if out else ((), (), ())
-                bits = np.array(bits, np.int64).reshape(-1, 8).T
+                bits = np.array(bits, np.int64).reshape(-1, len(BITS)).T
                 columns = [ids, pa.array(n, pa.int64()), pa.array(s, pa.int64()), *(pa.array(b.copy()) for b in bits)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s", *BITS])
             elif out:
@@ -218,27 +218,35 @@ def jaccard_components(
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = rows.select("sig", "s", F.first("s").over(upto).alias("hub"), F.lag("s").over(order).alias("previous"))
     bucket = written(ranked.where("s <> hub and s <> previous").drop("previous"))
-    pairs = bucket.select("hub", "s").distinct()
-    pairs = pairs.join(_prefixed(sets, "a"), F.col("hub") == F.col("as")).join(_prefixed(sets, "b"), F.col("s") == F.col("bs"))
-    pairs = pairs.where(_possible("a", "b", percent)).select(F.col("hub").alias("a"), F.col("s").alias("b"))
-    links = materialised(verifier.linked(pairs))
+    # Most near copies are linked by their first hub alone; the other hubs are asked only where that was not enough.
+    asked = materialised(bucket.groupBy("s").agg(F.min("hub").alias("hub")).select(F.col("hub").alias("a"), F.col("s").alias("b")))
+    links = materialised(verifier.linked(_pruned(asked, sets, percent)))
+    roots = connected(links)
+    more = _rooted(_rooted(bucket.select("s", "hub"), roots).withColumnsRenamed({"s": "b", "root": "broot", "hub": "s"}), roots)
+    more = more.where("root <> broot").select(F.col("s").alias("a"), "b").distinct().join(asked, ["a", "b"], "left_anti")
+    links = materialised(links.unionByName(verifier.linked(_pruned(more, sets, percent))))
     roots = connected(links)
     left = bucket.select("sig", "s")
     for _ in range(HUB_ROUNDS):
-        rows = _rooted(sets, roots)
-        rows = left.join(rows, "s")
         whole = Window.partitionBy("sig")
-        first = [F.first(c).over(upto).alias("h" + c) for c in rows.columns if c != "sig"]
-        open_ = rows.select("*", *first, F.min("root").over(whole).alias("low"), F.max("root").over(whole).alias("high"))
-        open_ = open_.where("low <> high and s <> hs")
-        marked = written(open_.select("sig", "s", "hs", ((F.col("root") != F.col("hroot")) & _possible("", "h", percent)).alias("near")))
-        links = materialised(links.unionByName(verifier.linked(marked.where("near").select(F.col("hs").alias("a"), F.col("s").alias("b")))))
+        rows = _rooted(left, roots).select(
+            "sig",
+            "s",
+            "root",
+            F.first("s").over(upto).alias("hs"),
+            F.first("root").over(upto).alias("hroot"),
+            F.min("root").over(whole).alias("low"),
+            F.max("root").over(whole).alias("high"),
+        )
+        rows = written(rows.where("low <> high and s <> hs").select("sig", "s", "hs", (F.col("root") != F.col("hroot")).alias("apart")))
+        pairs = rows.where("apart").select(F.col("hs").alias("a"), F.col("s").alias("b")).distinct()
+        links = materialised(links.unionByName(verifier.linked(_pruned(pairs, sets, percent))))
         roots = connected(links)
-        left = marked.select("sig", "s")
+        left = rows.select("sig", "s")
         if left.isEmpty():
             break
     else:
-        a, b = (_prefixed(left.join(_rooted(sets, roots), "s"), x) for x in "ab")
+        a, b = (_prefixed(_rooted(left, roots).join(sets, "s"), x) for x in "ab")
         rest = (F.col("as") < F.col("bs")) & (F.col("aroot") != F.col("broot")) & _possible("a", "b", percent)
         pairs = a.join(b, (F.col("asig") == F.col("bsig")) & rest).select(F.col("as").alias("a"), F.col("bs").alias("b"))
         links = materialised(links.unionByName(verifier.linked(pairs)))
@@ -253,10 +261,16 @@ def jaccard_components(
     )
 
 
-def _rooted(sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Sets with the component that they are in so far."""
-    named = sets.join(roots.withColumnRenamed("node", "s"), "s", "left")
-    return named.withColumn("root", F.coalesce("root", "s"))
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows with the component ``root`` that their set ``s`` is in so far."""
+    return rows.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+
+
+def _pruned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and parity bits allow."""
+    a, b = (_prefixed(sets, x) for x in ("a_", "b_"))
+    both = pairs.join(a, F.col("a") == F.col("a_s")).join(b, F.col("b") == F.col("b_s"))
+    return both.where(_possible("a_", "b_", percent)).select("a", "b")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:

@@ -81,6 +81,18 @@ def vocabulary(path: str = MODEL, power: float = 1.0) -> Vocabulary:
     return Vocabulary(number, logs, raw, byte, max(map(len, number)), unit)
 
 
+class _Rows(dict):
+    """Numbers of words in the order in which they come up; ``new`` lists those without a lattice."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Lattices:
     """The lattices of words, one behind the other.
 
@@ -105,18 +117,15 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.of: dict[str, int] = {}
+        self.of = _Rows()
         self.last = 0
         self.base, self.size, self.total = array("q"), array("q"), array("d")
         self.bound, self.edge_log, self.piece, self.length = array("d"), array("d"), array("i"), array("i")
         self.first = array("q", [0])
 
-    def add(self, words: set[str]) -> None:
-        """Build the lattices of words, all at once."""
-        new = [w for w in words if w not in self.of]
-        if self.last > PLACES:
-            self.clear()
-            new = list(words)
+    def build(self) -> None:
+        """Build the lattices of the words that have come up, all at once."""
+        new, self.of.new = self.of.new, []
         if not new:
             return
         n = np.array([len(w) for w in new])
@@ -184,7 +193,6 @@ class Lattices:
             (self.total, mass[ends - 1]),
         ):
             store.frombytes(values.tobytes())
-        self.of.update(zip(new, range(len(self.of), len(self.of) + len(new)), strict=True))
         self.last += total
 
     def rows(self, words: list[str]) -> np.ndarray:
@@ -361,8 +369,10 @@ class Search:
 
 def search(texts: list[tuple[object, list[str]]], lattices: Lattices, k: int, seed: int = 0) -> list[Search]:
     """Finished searches for the k best segmentations of each (key, words); words must not be empty."""
-    lattices.add(set().union(*(words for _, words in texts)))
+    if lattices.last > PLACES:
+        lattices.clear()
     every = [Search(words, key, seed, lattices) for key, words in texts]
+    lattices.build()
     turn = every
     for _ in range(k):
         if not turn:
@@ -436,9 +446,9 @@ def _encoder(v: Vocabulary, k: int, seed: int):
                     continue
                 rows = []
                 for (key, t), found in zip(waiting, encode(waiting, lattices, k, seed), strict=True):
-                    raw = t.encode("utf-8", "surrogatepass")
+                    raw = b" " + t.encode("utf-8", "surrogatepass") if t else b""
                     for sample, log, value, inclusion, ids in found:
-                        back = b"".join(map(v.raw.__getitem__, ids.tolist()))[1:]
+                        back = b"".join(map(v.raw.__getitem__, ids.tolist()))
                         rows.append((key, sample, len(ids), log, value, inclusion, back == raw, ids))
                 yield _batch(rows)
                 waiting, size = [], 0

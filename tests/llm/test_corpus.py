@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -406,3 +407,12 @@ def test_pages(spark):
     a, b = sorted(language_id.page_rows(pages).collect(), key=lambda r: r.page_id)
     assert (a.declared, a.host, a.domain, a.suffix, a.text.split()) == ("de", "m.example.de", "example.de", "de", ["Hallo", "Welt"])
     assert (b.declared, b.host, b.domain, b.suffix, b.text) == (None, None, None, None, "")
+
+
+def test_counts_beyond_32_bits():
+    counts = np.zeros(2 * lm_score.PART, np.int64)
+    counts[:2] = 2**31 - 1, 5
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0], pa.int32()), pa.array([lm_score._planes(counts)] * 2, pa.binary())], ["part", "counts"])
+    (merged,) = lm_score._tables_added(iter([batch]))
+    total = lm_score._counts_of(merged.column("counts")[0].as_py())
+    assert total[:2].tolist() == [2**32 - 2, 10] and np.isfinite(lm_score.logits(total.reshape(-1, 2))).all()

@@ -416,3 +416,18 @@ def test_counts_beyond_32_bits():
     (merged,) = lm_score._tables_added(iter([batch]))
     total = lm_score._counts_of(merged.column("counts")[0].as_py())
     assert total[:2].tolist() == [2**32 - 2, 10] and np.isfinite(lm_score.logits(total.reshape(-1, 2))).all()
+
+
+def test_tables_grow_beyond_the_broadcast(spark, odd, docs, monkeypatch):
+    some = docs.unionByName(odd, allowMissingColumns=True) if set(odd.columns) >= set(docs.columns) else docs
+    held = {(r.doc_id, r.n_bytes): r for r in lm_score.scores(some).collect()}
+    monkeypatch.setattr(lm_score, "HELD_BITS", 19)
+    model = lm_score.train(some)
+    assert not isinstance(model.table, np.ndarray) and model.bits == 20
+    rows = lm_score.scores(some, model=model).collect()
+    assert len(rows) == some.count()
+    for r in rows:
+        want = held[r.doc_id, r.n_bytes]
+        assert math.isclose(r.score, want.score, rel_tol=1e-3) and math.isclose(r.base_score, want.base_score)
+    monkeypatch.setattr(lm_score, "PER_SLOT", 1 / 64)
+    assert lm_score.train(some).bits > 22

@@ -1,9 +1,9 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
 Chunks end where a hash of the last 16 bytes is small, so equal passages are cut alike wherever they stand and an
-insertion moves no cut beyond its own neighbourhood. A chunk whose digest occurred before is a duplicate. Duplicate
-chunks that two documents share at one distance are the seeds of a repeated passage, whose ends are then found by
-comparing the two texts.
+insertion moves no cut beyond its own neighbourhood. A chunk whose digest no other document has can't be part of a
+repeated passage. Between such chunks, runs of as many words as the shortest passage has are the seeds, whose ends are
+then found by comparing the two texts.
 """
 
 from __future__ import annotations
@@ -13,15 +13,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .passages import LEAST_WORDS, passages
+from .passages import LEAST_WORDS, common_windows, passages
 from .shared import in_batches
 
-#: Mean chunk size in bytes, most bytes of a chunk, least bytes of a chunk that is looked up (shorter ones are too
-#: common to tell anything), and least bytes that two documents must share at one distance.
-MEAN, MOST, LEAST, SHARED = 32, 1024, 16, 40
+#: Mean chunk size in bytes, most bytes of a chunk, and least bytes of a chunk that is looked up (shorter ones are too
+#: common to tell anything).
+MEAN, MOST, LEAST = 32, 1024, 16
 GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -90,6 +90,23 @@ def chunks(docs: DataFrame, mean: int = MEAN, least: int = LEAST) -> DataFrame:
     return in_batches(docs, _chunks(mean, least), "digest long, doc_id long, at int, size int")
 
 
+def _fits(mean: int):
+    """Which runs hold no chunk that stands in no other document.
+
+    A run settles those of its chunks that begin at a cut by the hash of 16 of its bytes and end before it does.
+    """
+
+    def fits(data: np.ndarray, common: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        stop = cuts(data, mean)
+        start = np.concatenate(([0], stop[:-1]))
+        by_hash = gear(data)[start - 1] < np.uint32((1 << 32) // mean)
+        alone = by_hash & (start > 0) & (stop - start >= LEAST) & ~np.isin(start, common)
+        start, stop = start[alone], np.append(stop[alone], len(data) + 1)
+        return stop[np.searchsorted(start, starts + 16)] >= ends
+
+    return fits
+
+
 def repeated_passages(
     docs: DataFrame,
     key: str = "doc_id",
@@ -100,22 +117,14 @@ def repeated_passages(
 ) -> DataFrame:
     """doc_id, start, end, n_words, keep_doc_id, keep_start: passages that an earlier document holds too.
 
-    Each occurrence of a chunk is compared with the one before it, in order of document and place, so a passage in m
-    documents gives m - 1 rows; ``within`` adds repeats inside one document. Offsets are code points; matches have at
+    Each run of ``least_words`` words is compared with the nearest earlier document that holds it, so every passage is
+    found, in each of its places; ``within`` adds repeats inside one document. Offsets are code points; matches have at
     least ``least_words`` whole words. Rows without id can't be named and are left out; null and empty texts have no
     chunks. Repeated rows of one id count as one document. An empty table gives no rows.
     """
     held = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    order = Window.partitionBy("digest", "size").orderBy("doc_id", "at")
-    seen = chunks(held, mean).select(
-        F.lag("doc_id").over(order).alias("a"), F.col("doc_id").alias("b"), F.lag("at").over(order).alias("other"), "at", "size"
-    )
-    seen = seen.where("a is not null and (a <> b or other <> at)" if within else "a <> b")
-    shared = seen.groupBy("a", "b", (F.col("at") - F.col("other")).alias("shift")).agg(
-        F.sum("size").alias("bytes"), F.collect_set("at").alias("places")
-    )
-    seeds = F.transform("places", lambda p: F.struct(p.alias("at"), (p - F.col("shift")).alias("other")))
-    pairs = shared.where(F.col("bytes") >= SHARED).groupBy("a", "b").agg(F.flatten(F.collect_list(seeds)).alias("seeds"))
+    marks = chunks(held, mean).select(F.xxhash64("digest", "size").alias("digest"), "doc_id", "at")
+    pairs = common_windows(held, marks, _fits(mean), least_words, within)
     return passages(held, pairs, least_words)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import bounded, in_batches, materialised
@@ -74,6 +74,79 @@ def matches(x: bytes, y: bytes, seeds: list[dict]) -> Iterator[tuple[int, int, i
             yield start, start + shift, stop - start
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+_BYTE = np.random.default_rng(13).integers(0, 1 << 63, 256, dtype=np.uint64)
+_WHITE = np.zeros(256, bool)
+_WHITE[list(b"\t\n\v\f\r ")] = True
+
+
+def windows(data: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all runs of so many whole words."""
+    inside = np.concatenate(([False], ~_WHITE[data], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    n = max(0, len(starts) - words + 1)
+    return starts[:n], ends[len(ends) - n :]
+
+
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each of the given parts."""
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * np.cumprod(np.full(len(data), _ODD)), out=total[1:])
+    h = (total[ends] - total[starts]) * np.cumprod(np.full(len(data) + 1, _INVERSE))[starts]
+    h = (h ^ (h >> np.uint64(31)) ^ (ends - starts).astype(np.uint64)) * _ODD
+    return h ^ (h >> np.uint64(29))
+
+
+def _windows_of(words: int, fits):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text, common in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                data = np.frombuffer((text.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
+                starts, ends = windows(data, words)
+                if len(starts):
+                    places = np.sort(np.array(common.as_py() or [], np.int64))
+                    good = fits(data, places, starts, ends)
+                    starts, ends = starts[good], ends[good]
+                if len(starts):
+                    h = hashed(data, starts, ends).view(np.int64)
+                    columns = [pa.array(h), pa.array(np.full(len(h), key, np.int64)), pa.array(starts.astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, ["h", "doc_id", "at"])
+
+    return run
+
+
+def common_windows(docs: DataFrame, marks: DataFrame, fits, words: int = LEAST_WORDS, within: bool = False) -> DataFrame:
+    """a, b, seeds: pairs of documents with an equal run of ``words`` whole words, for ``passages``.
+
+    Any passage of so many words begins with such a run, so none is lost: each run in b is paired with the nearest
+    earlier document that holds it too, wherever and how often it stands in either. ``marks`` (digest, doc_id, at) are
+    places of ``docs`` (doc_id, text); ``fits`` (bytes, places whose digest another document has, starts and ends of
+    runs) tells which runs these allow to stand elsewhere, and only those are compared.
+    """
+    every = Window.partitionBy("digest")
+    other = F.count(F.lit(1)).over(every) > 1 if within else F.min("doc_id").over(every) < F.max("doc_id").over(every)
+    common = marks.select("doc_id", "at", other.alias("other")).where("other")
+    common = common.groupBy(F.col("doc_id").alias("_key")).agg(F.collect_set("at").alias("places"))
+    held = docs.dropDuplicates(["doc_id"]).join(common, F.col("doc_id") == F.col("_key"), "left")
+    runs = in_batches(held.select("doc_id", "text", "places"), _windows_of(words, fits), "h long, doc_id long, at int")
+    if within:
+        runs = materialised(runs)
+    earlier = Window.partitionBy("h").orderBy("doc_id").rangeBetween(Window.unboundedPreceding, -1)
+    near = runs.select(F.max(F.struct("doc_id", "at")).over(earlier).alias("near"), F.col("doc_id").alias("b"), "at")
+    near = near.where("near is not null").select(F.col("near.doc_id").alias("a"), "b", F.col("near.at").alias("other"), "at")
+    if within:
+        order = Window.partitionBy("h", "doc_id").orderBy("at")
+        same = runs.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), F.lag("at").over(order).alias("other"), "at")
+        near = near.unionByName(same.where("other is not null"))
+    # A run has 2 * words - 1 bytes at least: those of one shift that begin so near to each other are of one match.
+    step = (F.col("at") / (2 * words - 1)).cast("int").alias("step")
+    seeds = near.groupBy("a", "b", (F.col("at") - F.col("other")).alias("shift"), step).agg(F.min("at").alias("at"))
+    seed = F.struct("at", (F.col("at") - F.col("shift")).alias("other"))
+    return seeds.groupBy("a", "b").agg(F.collect_list(seed).alias("seeds"))
+
+
 def passages(docs: DataFrame, pairs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The matches of ``pairs`` (a, b, seeds: array of byte places at in b and other in a) in ``docs`` (doc_id, text).
 

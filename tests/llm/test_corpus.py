@@ -431,3 +431,28 @@ def test_tables_grow_beyond_the_broadcast(spark, odd, docs, monkeypatch):
         assert math.isclose(r.score, want.score, rel_tol=1e-3) and math.isclose(r.base_score, want.base_score)
     monkeypatch.setattr(lm_score, "PER_SLOT", 1 / 64)
     assert lm_score.train(some).bits > 22
+
+
+def interleaved(spark, words, size):
+    """A passage in 1, its lines one by one in the documents between, and the passage twice in 99, after its lines."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), size))
+    lines = [" ".join(word() for _ in range(10)) + " \n" for _ in range(words // 10)]
+    passage, other = "".join(lines), lambda: " ".join(word() for _ in range(30)) + " \n"
+    made = [(1, other() + passage + other())]
+    made += [(10 + i, other() + line + other()) for i, line in enumerate([*lines, *map("".join, zip(lines[:-1], lines[1:], strict=True))])]
+    last = other() + other().join(lines) + other()
+    return made, passage, [*made, (99, last + passage + other() + passage)]
+
+
+@pytest.mark.parametrize("words, size", [(50, 2), (60, 5), (100, 9)])
+def test_chunk_passages_behind_single_lines(spark, words, size):
+    check_interleaved(spark, chunk_dedup, words, size)
+
+
+def check_interleaved(spark, method, words, size):
+    _, passage, texts = interleaved(spark, words, size)
+    text = dict(texts)[99]
+    found = [r for r in method.repeated_passages(frame(spark, texts)).collect() if r.doc_id == 99]
+    places = [m.start() for m in re.finditer(re.escape(passage), text)]
+    assert len(places) == 2 and all(any(r.start <= p and p + len(passage) - 1 <= r.end and r.keep_doc_id == 1 for r in found) for p in places)

@@ -1,9 +1,10 @@
 """Suffix-array dedup over sparse suffixes.
 
-Only suffixes at minimisers stay: places whose 32-byte hash is the least among 96 neighbours, so every stretch of 127
-equal bytes holds the same one. Suffixes are sorted by the hashes of their next three 32-byte blocks, which orders
-them as their text would but for the order of unequal blocks. Neighbours that agree in all three blocks are the seeds;
-the two texts are then compared byte by byte to the left and to the right, and long enough matches are kept.
+A passage begins with a run of as many words as the shortest one has, so suffixes are compared by that run. Which runs
+can stand in another document at all is told by minimisers: places whose 32-byte hash is the least among 68 neighbours,
+so every stretch of 99 equal bytes holds the same one, and no run of 50 words is shorter. Of the suffixes with an equal
+run each is matched with the nearest earlier document's; the two texts are then compared byte by byte to the left and to
+the right.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .passages import LEAST_WORDS, passages
+from .passages import LEAST_WORDS, common_windows, passages
 from .shared import in_batches
 
 BLOCK, WINDOW = 32, 96
@@ -32,10 +33,11 @@ def block_hashes(data: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * _ODD
 
 
-def minimisers(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Places that are the least of some ``window`` neighbouring places; one place of a run of equal hashes."""
-    if len(h) <= window:
+def minimisers(h: np.ndarray, window: int = WINDOW, every: bool = False) -> np.ndarray:
+    """Places that are the least of some ``window`` neighbouring places; one place of a run of equal hashes, or ``every``."""
+    if len(h) <= window and not (every and len(h)):
         return np.array([int(np.argmin(h))]) if len(h) else np.empty(0, np.int64)
+    window = min(window, len(h))
     least, width = h, 1
     while width * 2 <= window:
         least = np.minimum(least[:-width], least[width:])
@@ -51,54 +53,64 @@ def minimisers(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
     rest = window - width
     high = np.maximum(high[: len(high) - rest], high[rest:]) if rest else high
     at = np.flatnonzero(h == high[: n + window - 1])
+    if every:
+        return at
     same = np.concatenate(([False], (h[at[1:]] == h[at[:-1]]) & (np.diff(at) < window)))
     return at[~same]
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        parts: list[tuple] = []
-        held = 0
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            if len(raw) < 3 * BLOCK:
-                continue
-            h = block_hashes(np.frombuffer(raw, np.uint8))
-            at = minimisers(h)
-            at = at[at + 2 * BLOCK < len(h)]
-            parts.append((h[at], h[at + BLOCK], h[at + 2 * BLOCK], np.full(len(at), key, np.int64), at.astype(np.int32)))
-            held += len(at)
-            if held > 300_000:
+def _marks(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts: list[tuple] = []
+            held = 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                if len(raw) < BLOCK:
+                    continue
+                h = block_hashes(np.frombuffer(raw, np.uint8))
+                at = minimisers(h, window, every=True)
+                parts.append((h[at], np.full(len(at), key, np.int64), at.astype(np.int32)))
+                held += len(at)
+                if held > 300_000:
+                    yield _rows(parts)
+                    parts, held = [], 0
+            if parts:
                 yield _rows(parts)
-                parts, held = [], 0
-        if parts:
-            yield _rows(parts)
+
+    return run
 
 
 def _rows(parts: list[tuple]) -> pa.RecordBatch:
-    a, b, c, key, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(c.view(np.int64)), pa.array(key), pa.array(at)],
-        ["h1", "h2", "h3", "doc_id", "at"],
-    )
+    h, key, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key), pa.array(at)], ["digest", "doc_id", "at"])
+
+
+def _fits(window: int):
+    """Which runs hold a common minimiser among their first places and among their last ones."""
+
+    def fits(data: np.ndarray, common: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        places = np.concatenate(([-len(data) - window], common, [2 * len(data) + window]))
+        last = ends - BLOCK
+        first = places[np.searchsorted(places, starts)] < starts + window
+        return first & (places[np.searchsorted(places, last, "right") - 1] > last - window)
+
+    return fits
 
 
 def repeated_passages(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, within: bool = False
 ) -> DataFrame:
-    """doc_id, start, end, n_words, keep_doc_id, keep_start: passages that stand in an earlier place too.
+    """doc_id, start, end, n_words, keep_doc_id, keep_start: passages that an earlier document holds too.
 
-    Of every group of suffixes with an equal beginning each one is matched with the one before it, in order of
-    document and place, so a passage in m documents gives m - 1 rows; ``within`` adds repeats inside one document.
-    Offsets are code points. Matches have at least ``least_words`` whole words, and those of 191 bytes and more are
-    all found. Rows without id are left out, null and short texts have no passages, repeated rows of one id count as
-    one document, an empty table has none.
+    Each suffix that begins a run of ``least_words`` words is matched with the nearest earlier document that holds the
+    run, so every passage of so many words is found, in each of its places; ``within`` adds repeats inside one document.
+    Offsets are code points. Rows without id are left out, null and short texts have no passages, repeated rows of one
+    id count as one document, an empty table has none.
     """
     held = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    suffixes = in_batches(held, _suffixes, "h1 long, h2 long, h3 long, doc_id long, at int")
-    order = Window.partitionBy("h1", "h2", "h3").orderBy("doc_id", "at")
-    near = suffixes.select(
-        F.lag("doc_id").over(order).alias("a"), F.col("doc_id").alias("b"), F.lag("at").over(order).alias("other"), "at"
-    ).where("a <> b" if not within else "a is not null and (a <> b or other <> at)")
-    pairs = near.groupBy("a", "b").agg(F.collect_set(F.struct("at", "other")).alias("seeds"))
-    return passages(held, pairs, least_words)
+    # A run has 2 * least_words - 1 bytes at least; where that is less than a block, every run is compared.
+    window = min(WINDOW, 2 * least_words - BLOCK)
+    fits = _fits(window) if window > 0 else lambda data, common, starts, ends: np.ones(len(starts), bool)
+    marks = in_batches(held, _marks(max(1, window)), "digest long, doc_id long, at int")
+    return passages(held, common_windows(held, marks, fits, least_words, within), least_words)

@@ -456,3 +456,8 @@ def check_interleaved(spark, method, words, size):
     found = [r for r in method.repeated_passages(frame(spark, texts)).collect() if r.doc_id == 99]
     places = [m.start() for m in re.finditer(re.escape(passage), text)]
     assert len(places) == 2 and all(any(r.start <= p and p + len(passage) - 1 <= r.end and r.keep_doc_id == 1 for r in found) for p in places)
+
+
+@pytest.mark.parametrize("words, size", [(50, 1), (50, 2), (60, 5), (100, 9)])
+def test_suffix_passages_behind_single_lines(spark, words, size):
+    check_interleaved(spark, suffix_dedup, words, size)

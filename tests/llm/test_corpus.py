@@ -461,3 +461,18 @@ def check_interleaved(spark, method, words, size):
 @pytest.mark.parametrize("words, size", [(50, 1), (50, 2), (60, 5), (100, 9)])
 def test_suffix_passages_behind_single_lines(spark, words, size):
     check_interleaved(spark, suffix_dedup, words, size)
+
+
+def test_thresholds_keep_the_recall_of_hard_kinds():
+    class Given(secrets.Network):
+        def logits(self, x):
+            return x[:, 0].astype(float)
+
+    rng = np.random.default_rng(1)
+    y, kind = np.repeat([1.0, 0.0, 1.0, 0.0], 200), np.repeat([0, 0, 3, 3], 200)
+    z = np.concatenate([rng.normal(m, 1, 200) for m in (4, -4, -0.5, -1)])[:, None]
+    net = Given(*[np.zeros(1)] * 4, 0.0)
+    net.calibrate(z, y, kind, 0.98)
+    found = net.probability(z) >= np.array(net.thresholds)[kind]
+    assert all(found[(y == 1) & (kind == k)].mean() >= 0.98 for k in (0, 3))
+    assert min(net.thresholds) < 0.5 and net.precision == y[found].mean()

@@ -476,3 +476,21 @@ def test_thresholds_keep_the_recall_of_hard_kinds():
     found = net.probability(z) >= np.array(net.thresholds)[kind]
     assert all(found[(y == 1) & (kind == k)].mean() >= 0.98 for k in (0, 3))
     assert min(net.thresholds) < 0.5 and net.precision == y[found].mean()
+
+
+def test_secrets_behind_long_prefixes(spark):
+    class Digits(secrets.Network):
+        def probability(self, x):
+            seen = x[:, secrets.CONTEXT : secrets.CONTEXT + secrets.SEEN]
+            return (((seen >= 27) & (seen <= 36)).sum(axis=1) >= 20).astype(float)
+
+    net = Digits(*[np.zeros(1)] * 4, 0.0, thresholds=(0.5,) * 4)
+    secret = "Q7391846205571938264"
+    texts = ["x " + "some/long/path_of_" * n + "key=" + secret + "4410" + "/and/what/follows" * m + " y" for n in (0, 3, 9) for m in (0, 4)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array(texts)], ["doc_id", "text"])
+    (result,) = secrets._scan(net)(iter([batch]))
+    assert result.column("n_network").to_pylist() == [1] * len(texts)
+    for n in (16, 48, 49, 72, 73, 500):
+        covered = {i for s, e in secrets.parts(5, 5 + n) for i in range(s, e)}
+        assert covered == set(range(5, 5 + n))

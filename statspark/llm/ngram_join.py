@@ -3,9 +3,10 @@
 Set sizes fall into bands, so that sets similar enough are in the same or in neighbouring bands, where the threshold
 bounds the number of elements in which they differ. The domain of shingle hashes is cut into groups of three parts;
 with k differing elements and more than k/2 groups, some group has at most one, so that two of its three parts agree.
-Each set gets a signature for every pair of parts of every group: similar sets share one. Within a signature's bucket
-sets are compared with one hub after another until what is left of the bucket is one component or has no candidates,
-so a bucket of many near copies costs about one comparison a member instead of one a pair.
+Each set gets a signature for every pair of parts of every group: similar sets share one. Buckets with the same members
+count once. Within a bucket, parity bits tell which pairs can be similar at all, and the bucket proposes a spanning
+forest of these; only its edges are verified by the sets themselves. Other pairs are asked for only where an edge failed
+and they would still join two components, so a bucket of many near copies costs about one comparison a member.
 """
 
 from __future__ import annotations
@@ -16,19 +17,21 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
 from .shared import bounded, in_batches, materialised, without_rows, written
 
 WORDS, PERCENT = 5, 80
-#: Rounds in which a bucket's sets are compared with one hub; the pairs left over are then compared directly.
-HUB_ROUNDS = 4
-#: Columns of a set's 1024 parity bits.
-BITS = [f"p{i}" for i in range(16)]
-#: Words whose hashes a task remembers.
-CACHE = 200_000
+#: Least number of a set's parity bits; larger sets have four an element and more.
+LEAST_BITS = 512
+#: Members of a bucket that are compared at once; larger buckets are cut into so large parts, every two of which meet.
+TILE = 2048
+#: How many times more pairs a member may propose in each round.
+STEP = 16
+#: Words whose hashes a task remembers, and sets that it knows to have signed.
+CACHE, SIGNED = 200_000, 1_000_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
@@ -106,11 +109,29 @@ def signatures(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def parities(h: np.ndarray) -> np.ndarray:
-    """1024 bits: whether each 1024th of the domain holds an odd number of elements.
+    """Bits as bytes: whether each part of the domain holds an odd number of elements.
 
-    Each element in which two sets differ changes one bit, so sets differ in at least as many elements as bits.
+    Each element in which two sets differ changes one bit, so sets differ in at least as many elements as bits. The
+    number of bits is a power of two that follows the size; ``folded`` brings more bits to fewer.
     """
-    return np.packbits(np.bincount((h >> np.uint64(54)).astype(np.int64), minlength=1024).astype(np.uint8) & 1).view(np.int64)
+    width = max(LEAST_BITS.bit_length() - 1, int(4 * len(h) - 1).bit_length())
+    return np.packbits(np.bincount((h >> np.uint64(64 - width)).astype(np.int64), minlength=1 << width).astype(np.uint8) & 1)
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Rows of parity bits (bytes) over parts that are so many times larger that ``size`` bytes are left.
+
+    Neighbouring parts become one: its parity is theirs, added up.
+    """
+    while bits.shape[1] > size:
+        both = bits ^ (bits << np.uint8(1))  # in each two bits the upper one is the parity of both
+        both &= np.uint8(0xAA)
+        both |= both << np.uint8(1)
+        both &= np.uint8(0xCC)
+        both |= both << np.uint8(2)
+        both &= np.uint8(0xF0)
+        bits = both[:, ::2] | (both[:, 1::2] >> np.uint8(4))
+    return bits
 
 
 def _set_id(h: np.ndarray) -> int:
@@ -118,20 +139,25 @@ def _set_id(h: np.ndarray) -> int:
 
 
 def _sets(key: str, text: str, words: int, what: str, percent: int = PERCENT):
-    """A mapInArrow function; what: 'size' (doc_id, n, s, bits), 'shingles' (s, n, shingles) or 'signatures' (sig, s)."""
+    """A mapInArrow function; what: 'size' (id, n, s, bits), 'shingles' (s, n, shingles) or 'signatures' (sig, s).
+
+    Repeated sets of a task are left out where only the set counts; what it forgets is merely said again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen = _Hashes(), set()
         for batch in batches:
             ids, out, held = batch.column(key), [], 0
-            for i, value in enumerate(batch.column(text)):
+            for value in batch.column(text):
                 h = shingle_hashes(value.as_py(), words, cache)
                 if what == "size":
-                    out.append((len(h), _set_id(h) if len(h) else None, parities(h)))
+                    out.append((len(h), _set_id(h), parities(h).tobytes()) if len(h) else (0, None, None))
                     continue
                 s = _set_id(h)
                 if s in seen or not len(h):
                     continue
+                if len(seen) >= SIGNED:
+                    seen.clear()
                 seen.add(s)
                 x = h if what == "shingles" else signatures(h, percent)
                 out.append((s, len(h), x.view(np.int64)))
@@ -141,9 +167,8 @@ def _sets(key: str, text: str, words: int, what: str, percent: int = PERCENT):
                     out, held = [], 0
             if what == "size":
                 n, s, bits = zip(*out, strict=True) if out else ((), (), ())
-                bits = np.array(bits, np.int64).reshape(-1, len(BITS)).T
-                columns = [ids, pa.array(n, pa.int64()), pa.array(s, pa.int64()), *(pa.array(b.copy()) for b in bits)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s", *BITS])
+                columns = [ids, pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(bits, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "s", "bits"])
             elif out:
                 yield _batch(what, out)
 
@@ -160,15 +185,91 @@ def _batch(what: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([flat, pa.array(np.repeat(s, lengths))], ["sig", "s"])
 
 
-def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether sizes and parity bits of two sets (column prefixes) allow the similarity; never false for similar sets."""
-    x, y = F.col(f"{a}n"), F.col(f"{b}n")
-    apart = sum((F.bit_count(F.col(a + p).bitwiseXOR(F.col(b + p))) for p in BITS[1:]), F.bit_count(F.col(a + "p0").bitwiseXOR(F.col(b + "p0"))))
-    return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & ((100 + percent) * apart <= (100 - percent) * (x + y))
+def proposed(
+    n: np.ndarray, bits: list[bytes], root: np.ndarray, percent: int, more: int
+) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs (places) of a bucket's sets to verify: a spanning forest of those that sizes and bits allow between
+    different roots, and up to ``more`` others for each set, the likeliest first; and whether there are others still."""
+    order = np.argsort(n, kind="stable")
+    n, label, pairs, left = n[order], np.unique(root[order], return_inverse=True)[1], [], False
+    root, ends, level, held = label.copy(), np.searchsorted(n, n * 100 // percent, "right"), 0, None
+    for i in range(len(n) - 1):
+        if len(bits[order[i]]) != level:
+            level, low = len(bits[order[i]]), i
+            wide = [np.frombuffer(bits[j], np.uint8) for j in order[low : ends[low:].max()].tolist()]
+            sizes = np.array([len(w) for w in wide])
+            held = np.empty((len(wide), level), np.uint8)
+            for size in np.unique(sizes):
+                of = np.flatnonzero(sizes == size)
+                held[of] = folded(np.stack([wide[j] for j in of]), level)
+            held = held.view(np.uint64)
+        stop = int(ends[i])
+        if stop <= i + 1:
+            continue
+        apart = np.bitwise_count(held[i + 1 - low : stop - low] ^ held[i - low]).sum(1, dtype=np.int64)
+        both = n[i + 1 : stop] + n[i]
+        fits = np.flatnonzero(((100 + percent) * apart <= (100 - percent) * both) & (root[i + 1 : stop] != root[i]))
+        if not len(fits):
+            continue
+        fits = fits[np.argsort(apart[fits] / both[fits], kind="stable")]
+        js = fits + i + 1
+        news, at = np.unique(label[js], return_index=True)
+        tree = at[news != label[i]]
+        label[np.isin(label, news)] = label[i]
+        rest = np.delete(np.arange(len(js)), tree)
+        left |= len(rest) > more
+        pairs += [(order[i], order[j]) for j in js[np.concatenate((tree, rest[:more]))].tolist()]
+    return pairs, left
 
 
-def _prefixed(sets: DataFrame, prefix: str) -> DataFrame:
-    return sets.select([F.col(c).alias(prefix + c) for c in sets.columns])
+def _proposals(percent: int, more: int):
+    """Rows a, b to verify from rows (bucket, tile, s, root, n, bits) by bucket and tile; or a bucket and tile of which
+    other pairs are left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        said: set[tuple[int, int]] = set()
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "b", "bucket", "tile"])
+
+        for (bucket, tile), s, root, n, bits in _grouped(batches):
+            pairs, left = proposed(n, bits, root, percent, more)
+            if len(said) > SIGNED:
+                said.clear()
+            found = {(int(min(s[i], s[j])), int(max(s[i], s[j]))) for i, j in pairs} - said
+            said |= found
+            rows = [(a, b, None, None) for a, b in sorted(found)] + [(None, None, bucket, tile)] * left
+            if rows:
+                yield batch_of(rows)
+
+    return run
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(bucket, tile), s, root, n, bits of each tile; rows come sorted, and a tile is bounded."""
+    now, parts = None, []
+    for batch in batches:
+        bucket, tile = batch.column("bucket").to_numpy(), batch.column("tile").to_numpy()
+        edges = np.flatnonzero(np.diff(bucket, prepend=0) | np.diff(tile, prepend=0))
+        edges = np.unique(np.concatenate(([0], edges, [len(bucket)]))).tolist()
+        s, root, n = (batch.column(c).to_numpy() for c in ("s", "root", "n"))
+        bits = batch.column("bits").to_pylist()
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            name = int(bucket[i]), int(tile[i])
+            if parts and name != now:
+                yield _joined(now, parts)
+                parts = []
+            now = name
+            parts.append((s[i:j], root[i:j], n[i:j], bits[i:j]))
+    if parts:
+        yield _joined(now, parts)
+
+
+def _joined(name: tuple[int, int], parts: list[tuple]) -> tuple:
+    s, root, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    return name, s, root, n, [x for p in parts for x in p[3]]
 
 
 class _Verifier:
@@ -179,20 +280,46 @@ class _Verifier:
         self.holders = each.where("s is not null").groupBy("s").agg(F.min("doc_id").alias("doc_id"))
 
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar enough."""
-        pairs = materialised(pairs.distinct())
+        """Of different pairs (a, b) those that are similar enough."""
         wanted = pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s"))).distinct()
         keys = bounded(self.holders.join(wanted, "s", "left_semi").select(F.col("doc_id").alias("_id")))
         docs = self.docs.join(keys, F.col("doc_id") == F.col("_id"), "left_semi")
-        sets = in_batches(docs, _sets("doc_id", "text", self.words, "shingles"), "s long, n int, shingles array<long>"
-        )
+        sets = in_batches(docs, _sets("doc_id", "text", self.words, "shingles"), "s long, n int, shingles array<long>")
         sides = [sets.select(F.col("s").alias(x), F.col("n").alias(f"n{x}"), F.col("shingles").alias(f"{x}s")) for x in "ab"]
         both = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("common", F.size(F.array_intersect("as", "bs")))
         return both.where(100 * F.col("common") >= self.percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
+def _buckets(rows: DataFrame, tile: int) -> DataFrame:
+    """bucket, s, parts: the members of signatures (sig, s) that two sets share, once for equal lists of members.
+
+    Sorting streams: nothing but the first and the last set of a signature is kept. ``parts`` is the number of parts
+    that a bucket is cut into.
+    """
+    order = Window.partitionBy("sig").orderBy("s")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = rows.select("sig", "s", F.first("s").over(upto).alias("hub"), F.lag("s").over(order).alias("previous"))
+    shared = written(ranked.where("s <> hub and s <> previous").drop("previous"))
+    # Members are told apart by their number, the sum of one hash and the parity of another.
+    total, parity = F.sum(F.xxhash64("s") % (1 << 40)), F.bit_xor(F.xxhash64("s", F.lit(1)))
+    lists = shared.groupBy("sig", "hub").agg(F.count(F.lit(1)).alias("size"), total.alias("total"), parity.alias("parity"))
+    kept = lists.groupBy("hub", "size", "total", "parity").agg(F.min("sig").alias("sig"))
+    kept = materialised(kept.select("sig", "hub", F.ceil((F.col("size") + 1) / tile).cast("int").alias("parts")))
+    others = shared.select("sig", "s").join(kept.select("sig", "parts"), "sig")
+    return others.unionByName(kept.select("sig", F.col("hub").alias("s"), "parts")).withColumnRenamed("sig", "bucket")
+
+
+def _tiled(members: DataFrame) -> DataFrame:
+    """bucket, tile, s: members of a bucket of p parts stand in the p tiles of their part with each part."""
+    own = F.pmod(F.xxhash64("s"), F.col("parts")).cast("int")
+    each = F.sequence(F.lit(0), F.col("parts") - 1)
+    tiles = F.transform(each, lambda i: F.least(i, own) * F.col("parts") + F.greatest(i, own))
+    small = members.where("parts = 1").select("bucket", F.lit(0).alias("tile"), "s")
+    return small.unionByName(members.where("parts > 1").select("bucket", F.explode(tiles).alias("tile"), "s"))
+
+
 def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, tile: int = TILE
 ) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``.
 
@@ -207,50 +334,38 @@ def jaccard_components(
         F.col(text).alias("text"),
     )
     held = plain.select("doc_id", "text")
-    sized = in_batches(plain.select(F.struct("doc_id", "own_id").alias("id"), "text"), _sets("id", "text", words, "size"), "doc_id struct<doc_id:long,own_id:long>, n long, s long, " + ", ".join(f"{p} long" for p in BITS)
+    sized = in_batches(
+        plain.select(F.struct("doc_id", "own_id").alias("id"), "text"),
+        _sets("id", "text", words, "size"),
+        "id struct<doc_id:long,own_id:long>, n long, s long, bits binary",
     )
-    each = materialised(sized.select("doc_id.doc_id", "doc_id.own_id", "n", "s", *BITS))
-    sets = materialised(each.where("s is not null").select("s", "n", *BITS).dropDuplicates(["s"]))
-    each = each.drop(*BITS)
-    verifier = _Verifier(held, each, words, percent)
+    each = written(sized.select("id.doc_id", "id.own_id", "n", "s", "bits"))
     rows = in_batches(held, _sets("doc_id", "text", words, "signatures", percent), "sig long, s long")
-    order = Window.partitionBy("sig").orderBy("s")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.select("sig", "s", F.first("s").over(upto).alias("hub"), F.lag("s").over(order).alias("previous"))
-    bucket = written(ranked.where("s <> hub and s <> previous").drop("previous"))
-    # Most near copies are linked by their first hub alone; the other hubs are asked only where that was not enough.
-    asked = materialised(bucket.groupBy("s").agg(F.min("hub").alias("hub")).select(F.col("hub").alias("a"), F.col("s").alias("b")))
-    links = materialised(verifier.linked(_pruned(asked, sets, percent)))
-    roots = connected(links)
-    more = _rooted(_rooted(bucket.select("s", "hub"), roots).withColumnsRenamed({"s": "b", "root": "broot", "hub": "s"}), roots)
-    more = more.where("root <> broot").select(F.col("s").alias("a"), "b").distinct().join(asked, ["a", "b"], "left_anti")
-    links = materialised(links.unionByName(verifier.linked(_pruned(more, sets, percent))))
-    roots = connected(links)
-    left = bucket.select("sig", "s")
-    for _ in range(HUB_ROUNDS):
-        whole = Window.partitionBy("sig")
-        rows = _rooted(left, roots).select(
-            "sig",
-            "s",
-            "root",
-            F.first("s").over(upto).alias("hs"),
-            F.first("root").over(upto).alias("hroot"),
-            F.min("root").over(whole).alias("low"),
-            F.max("root").over(whole).alias("high"),
-        )
-        rows = written(rows.where("low <> high and s <> hs").select("sig", "s", "hs", (F.col("root") != F.col("hroot")).alias("apart")))
-        pairs = rows.where("apart").select(F.col("hs").alias("a"), F.col("s").alias("b")).distinct()
-        links = materialised(links.unionByName(verifier.linked(_pruned(pairs, sets, percent))))
+    cells = materialised(_tiled(_buckets(rows, tile)))
+    known = each.where("s is not null").join(cells.select("s").distinct(), "s", "left_semi")
+    known = materialised(known.groupBy("s").agg(F.first("n").alias("n"), F.first("bits").alias("bits")))
+    each = each.drop("bits")
+    verifier = _Verifier(held, each, words, percent)
+    links, roots, asked, more = None, None, None, 0
+    while True:
+        named = known.withColumn("root", F.col("s")) if roots is None else _rooted(known, roots)
+        blocks = cells.join(named, "s").repartition("bucket", "tile").sortWithinPartitions("bucket", "tile")
+        blocks = blocks.select("bucket", "tile", "s", "root", "n", "bits")
+        found = written(in_batches(blocks, _proposals(percent, more), "a long, b long, bucket long, tile int"))
+        pairs = found.where("a is not null").select("a", "b").distinct()
+        pairs = materialised(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"))
+        new = verifier.linked(pairs)
+        links = materialised(new if links is None else links.unionByName(new))
+        asked = pairs if asked is None else asked.unionByName(pairs)
         roots = connected(links)
-        left = rows.select("sig", "s")
-        if left.isEmpty():
+        # Where all edges of a forest hold, its other pairs join nothing.
+        open_tiles = found.where("bucket is not null").select("bucket", "tile").distinct()
+        inside = _rooted(cells.join(open_tiles, ["bucket", "tile"], "left_semi"), roots)
+        apart = inside.groupBy("bucket", "tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        cells = materialised(cells.join(apart, ["bucket", "tile"], "left_semi"))
+        if cells.isEmpty():
             break
-    else:
-        a, b = (_prefixed(_rooted(left, roots).join(sets, "s"), x) for x in "ab")
-        rest = (F.col("as") < F.col("bs")) & (F.col("aroot") != F.col("broot")) & _possible("a", "b", percent)
-        pairs = a.join(b, (F.col("asig") == F.col("bsig")) & rest).select(F.col("as").alias("a"), F.col("bs").alias("b"))
-        links = materialised(links.unionByName(verifier.linked(pairs)))
-        roots = connected(links)
+        more = max(1, more) * STEP
     named = each.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
     named = materialised(named)
     first = named.where("root is not null").groupBy("root").agg(F.min("own_id").alias("first_id"))
@@ -266,13 +381,6 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
 
 
-def _pruned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and parity bits allow."""
-    a, b = (_prefixed(sets, x) for x in ("a_", "b_"))
-    both = pairs.join(a, F.col("a") == F.col("a_s")).join(b, F.col("b") == F.col("b_s"))
-    return both.where(_possible("a_", "b_", percent)).select("a", "b")
-
-
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each component the one with the smallest id.
 

@@ -12,8 +12,6 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,13 +26,11 @@ from .shared import in_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 #: Lattice places that a task remembers.
-PLACES = 800_000
-#: Other segmentations of a word that have less than this share of its mass together are left out of the search.
-LEAST = 1e-9
+PLACES = 2_500_000
 #: Characters of texts whose words are built together.
 TOGETHER = 200_000
 SPACE, LITERAL = "▁", "\ud800"  # a lone surrogate, which no text holds, stands for a literal U+2581
-SCHEMA = "doc_id long, sample int, n_pieces int, log_prob double, value double, inclusion double, round_trip boolean, ids array<int>"
+SCHEMA = "doc_id long, sample int, n_pieces int, log_prob double, value double, inclusion double, log_inclusion double, round_trip boolean, ids array<int>"
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -52,6 +48,15 @@ class Vocabulary:
     longest: int
     unit: str
 
+    def __post_init__(self) -> None:
+        self.sizes = np.array([len(r) for r in self.raw])
+        self.flat, self.starts = np.frombuffer(b"".join(self.raw), np.uint8), np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of pieces, one after the other."""
+        sizes = self.sizes[ids]
+        return self.flat[np.repeat(self.starts[ids] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+
 
 def vocabulary(path: str = MODEL, power: float = 1.0) -> Vocabulary:
     """Read a SentencePiece model. BPE scores are ranks; Zipf's rule makes them probabilities, 1 / (rank + 10)^power."""
@@ -93,11 +98,32 @@ class _Rows(dict):
         return number
 
 
+class _Store:
+    """A numpy array of records that grows at its end."""
+
+    def __init__(self, **kinds: type):
+        self.held, self.n = np.empty(1 << 16, list(kinds.items())), 0
+
+    def add(self, **values: np.ndarray) -> None:
+        n = self.n + len(next(iter(values.values())))
+        if n > len(self.held):
+            more = np.empty(max(2 * len(self.held), n), self.held.dtype)
+            more[: self.n] = self.held[: self.n]
+            self.held = more
+        for name, x in values.items():
+            self.held[name][self.n : n] = x
+        self.n = n
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        return self.held[name]
+
+
 class Lattices:
     """The lattices of words, one behind the other.
 
     A lattice of n characters has places base + 1 to base + n. The edges that end at a place p are numbered from
-    first[p - 1] on, the longest first, and have cumulative probabilities up to 1.
+    first[p] up to first[p + 1], the longest first, and have cumulative probabilities up to 1; ``other`` is the
+    probability of the place's other edges, and ``mass`` the logarithm of all that leads from the base to a place.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -119,9 +145,11 @@ class Lattices:
     def clear(self) -> None:
         self.of = _Rows()
         self.last = 0
-        self.base, self.size, self.total = array("q"), array("q"), array("d")
-        self.bound, self.edge_log, self.piece, self.length = array("d"), array("d"), array("i"), array("i")
-        self.first = array("q", [0])
+        # What is read together stands together in memory.
+        self.words = _Store(base=np.int64, end=np.int64)
+        self.places = _Store(first=np.int64, mass=np.float64)  # place p at p; its edges end where the next one's begin
+        self.edges = _Store(bound=np.float64, log=np.float64, other=np.float64, piece=np.int32, length=np.int32)
+        self.places.add(first=np.zeros(2, np.int64), mass=np.zeros(2))
 
     def build(self) -> None:
         """Build the lattices of the words that have come up, all at once."""
@@ -163,7 +191,7 @@ class Lattices:
             slot = free[at]
             free[at] += 1
             piece[slot], log[slot], length[slot] = numbers, logs, size
-        mass, share = np.zeros(total), np.empty(edges)
+        mass, share, other = np.zeros(total), np.empty(edges), np.empty(edges)
         for place in range(1, len(borders)):
             at = order[borders[place - 1] : borders[place]]
             width = count[at]
@@ -175,44 +203,45 @@ class Lattices:
             value = log[edge] + before
             top = np.maximum.reduceat(value, begin)
             value = np.exp(value - np.repeat(top, width))
-            mass[at] = top + np.log(np.add.reduceat(value, begin))
+            sums = np.add.reduceat(value, begin)
+            mass[at] = top + np.log(sums)
+            value /= np.repeat(sums, width)
             share[edge] = value
+            # What the others have; where an edge has most of it, their sum and not the difference to 1.
+            most = value > 0.5
+            other[edge] = 1.0 - value
+            few = np.add.reduceat(np.where(most, 0.0, value), begin)
+            other[edge[most]] = np.repeat(few, width)[most]
         share = np.cumsum(share)
         start = np.where(first > 0, share[first - 1], 0.0)
         end = first + count - 1
         bound = (share - np.repeat(start, count)) / np.repeat(share[end] - start, count)
         bound[end] = 1.0
-        for store, values in (
-            (self.bound, bound),
-            (self.edge_log, log),
-            (self.piece, piece),
-            (self.length, length),
-            (self.first, self.first[-1] + np.cumsum(count)),
-            (self.base, self.last + ends - n),
-            (self.size, n),
-            (self.total, mass[ends - 1]),
-        ):
-            store.frombytes(values.tobytes())
+        self.words.add(base=self.last + ends - n, end=self.last + ends)
+        self.places.held["mass"][self.places.n - 1] = mass[0]  # the next place, whose edges begin where the last one's end
+        self.places.add(first=self.edges.n + np.cumsum(count), mass=np.append(mass[1:], 0.0))
+        self.edges.add(bound=bound, log=log, other=other, piece=piece, length=length)
         self.last += total
 
     def rows(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.of.__getitem__, words), np.int64, len(words))
 
     def draw(self, rows: np.ndarray, seeds: np.ndarray):
-        """One segmentation of each word: its log-probability, a number that tells it, its pieces, their ends.
+        """One segmentation of each word: log-probability, logarithm of all others' probability, pieces, their ends.
 
         The random numbers depend on the words' seeds alone.
         """
-        bound, edge_log, first = np.frombuffer(self.bound), np.frombuffer(self.edge_log), np.frombuffer(self.first, np.int64)
-        piece, length = np.frombuffer(self.piece, np.int32), np.frombuffer(self.length, np.int32)
+        bound, edge_log, other, first = self.edges["bound"], self.edges["log"], self.edges["other"], self.places["first"]
+        piece, length = self.edges["piece"], self.edges["length"]
         m = len(rows)
-        base = np.frombuffer(self.base, np.int64)[rows]
-        log, sign, count = -np.frombuffer(self.total)[rows], np.zeros(m, np.uint64), np.zeros(m, np.int64)
-        alive, at, left, steps = np.arange(m), base + np.frombuffer(self.size, np.int64)[rows], base, []
+        base, at = self.words["base"][rows], self.words["end"][rows]
+        log, count = -self.places["mass"][at], np.zeros(m, np.int64)
+        reach, rest = np.ones(m), np.zeros(m)
+        alive, left, steps = np.arange(m), base, []
         while len(alive):
             noise = _mixed(seeds + np.uint64((len(steps) + 1) * int(_STEP) % (1 << 64))) >> np.uint64(11)
             above = 1.0 - noise * 2.0**-53
-            edge = first[at - 1]
+            edge = first[at]
             low = np.flatnonzero(bound[edge] < above)
             while len(low):
                 edge[low] += 1
@@ -220,46 +249,73 @@ class Lattices:
             steps.append((alive, piece[edge]))
             log[alive] += edge_log[edge]
             at = at - length[edge]
-            sign[alive] ^= _mixed(at - left)
+            beside = other[edge]
+            rest[alive] += reach * beside
             count[alive] += 1
             more = at > left
+            reach = (reach * (1.0 - beside))[more]
             alive, at, left, seeds = alive[more], at[more], left[more], seeds[more]
         ends = np.cumsum(count)
         ids = np.empty(ends[-1] if m else 0, np.int32)
         for step, (who, number) in enumerate(steps):
             ids[ends[who] - 1 - step] = number
-        return log, sign, ids, ends
-
-    def draw_other(self, row: int, own: list[int], rng: np.random.Generator) -> tuple[float, int, list[int]]:
-        """A segmentation of one word that is not ``own``: its log-probability, the number that tells it, its pieces.
-
-        From the end on it follows ``own`` up to a drawn place, leaves it there by another edge, and goes on freely.
+        with np.errstate(divide="ignore"):
+            return log, np.log(rest), ids, ends
+
+    def _shares(self, at: int, base: int) -> dict[int, float]:
+        """The edges that end at a place, and their probabilities."""
+        edges, mass, first = self.edges.held, self.places["mass"], self.places["first"]
+        shares = {}
+        for e in range(int(first[at]), int(first[at + 1])):
+            before = at - int(edges[e]["length"])
+            shares[e] = math.exp(edges[e]["log"] + (mass[before] if before > base else 0.0) - mass[at])
+        return shares
+
+    def _seen(self, row: int, seen: list[list[int]]) -> list[tuple[dict[int, float], dict[int, int]]]:
+        """The tree of segmentations, each from its end on: by edge, the probability of what is not in the tree and the
+        tree's next node. The root comes first."""
+        piece, length = self.edges["piece"], self.edges["length"]
+        base, end = self.words.held[row].tolist()
+        nodes: list[tuple] = [(self._shares(end, base), {})]
+        for pieces in seen:
+            now, at = 0, end
+            for number in reversed(pieces):
+                shares, after = nodes[now]
+                edge = next(e for e in shares if piece[e] == number)
+                at -= int(length[edge])
+                if edge not in after:
+                    after[edge] = len(nodes)
+                    nodes.append((self._shares(at, base) if at > base else {}, {}))
+                now = after[edge]
+        for shares, after in reversed(nodes):
+            for edge, node in after.items():
+                shares[edge] *= sum(nodes[node][0].values())
+        return nodes
+
+    def unseen(self, row: int, seen: list[list[int]]) -> float:
+        """Probability of all segmentations of a word but those."""
+        return sum(self._seen(row, seen)[0][0].values())
+
+    def draw_other(self, row: int, seen: list[list[int]], rng: np.random.Generator) -> tuple[float, list[int]]:
+        """Another segmentation of a word than those seen, of which some must be left: log-probability and pieces.
+
+        From the end on it stays in the tree of those as far as it is drawn to, and then goes on freely.
         """
-        base, n, total = self.base[row], self.size[row], self.total[row]
-        places, at = [], base + n
-        for number in reversed(own):
-            low, high = self.first[at - 1], self.first[at]
-            edge = next(e for e in range(low, high) if self.piece[e] == number)
-            shares = [self.bound[e] - (self.bound[e - 1] if e > low else 0.0) for e in range(low, high)]
-            places.append((at, low, edge - low, shares))
-            at -= self.length[edge]
-        reach, weights = 1.0, []
-        for _, _, i, shares in places:
-            weights.append(reach * (sum(shares[:i]) + sum(shares[i + 1 :])))
-            reach *= shares[i]
-        leave = _pick(weights, rng)
-        edges = [low + i for _, low, i, _ in places[:leave]]
-        at, low, i, shares = places[leave]
-        edges.append(low + _pick([0.0 if e == i else x for e, x in enumerate(shares)], rng))
-        at -= self.length[edges[-1]]
+        base, end = self.words.held[row].tolist()
+        nodes, first, bound = self._seen(row, seen), self.places["first"], self.edges["bound"]
+        at, node, edges = end, 0, []
         while at > base:
-            edges.append(bisect_left(self.bound, 1.0 - rng.random(), self.first[at - 1], self.first[at]))
-            at -= self.length[edges[-1]]
-        rest, sign = n, np.uint64(0)
-        for e in edges:
-            rest -= self.length[e]
-            sign ^= _mixed(np.array([rest]))[0]
-        return sum(self.edge_log[e] for e in edges) - total, int(sign), [self.piece[e] for e in reversed(edges)]
+            if node is None:
+                low, high = int(first[at]), int(first[at + 1])
+                edge = low + int(np.searchsorted(bound[low:high], 1.0 - rng.random()))
+            else:
+                shares, after = nodes[node]
+                edge = min(shares) + _pick(list(shares.values()), rng)
+                node = after.get(edge)
+            edges.append(edge)
+            at -= int(self.edges["length"][edge])
+        log = float(self.edges["log"][edges].sum() - self.places["mass"][end])
+        return log, self.edges["piece"][edges[::-1]].tolist()
 
 
 def _pick(weights: list[float], rng: np.random.Generator) -> int:
@@ -289,29 +345,37 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Path:
     """A segmentation: log-probability by word, pieces, their ends by word, perturbed value, and its open regions.
 
-    Region j holds the segmentations with the path's first words and another one of word j than those in out[j].
+    Region j holds the segmentations with the path's first words and another one of word j than those in out[j]. The
+    greatest perturbed value of all open regions is a Gumbel of their whole mass below the last value taken from them;
+    the region that has it is drawn by the masses.
     """
 
     log: np.ndarray
     ids: np.ndarray
     ends: np.ndarray
     value: float
-    bounds: np.ndarray
-    sign: np.ndarray
-    out: dict[int, tuple[set, float]]
+    masses: np.ndarray
+    out: dict[int, list[list[int]]]
+    bound: float = -math.inf
 
+    def look(self, below: float, rng: np.random.Generator) -> None:
+        """Draw the greatest value of the open regions."""
+        total = _log_sum(self.masses)
+        self.bound = _truncated(total, below, rng) if total > -math.inf else -math.inf
 
-def _bounds(log: np.ndarray, value: float, rng: np.random.Generator) -> np.ndarray:
-    """Perturbed maxima of the regions beside a path, below its own value."""
-    before = np.concatenate(([0.0], np.cumsum(log)[:-1]))
-    with np.errstate(divide="ignore"):
-        rest = np.log(-np.expm1(np.minimum(log, 0.0)))
-    return _truncated(before + np.where(rest < math.log(LEAST), -np.inf, rest), value, rng)
+    def region(self, rng: np.random.Generator) -> int:
+        weights = np.cumsum(np.exp(self.masses - self.masses.max()))
+        return int(np.searchsorted(weights, rng.random() * weights[-1], "right"))
+
+
+def _log_sum(x: np.ndarray) -> float:
+    top = float(x.max())
+    return top + math.log(float(np.exp(x - top).sum())) if top > -math.inf else top
 
 
-def _truncated(mass: np.ndarray, value: float, rng: np.random.Generator) -> np.ndarray:
-    noise = np.log(rng.exponential(size=np.shape(mass)) + 1e-300)
-    return -np.logaddexp(-value, noise - mass)
+def _truncated(mass: float, value: float, rng: np.random.Generator) -> float:
+    """A Gumbel of a mass, given as logarithm, below a value."""
+    return -float(np.logaddexp(-value, math.log(rng.exponential() + 1e-300) - mass))
 
 
 class Search:
@@ -331,40 +395,36 @@ class Search:
         first = np.uint64((self.seed + len(self.paths) * 0xD1B54A32D192ED03) % (1 << 64))
         return rows, _mixed(np.arange(self.start, self.start + len(rows), dtype=np.uint64) * _STEP + first)
 
-    def drawn(self, log: np.ndarray, sign: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+    def drawn(self, log: np.ndarray, rest: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
         """Take the drawn words as the rest of the next path, and choose the region of the one after it."""
         if self.kept is not None:
-            log0, sign0, ids0, ends0 = self.kept
-            log, sign = np.concatenate((log0, log)), np.concatenate((sign0, sign))
+            log0, ids0, ends0 = self.kept
+            log, rest = np.concatenate((log0, log)), np.concatenate((np.full(len(log0), -np.inf), rest))
             ids, ends = np.concatenate((ids0, ids)), np.concatenate((ends0, len(ids0) + ends))
-        bounds = _bounds(log, self.value, self.rng)
-        bounds[: self.start] = -np.inf
-        self.paths.append(Path(log, ids, ends, self.value, bounds, sign, {}))
-        tops = [float(p.bounds.max()) for p in self.paths]
-        self.value = max(tops)
-        self.origin = self.paths[int(np.argmax(tops))]
+        masses = rest
+        masses[1:] += np.cumsum(log[:-1])
+        self.paths.append(Path(log, ids, ends, self.value, masses, {}))
+        self.paths[-1].look(self.value, self.rng)
+        self.origin = max(self.paths, key=lambda p: p.bound)
+        self.value = self.origin.bound
 
     def branch(self) -> None:
         """Fix the next path up to the word by which it leaves its origin."""
         p = self.origin
-        j = int(np.argmax(p.bounds))
-        seen, spent = p.out.get(j, ({int(p.sign[j])}, math.exp(p.log[j])))
+        j = p.region(self.rng)
         start = int(p.ends[j - 1]) if j else 0
-        while True:
-            log, sign, piece = self.lattices.draw_other(int(self.rows[j]), p.ids[start : int(p.ends[j])].tolist(), self.rng)
-            if sign not in seen:
-                break
+        seen = p.out.setdefault(j, [p.ids[start : int(p.ends[j])].tolist()])
+        log, piece = self.lattices.draw_other(int(self.rows[j]), seen, self.rng)
         self.start = j + 1
         self.kept = (
             np.append(p.log[:j], log),
-            np.append(p.sign[:j], np.uint64(sign)),
             np.concatenate((p.ids[:start], np.array(piece, np.int32))),
             np.append(p.ends[:j], start + len(piece)),
         )
-        spent += math.exp(log)
-        p.out[j] = (seen | {sign}, spent)
-        rest = float(p.log[:j].sum()) + (math.log(1 - spent) if spent < 1 - LEAST else -math.inf)
-        p.bounds[j] = float(_truncated(np.float64(rest), self.value, self.rng)) if rest > -math.inf else -math.inf
+        seen.append(piece)
+        left = self.lattices.unseen(int(self.rows[j]), seen)
+        p.masses[j] = float(p.log[:j].sum()) + math.log(left) if left > 0 else -math.inf
+        p.look(self.value, self.rng)
 
 
 def search(texts: list[tuple[object, list[str]]], lattices: Lattices, k: int, seed: int = 0) -> list[Search]:
@@ -378,12 +438,12 @@ def search(texts: list[tuple[object, list[str]]], lattices: Lattices, k: int, se
         if not turn:
             break
         asked = [s.wanted() for s in turn]
-        log, sign, ids, ends = lattices.draw(np.concatenate([r for r, _ in asked]), np.concatenate([x for _, x in asked]))
+        log, rest, ids, ends = lattices.draw(np.concatenate([r for r, _ in asked]), np.concatenate([x for _, x in asked]))
         a = b = 0
         for s, (rows, _) in zip(turn, asked, strict=True):
             stop = int(ends[a + len(rows) - 1]) if len(rows) else b
             part = slice(a, a + len(rows))
-            s.drawn(log[part], sign[part], ids[b:stop], ends[part] - b)
+            s.drawn(log[part], rest[part], ids[b:stop], ends[part] - b)
             a, b = a + len(rows), stop
         turn = [s for s in turn if s.value > -math.inf and len(s.paths) < k]
         for s in turn:
@@ -412,17 +472,18 @@ def decode(ids: list[int] | np.ndarray, v: Vocabulary) -> str:
 
 
 def samples(done: Search, v: Vocabulary) -> list[tuple]:
-    """(sample, log-probability, value, inclusion, ids) of a finished search."""
+    """(sample, log-probability, value, inclusion, its logarithm, ids) of a finished search."""
     out = []
     for sample, p in enumerate(done.paths, 1):
         log = float(p.log.sum())
-        # The chance that a Gumbel around the log-probability exceeds the next value.
-        inclusion = 1.0 if done.value == -math.inf else -math.expm1(-math.exp(min(log - done.value, 700.0)))
-        out.append((sample, log, p.value, inclusion, expanded(p.ids, v)))
+        # The chance that a Gumbel around the log-probability exceeds the next value; nearly their ratio where it is small.
+        above = log - done.value
+        inclusion = 1.0 if done.value == -math.inf else -math.expm1(-math.exp(min(above, 700.0)))
+        out.append((sample, log, p.value, inclusion, math.log(inclusion) if inclusion > 1e-9 else above, expanded(p.ids, v)))
     return out
 
 
-NOTHING = [(1, 0.0, 0.0, 1.0, np.empty(0, np.int32))]
+NOTHING = [(1, 0.0, 0.0, 1.0, 0.0, np.empty(0, np.int32))]
 
 
 def encode(texts: list[tuple[object, str | None]], lattices: Lattices, k: int = SAMPLES, seed: int = 0) -> list[list[tuple]]:
@@ -447,9 +508,9 @@ def _encoder(v: Vocabulary, k: int, seed: int):
                 rows = []
                 for (key, t), found in zip(waiting, encode(waiting, lattices, k, seed), strict=True):
                     raw = b" " + t.encode("utf-8", "surrogatepass") if t else b""
-                    for sample, log, value, inclusion, ids in found:
-                        back = b"".join(map(v.raw.__getitem__, ids.tolist()))
-                        rows.append((key, sample, len(ids), log, value, inclusion, back == raw, ids))
+                    for sample, log, value, inclusion, log_inclusion, ids in found:
+                        same = v.joined(ids).tobytes() == raw
+                        rows.append((key, sample, len(ids), log, value, inclusion, log_inclusion, same, ids))
                 yield _batch(rows)
                 waiting, size = [], 0
 
@@ -458,29 +519,29 @@ def _encoder(v: Vocabulary, k: int, seed: int):
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     *plain, ids = zip(*rows, strict=True)
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
+    kinds = (pa.int64(), pa.int32(), pa.int32(), *[pa.float64()] * 4, pa.bool_())
     ends = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32))
     lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids)))
-    names = ["doc_id", "sample", "n_pieces", "log_prob", "value", "inclusion", "round_trip", "ids"]
+    names = ["doc_id", "sample", "n_pieces", "log_prob", "value", "inclusion", "log_inclusion", "round_trip", "ids"]
     return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(plain, kinds, strict=True)), lists], names)
 
 
 def encoded(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SAMPLES, seed: int = 0, v: Vocabulary | None = None
+    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SAMPLES, seed: int = 0, v: Vocabulary | None = None, model: str = MODEL
 ) -> DataFrame:
-    """doc_id, sample, n_pieces, log_prob, value, inclusion, round_trip, ids: up to ``k`` rows for each row of ``docs``.
+    """doc_id, sample, n_pieces, log_prob, value, inclusion, log_inclusion, round_trip, ids: up to ``k`` rows for each row of ``docs``.
 
     Samples are distinct, in falling order of ``value`` (perturbed log-probability); a text with fewer segmentations
     gives all of them, a null or empty text the empty one. ``round_trip`` tells that the pieces decode to the text.
     A row's samples depend on its key, its text, ``k`` and ``seed`` alone, so repeated rows give equal samples.
     """
-    v = vocabulary() if v is None else v
+    v = vocabulary(model) if v is None else v
     return in_batches(docs.select(F.col(key).cast("long").alias("doc_id"), text), _encoder(v, k, seed), SCHEMA)
 
 
-def decoded(rows: DataFrame, v: Vocabulary | None = None) -> DataFrame:
+def decoded(rows: DataFrame, v: Vocabulary | None = None, model: str = MODEL) -> DataFrame:
     """doc_id, sample, text of encoded rows; null pieces give a null text."""
-    v = vocabulary() if v is None else v
+    v = vocabulary(model) if v is None else v
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

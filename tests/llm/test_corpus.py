@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -316,11 +317,11 @@ def test_samples_follow_the_lattice():
     p = {s: math.exp(x - total) for s, x in every}
     n, first, second, weight = 8000, collections.Counter(), collections.Counter(), collections.Counter()
     for a, b in pieces.encode([(i, "the ox") for i in range(n)], lattices, 2):
-        first[tuple(a[4])] += 1
-        second[tuple(b[4])] += 1
-        assert tuple(a[4]) != tuple(b[4]) and a[2] >= b[2] and math.isclose(a[1], math.log(p[tuple(a[4])]), abs_tol=1e-6)
+        first[tuple(a[5])] += 1
+        second[tuple(b[5])] += 1
+        assert tuple(a[5]) != tuple(b[5]) and a[2] >= b[2] and math.isclose(a[1], math.log(p[tuple(a[5])]), abs_tol=1e-6)
         for s in (a, b):
-            weight[tuple(s[4])] += math.exp(s[1]) / s[3]
+            weight[tuple(s[5])] += math.exp(s[1]) / s[3]
     for s in sorted(p, key=p.get)[-3:]:
         after = sum(p[a] * p[s] / (1 - p[a]) for a in p if a != s)
         for seen, want in ((first, p[s]), (second, after)):
@@ -335,9 +336,43 @@ def test_pieces_round_trip_and_depend_on_the_key_alone():
     together = pieces.encode(list(enumerate(texts)), one, 3)
     for i, t in enumerate(texts):
         alone = pieces.encode([(i, t)], other, 3)[0]
-        assert [s[4].tolist() for s in alone] == [s[4].tolist() for s in together[i]]
-        assert all(pieces.decode(s[4], v) == t for s in alone)
-        assert len({tuple(s[4]) for s in alone}) == len(alone)
+        assert [s[5].tolist() for s in alone] == [s[5].tolist() for s in together[i]]
+        assert all(pieces.decode(s[5], v) == t for s in alone)
+        assert len({tuple(s[5]) for s in alone}) == len(alone)
+
+
+def test_small_words_give_all_their_segmentations():
+    v = pieces.vocabulary()
+    for text in ("of", "the", "oxen"):
+        every = [(s, x) for s, x in segmentations("▁" + text, v)]
+        total = math.log(sum(math.exp(x) for _, x in every))
+        lattices = pieces.Lattices(v)
+        for k in (5, len(every), len(every) + 3):
+            done = pieces.encode([(i, text) for i in range(50)], lattices, k)
+            for samples in done:
+                assert len({tuple(s[5]) for s in samples}) == len(samples) == min(k, len(every))
+                assert {tuple(s[5].tolist()) for s in samples} <= {s for s, _ in every}
+                assert all(math.isclose(s[1] + total, dict(every)[tuple(s[5].tolist())], abs_tol=1e-6) for s in samples)
+                assert all(a[2] >= b[2] for a, b in itertools.pairwise(samples))
+                if k > len(every):
+                    assert all(s[3] == 1.0 and s[4] == 0.0 for s in samples)
+    # The masses of what is left out are exact however small they are, and nothing is below reach.
+    words = pieces.Lattices(v)
+    rows = words.rows(["▁the", "▁oxen"])
+    words.build()
+    for row, word in zip(rows.tolist(), ("▁the", "▁oxen"), strict=True):
+        every = segmentations(word, v)
+        total = math.log(sum(math.exp(x) for _, x in every))
+        for n in range(1, len(every) + 1):
+            seen = sorted(every, key=lambda s: -s[1])[:n]
+            left = sum(math.exp(x - total) for s, x in every if s not in {y for y, _ in seen})
+            assert math.isclose(words.unseen(row, [list(s) for s, _ in seen]), left, rel_tol=1e-6, abs_tol=1e-300)
+
+
+def test_log_inclusion_does_not_underflow():
+    for samples in pieces.encode([(i, "seldom heard words of " * 400) for i in range(3)], pieces.Lattices(pieces.vocabulary()), 2):
+        assert all(math.isfinite(s[4]) and s[4] <= 0 for s in samples)
+        assert all(math.isclose(math.exp(s[4]), s[3], rel_tol=1e-6, abs_tol=1e-9) for s in samples)
 
 
 def test_decode_query(spark, docs, texts):

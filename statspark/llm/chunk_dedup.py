@@ -1,27 +1,21 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
-Chunks end where a hash of the last 16 bytes is small, so equal passages are cut alike wherever they stand and an
-insertion moves no cut beyond its own neighbourhood. A chunk whose digest no other document has can't be part of a
-repeated passage. Between such chunks, runs of as many words as the shortest passage has are the seeds, whose ends are
-then found by comparing the two texts.
+Chunks begin at words whose gear hash (of the 16 bytes from there) is the least among their neighbours, so equal passages
+are cut alike wherever they stand, an insertion moves no cut beyond its own neighbourhood, and no chunk has more words
+than there are neighbours. A chunk's digest covers the chunks behind it too, up to as many words as every passage holds
+behind a cut of its own; documents with an equal digest are compared byte by byte around it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .passages import LEAST_WORDS, common_windows, passages
-from .shared import in_batches
+from .passages import LEAST_WORDS, minimisers, repeated, steps, words_of
 
-#: Mean chunk size in bytes, most bytes of a chunk, and least bytes of a chunk that is looked up (shorter ones are too
-#: common to tell anything).
-MEAN, MOST, LEAST = 32, 1024, 16
+#: Bytes that the gear hash of a place depends on.
+REACH = 16
 GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -35,97 +29,30 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(data: np.ndarray, mean: int = MEAN, most: int = MOST) -> np.ndarray:
-    """Ends of the chunks, the last one at the end of the data; never inside a UTF-8 character."""
-    if not len(data):
-        return np.empty(0, np.int64)
-    whole = np.append((data[1:] & 0xC0) != 0x80, True)
-    ends = np.flatnonzero((gear(data) < np.uint32((1 << 32) // mean)) & whole) + 1
-    if not len(ends) or ends[-1] != len(data):
-        ends = np.append(ends, len(data))
-    sizes = np.diff(ends, prepend=0)
-    if sizes.max() <= most:
-        return ends
-    out, chars = [], np.flatnonzero(whole) + 1
-    for end, size in zip(ends.tolist(), sizes.tolist(), strict=True):
-        at = end - size
-        while end - at > most:  # equal long runs are cut alike: their cuts count from the run's start
-            at = int(chars[np.searchsorted(chars, at + most, "right") - 1])
-            out.append(at)
-        out.append(end)
-    return np.array(out)
-
-
-def _chunks(mean: int, least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts: list[tuple] = []
-            held = 0
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                ends = cuts(np.frombuffer(raw, np.uint8), mean)
-                starts = np.concatenate(([0], ends[:-1]))[: len(ends)]
-                long = ends - starts >= least
-                starts, ends = starts[long], ends[long]
-                digest = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                parts.append((np.array(digest, np.uint64), np.full(len(ends), key, np.int64), starts, ends - starts))
-                held += len(ends)
-                if held > 300_000:
-                    yield _rows(parts)
-                    parts, held = [], 0
-            if parts:
-                yield _rows(parts)
-
-    return run
-
-
-def _rows(parts: list[tuple]) -> pa.RecordBatch:
-    digest, key, start, size = (np.concatenate(x) for x in zip(*parts, strict=True))
-    columns = [digest.view(np.int64), key, start.astype(np.int32), size.astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["digest", "doc_id", "at", "size"])
-
-
-def chunks(docs: DataFrame, mean: int = MEAN, least: int = LEAST) -> DataFrame:
-    """digest, doc_id, at, size (bytes) of the chunks of ``docs`` (doc_id, text) with ``least`` bytes and more."""
-    return in_batches(docs, _chunks(mean, least), "digest long, doc_id long, at int, size int")
-
-
-def _fits(mean: int):
-    """Which runs hold no chunk that stands in no other document.
-
-    A run settles those of its chunks that begin at a cut by the hash of 16 of its bytes and end before it does.
-    """
+def rolled(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Gear hash of the bytes from each of the given places on."""
+    return gear(data)[np.minimum(starts + REACH - 1, len(data) - 1)] if len(starts) else np.empty(0, np.uint32)
 
-    def fits(data: np.ndarray, common: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        stop = cuts(data, mean)
-        start = np.concatenate(([0], stop[:-1]))
-        by_hash = gear(data)[start - 1] < np.uint32((1 << 32) // mean)
-        alone = by_hash & (start > 0) & (stop - start >= LEAST) & ~np.isin(start, common)
-        start, stop = start[alone], np.append(stop[alone], len(data) + 1)
-        return stop[np.searchsorted(start, starts + 16)] >= ends
 
-    return fits
+def cuts(data: np.ndarray, least_words: int = LEAST_WORDS) -> np.ndarray:
+    """Starts of the chunks of a text; its last words, which begin no passage, have none."""
+    starts = words_of(data)[0]
+    last = len(starts) - least_words + steps(least_words)
+    return starts[minimisers(rolled(data, starts[:last]), steps(least_words))] if len(starts) >= least_words else starts[:0]
 
 
 def repeated_passages(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    mean: int = MEAN,
-    least_words: int = LEAST_WORDS,
-    within: bool = False,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, within: bool = False
 ) -> DataFrame:
     """doc_id, start, end, n_words, keep_doc_id, keep_start: passages that an earlier document holds too.
 
-    Each run of ``least_words`` words is compared with the nearest earlier document that holds it, so every passage is
-    found, in each of its places; ``within`` adds repeats inside one document. Offsets are code points; matches have at
-    least ``least_words`` whole words. Rows without id can't be named and are left out; null and empty texts have no
-    chunks. Repeated rows of one id count as one document. An empty table gives no rows.
+    Every passage of ``least_words`` words is found, in each of its places; ``within`` adds repeats inside one document.
+    Offsets are code points; matches have at least ``least_words`` whole words. Rows without id can't be named and are
+    left out; null and empty texts have no chunks. Repeated rows of one id count as one document, with its smallest
+    text. An empty table gives no rows.
     """
     held = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    marks = chunks(held, mean).select(F.xxhash64("digest", "size").alias("digest"), "doc_id", "at")
-    pairs = common_windows(held, marks, _fits(mean), least_words, within)
-    return passages(held, pairs, least_words)
+    return repeated(held, rolled, least_words, within)
 
 
 def without(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

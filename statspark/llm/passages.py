@@ -6,14 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bounded, in_batches, materialised
+from .shared import bounded, in_batches, materialised, written
 
 #: Whole words in the shortest match that is kept.
 LEAST_WORDS = 50
-SCHEMA = "doc_id long, start int, end int, n_words int, keep_doc_id long, keep_start int"
+SCHEMA = "doc_id long, start int, end int, n_words int, keep_doc_id long, keep_start int, h long"
 
 
 def whole_words(text: bytes, start: int, end: int) -> int:
@@ -24,25 +24,38 @@ def whole_words(text: bytes, start: int, end: int) -> int:
     return n - cut_left - cut_right
 
 
-def _extended(least_words: int):
-    """Matches of pairs of texts (a, b, ta, tb, seeds) around their seeds, each match once."""
+def _extended(least_words: int, aside: int):
+    """Matches of pairs of texts (a, b, ta, tb, seeds) around their seeds, each match once; and as rows with ``h`` alone
+    the seeds that other documents might extend further: those whose match does not go on for ``aside`` words to both
+    sides of the seed's run, or to the text's ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for a, b, ta, tb, seeds in zip(*(batch.column(i) for i in range(5)), strict=True):
                 a, b, x = a.as_py(), b.as_py(), ta.as_py().encode("utf-8", "surrogatepass")
-                y = tb.as_py().encode("utf-8", "surrogatepass")
-                for sa, sb, n in matches(x, y, seeds.as_py()):
+                y, seeds = tb.as_py().encode("utf-8", "surrogatepass"), seeds.as_py()
+                found: dict[int, list[tuple[int, int]]] = {}
+                for sa, sb, n in matches(x, y, seeds):
                     words = whole_words(y, sb, sb + n)
                     if words >= least_words:
+                        found.setdefault(sb - sa, []).append((sb, sb + n))
                         start = len(y[:sb].decode("utf-8", "surrogatepass"))
                         keep = len(x[:sa].decode("utf-8", "surrogatepass"))
                         size = len(y[sb : sb + n].decode("utf-8", "surrogatepass"))
-                        rows.append((b, start, start + size, words, a, keep))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
-            names = ["doc_id", "start", "end", "n_words", "keep_doc_id", "keep_start"]
+                        rows.append((b, start, start + size, words, a, keep, None))
+                others = [s for s in seeds if s["more"]]
+                if others:
+                    begins, ends = words_of(np.frombuffer(y, np.uint8))
+                    for s in others:
+                        i = int(np.searchsorted(begins, s["at"]))
+                        low = begins[i - aside] if i >= aside else 0
+                        high = ends[last] if (last := i + least_words - 1) < len(ends) else len(y)
+                        if not any(u <= low and high <= v for u, v in found.get(s["at"] - s["other"], ())):
+                            rows.append((None, None, None, None, None, None, s["h"]))
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
+            names = ["doc_id", "start", "end", "n_words", "keep_doc_id", "keep_start", "h"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return run
@@ -81,13 +94,11 @@ _WHITE = np.zeros(256, bool)
 _WHITE[list(b"\t\n\v\f\r ")] = True
 
 
-def windows(data: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of all runs of so many whole words."""
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all words."""
     inside = np.concatenate(([False], ~_WHITE[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    n = max(0, len(starts) - words + 1)
-    return starts[:n], ends[len(ends) - n :]
+    return edges[::2], edges[1::2]
 
 
 def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -99,64 +110,161 @@ def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return h ^ (h >> np.uint64(29))
 
 
-def _windows_of(words: int, fits):
+def minimisers(h: np.ndarray, window: int) -> np.ndarray:
+    """Places that are the least of some ``window`` neighbouring places, ties included."""
+    if not len(h):
+        return np.empty(0, np.int64)
+    window = min(window, len(h))
+    least, width = h, 1
+    while width * 2 <= window:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    rest = window - width
+    least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+    # A place is chosen if its value is the least of a window that holds it: of the windows that begin up to window-1 before.
+    n = len(least)
+    high, width = np.concatenate((np.zeros(window - 1, h.dtype), least, np.zeros(window - 1, h.dtype))), 1
+    while width * 2 <= window:
+        high = np.maximum(high[:-width], high[width:])
+        width *= 2
+    rest = window - width
+    high = np.maximum(high[: len(high) - rest], high[rest:]) if rest else high
+    return np.flatnonzero(h == high[: n + window - 1])
+
+
+def steps(least_words: int) -> int:
+    """Neighbouring words of which one at least is an anchor, so that a run of the others behind it tells a passage."""
+    apart = least_words // 4 + 1
+    return apart if 2 * (least_words - apart + 1) - 1 >= 32 else 1
+
+
+def _anchors(least_words: int, value):
+    """h, deep, doc_id, at of the anchors of rows (doc_id, text): words whose ``value`` (of the bytes that follow) is the
+    least of so many neighbours that each passage has one with a run of words behind it. ``h`` is that run's hash,
+    ``deep`` that of half a passage more, 0 where the text ends before."""
+    apart = steps(least_words)
+    run_words, more = least_words - apart + 1, least_words // 2
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text, common in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            parts: list[tuple] = []
+            held = 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = np.frombuffer((text.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
-                starts, ends = windows(data, words)
-                if len(starts):
-                    places = np.sort(np.array(common.as_py() or [], np.int64))
-                    good = fits(data, places, starts, ends)
-                    starts, ends = starts[good], ends[good]
-                if len(starts):
-                    h = hashed(data, starts, ends).view(np.int64)
-                    columns = [pa.array(h), pa.array(np.full(len(h), key, np.int64)), pa.array(starts.astype(np.int32))]
+                starts, ends = words_of(data)
+                if len(starts) < least_words:
+                    continue
+                at = minimisers(value(data, starts[: len(starts) - run_words + 1]), apart)
+                far = at + run_words + more - 1
+                long = far < len(ends)
+                both = hashed(data, np.concatenate((starts[at], starts[at[long]])), np.concatenate((ends[at + run_words - 1], ends[far[long]])))
+                deep = np.zeros(len(at), np.uint64)
+                deep[long] = both[len(at) :]
+                parts.append((both[: len(at)], deep, np.full(len(at), key, np.int64), starts[at].astype(np.int32)))
+                held += len(at)
+                if held > 300_000:
+                    yield _anchor_rows(parts)
+                    parts, held = [], 0
+            if parts:
+                yield _anchor_rows(parts)
+
+    return run
+
+
+def _anchor_rows(parts: list[tuple]) -> pa.RecordBatch:
+    h, deep, key, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    columns = [h.view(np.int64), deep.view(np.int64), key, at]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "deep", "doc_id", "at"])
+
+
+def _around(least_words: int):
+    """h, doc_id, at of all runs of ``least_words`` words that hold the run behind one of the given anchors."""
+    apart = steps(least_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                data = np.frombuffer((text.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
+                starts, ends = words_of(data)
+                first = np.searchsorted(starts, np.array(places, np.int64))
+                first = np.unique((first[:, None] - np.arange(apart)).ravel())
+                first = first[(first >= 0) & (first + least_words <= len(starts))]
+                if len(first):
+                    h = hashed(data, starts[first], ends[first + least_words - 1]).view(np.int64)
+                    columns = [pa.array(h), pa.array(np.full(len(h), key, np.int64)), pa.array(starts[first].astype(np.int32))]
                     yield pa.RecordBatch.from_arrays(columns, ["h", "doc_id", "at"])
 
     return run
 
 
-def common_windows(docs: DataFrame, marks: DataFrame, fits, words: int = LEAST_WORDS, within: bool = False) -> DataFrame:
-    """a, b, seeds: pairs of documents with an equal run of ``words`` whole words, for ``passages``.
+def _nearest(rows: DataFrame, *by: str) -> Column:
+    """Of rows that agree in ``by``, the last place in the nearest earlier document."""
+    earlier = Window.partitionBy(*by).orderBy("doc_id").rangeBetween(Window.unboundedPreceding, -1)
+    return F.max(F.struct("doc_id", "at")).over(earlier)
+
+
+def _pairs(seeds: DataFrame) -> DataFrame:
+    """a, b, seeds of rows (near, doc_id, at, more, h)."""
+    seed = F.struct("at", F.col("near.at").alias("other"), "more", "h")
+    return seeds.groupBy(F.col("near.doc_id").alias("a"), F.col("doc_id").alias("b")).agg(F.collect_set(seed).alias("seeds"))
+
 
-    Any passage of so many words begins with such a run, so none is lost: each run in b is paired with the nearest
-    earlier document that holds it too, wherever and how often it stands in either. ``marks`` (digest, doc_id, at) are
-    places of ``docs`` (doc_id, text); ``fits`` (bytes, places whose digest another document has, starts and ends of
-    runs) tells which runs these allow to stand elsewhere, and only those are compared.
+def repeated(docs: DataFrame, value, least_words: int = LEAST_WORDS, within: bool = False) -> DataFrame:
+    """doc_id, start, end, n_words, keep_doc_id, keep_start: what rows (doc_id, text) have in common with earlier ones.
+
+    Each passage of ``least_words`` words holds an anchor with a run of words behind it, and equal passages hold equal
+    ones. Each anchor's run is matched with the nearest earlier document's, with one that agrees for longer first, and the
+    two texts are compared to both sides. Where a document further off might agree with other words around the run, all
+    passages that hold it are matched one by one. So whatever passage an earlier document has, a match covers it.
+    ``within`` adds repeats inside one document. A very frequent run is sorted by one task, which spills.
     """
-    every = Window.partitionBy("digest")
-    other = F.count(F.lit(1)).over(every) > 1 if within else F.min("doc_id").over(every) < F.max("doc_id").over(every)
-    common = marks.select("doc_id", "at", other.alias("other")).where("other")
-    common = common.groupBy(F.col("doc_id").alias("_key")).agg(F.collect_set("at").alias("places"))
-    held = docs.dropDuplicates(["doc_id"]).join(common, F.col("doc_id") == F.col("_key"), "left")
-    runs = in_batches(held.select("doc_id", "text", "places"), _windows_of(words, fits), "h long, doc_id long, at int")
-    if within:
-        runs = materialised(runs)
-    earlier = Window.partitionBy("h").orderBy("doc_id").rangeBetween(Window.unboundedPreceding, -1)
-    near = runs.select(F.max(F.struct("doc_id", "at")).over(earlier).alias("near"), F.col("doc_id").alias("b"), "at")
-    near = near.where("near is not null").select(F.col("near.doc_id").alias("a"), "b", F.col("near.at").alias("other"), "at")
+    rows = in_batches(docs.select("doc_id", "text"), _anchors(least_words, value), "h long, deep long, doc_id long, at int")
+    every, upto = Window.partitionBy("h"), Window.partitionBy("h").orderBy("doc_id").rangeBetween(Window.unboundedPreceding, -1)
+    ranked = rows.select(
+        "h",
+        "deep",
+        "doc_id",
+        "at",
+        F.max("doc_id").over(every).alias("last"),
+        F.min("doc_id").over(upto).alias("first"),
+        _nearest(rows, "h").alias("near"),
+        F.when(F.col("deep") != 0, _nearest(rows, "h", "deep")).alias("far"),
+    )
+    shared = ranked.where("first is not null or last > doc_id").withColumn("near", F.coalesce("far", "near"))
+    shared = written(shared.select("h", "doc_id", "at", "near", (F.col("first") < F.col("near.doc_id")).alias("more")))
+    found = written(_matched(docs, _pairs(shared.where("near is not null")), least_words))
+    more = found.where("h is not null").select("h").distinct()
+    places = shared.join(more, "h", "left_semi").groupBy(F.col("doc_id").alias("_key")).agg(F.collect_set("at").alias("places"))
+    places = materialised(places)
+    result = found.where("doc_id is not null").drop("h")
+    if not places.isEmpty():
+        ids = bounded(places.select(F.col("_key").alias("_id")))
+        around = _texts(docs, ids).join(places, F.col("doc_id") == F.col("_key")).select("doc_id", "text", "places")
+        around = in_batches(around, _around(least_words), "h long, doc_id long, at int")
+        near = around.select("h", "doc_id", "at", _nearest(around, "h").alias("near"), F.lit(False).alias("more")).where("near is not null")
+        result = result.unionByName(_matched(docs, _pairs(near), least_words).drop("h"))
     if within:
         order = Window.partitionBy("h", "doc_id").orderBy("at")
-        same = runs.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), F.lag("at").over(order).alias("other"), "at")
-        near = near.unionByName(same.where("other is not null"))
-    # A run has 2 * words - 1 bytes at least: those of one shift that begin so near to each other are of one match.
-    step = (F.col("at") / (2 * words - 1)).cast("int").alias("step")
-    seeds = near.groupBy("a", "b", (F.col("at") - F.col("other")).alias("shift"), step).agg(F.min("at").alias("at"))
-    seed = F.struct("at", (F.col("at") - F.col("shift")).alias("other"))
-    return seeds.groupBy("a", "b").agg(F.collect_list(seed).alias("seeds"))
+        runs = in_batches(docs.select("doc_id", "text"), _anchors(least_words, value), "h long, deep long, doc_id long, at int")
+        same = runs.select("h", "doc_id", "at", F.lag(F.struct("doc_id", "at")).over(order).alias("near"), F.lit(False).alias("more"))
+        result = result.unionByName(_matched(docs, _pairs(same.where("near is not null")), least_words).drop("h"))
+    return result.distinct()
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of the documents with the given ids; an id's smallest text where it has several."""
+    return docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
-def passages(docs: DataFrame, pairs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def _matched(docs: DataFrame, pairs: DataFrame, least_words: int) -> DataFrame:
     """The matches of ``pairs`` (a, b, seeds: array of byte places at in b and other in a) in ``docs`` (doc_id, text).
 
     Every pair's texts meet once, by two joins; only documents of pairs are moved.
     """
     pairs = materialised(pairs)
     ids = bounded(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    wanted = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
-    texts = wanted.dropDuplicates(["doc_id"])
+    texts = _texts(docs, ids)
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"
     )
-    return in_batches(both.select("a", "b", "ta", "tb", "seeds"), _extended(least_words), SCHEMA).distinct()
+    return in_batches(both.select("a", "b", "ta", "tb", "seeds"), _extended(least_words, steps(least_words) - 1), SCHEMA)

@@ -1,25 +1,24 @@
 """Suffix-array dedup over sparse suffixes.
 
-A passage begins with a run of as many words as the shortest one has, so suffixes are compared by that run. Which runs
-can stand in another document at all is told by minimisers: places whose 32-byte hash is the least among 68 neighbours,
-so every stretch of 99 equal bytes holds the same one, and no run of 50 words is shorter. Of the suffixes with an equal
-run each is matched with the nearest earlier document's; the two texts are then compared byte by byte to the left and to
-the right.
+Of all suffixes those are kept that begin at minimisers: words whose 32-byte block has the least hash among their
+neighbours. They are sorted by the words that follow, in two steps (hashes stand for the words: any order that keeps
+equal beginnings together serves), and compared with their neighbours in that order: each is matched with the one of an
+earlier document with which it has the longest beginning in common, and the match is extended byte by byte to the left
+and to the right.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .passages import LEAST_WORDS, common_windows, passages
-from .shared import in_batches
+from .passages import LEAST_WORDS, minimisers, repeated
+
+__all__ = ["block_hashes", "blocks_at", "minimisers", "repeated_passages"]
 
-BLOCK, WINDOW = 32, 96
+#: Bytes of a block.
+BLOCK = 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [(1 << i, np.uint64(pow(int(_ODD), 1 << i, 1 << 64))) for i in range(5)]
 _BYTE = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -33,69 +32,12 @@ def block_hashes(data: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * _ODD
 
 
-def minimisers(h: np.ndarray, window: int = WINDOW, every: bool = False) -> np.ndarray:
-    """Places that are the least of some ``window`` neighbouring places; one place of a run of equal hashes, or ``every``."""
-    if len(h) <= window and not (every and len(h)):
-        return np.array([int(np.argmin(h))]) if len(h) else np.empty(0, np.int64)
-    window = min(window, len(h))
-    least, width = h, 1
-    while width * 2 <= window:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    rest = window - width
-    least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
-    # A place is chosen if its value is the least of a window that holds it: of the windows that begin up to window-1 before.
-    n = len(least)
-    high, width = np.concatenate((np.zeros(window - 1, h.dtype), least, np.zeros(window - 1, h.dtype))), 1
-    while width * 2 <= window:
-        high = np.maximum(high[:-width], high[width:])
-        width *= 2
-    rest = window - width
-    high = np.maximum(high[: len(high) - rest], high[rest:]) if rest else high
-    at = np.flatnonzero(h == high[: n + window - 1])
-    if every:
-        return at
-    same = np.concatenate(([False], (h[at[1:]] == h[at[:-1]]) & (np.diff(at) < window)))
-    return at[~same]
-
-
-def _marks(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts: list[tuple] = []
-            held = 0
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                if len(raw) < BLOCK:
-                    continue
-                h = block_hashes(np.frombuffer(raw, np.uint8))
-                at = minimisers(h, window, every=True)
-                parts.append((h[at], np.full(len(at), key, np.int64), at.astype(np.int32)))
-                held += len(at)
-                if held > 300_000:
-                    yield _rows(parts)
-                    parts, held = [], 0
-            if parts:
-                yield _rows(parts)
-
-    return run
-
-
-def _rows(parts: list[tuple]) -> pa.RecordBatch:
-    h, key, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key), pa.array(at)], ["digest", "doc_id", "at"])
-
-
-def _fits(window: int):
-    """Which runs hold a common minimiser among their first places and among their last ones."""
-
-    def fits(data: np.ndarray, common: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        places = np.concatenate(([-len(data) - window], common, [2 * len(data) + window]))
-        last = ends - BLOCK
-        first = places[np.searchsorted(places, starts)] < starts + window
-        return first & (places[np.searchsorted(places, last, "right") - 1] > last - window)
-
-    return fits
+def blocks_at(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hash of the block at each of the given places; of the last ones that a shorter text has."""
+    if len(data) < BLOCK or not len(starts):
+        return np.zeros(len(starts), np.uint64)
+    h = block_hashes(data)
+    return h[np.minimum(starts, len(h) - 1)]
 
 
 def repeated_passages(
@@ -103,14 +45,9 @@ def repeated_passages(
 ) -> DataFrame:
     """doc_id, start, end, n_words, keep_doc_id, keep_start: passages that an earlier document holds too.
 
-    Each suffix that begins a run of ``least_words`` words is matched with the nearest earlier document that holds the
-    run, so every passage of so many words is found, in each of its places; ``within`` adds repeats inside one document.
-    Offsets are code points. Rows without id are left out, null and short texts have no passages, repeated rows of one
-    id count as one document, an empty table has none.
+    Every passage of ``least_words`` whole words is found, in each of its places; ``within`` adds repeats inside one
+    document. Offsets are code points. Rows without id are left out, null and short texts have no passages, repeated
+    rows of one id count as one document with its smallest text, an empty table has none.
     """
     held = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    # A run has 2 * least_words - 1 bytes at least; where that is less than a block, every run is compared.
-    window = min(WINDOW, 2 * least_words - BLOCK)
-    fits = _fits(window) if window > 0 else lambda data, common, starts, ends: np.ones(len(starts), bool)
-    marks = in_batches(held, _marks(max(1, window)), "digest long, doc_id long, at int")
-    return passages(held, common_windows(held, marks, fits, least_words, within), least_words)
+    return repeated(held, blocks_at, least_words, within)

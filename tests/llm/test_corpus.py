@@ -6,6 +6,7 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 
@@ -410,9 +411,16 @@ def test_gear_depends_on_sixteen_bytes():
     a, b = rng.integers(0, 256, (2, 300)).astype(np.uint8)
     b[100:200] = a[100:200]
     assert (chunk_dedup.gear(a)[115:200] == chunk_dedup.gear(b)[115:200]).all()
-    data = np.frombuffer(("é漢" * 3000).encode(), np.uint8)
-    ends = chunk_dedup.cuts(data)
-    assert ends[-1] == len(data) and all(e == len(data) or data[e] & 0xC0 != 0x80 for e in ends)
+    # A passage of 50 words is cut at the same words wherever it stands, one of its first 13 at least.
+    words = [bytes(rng.integers(97, 123, rng.integers(1, 9)).astype(np.uint8)) for _ in range(300)]
+    for at in range(0, 240, 17):
+        passage = b" ".join(words[at : at + 50])
+        cuts = []
+        for left, right in ((b"", b" end"), (b"other words " * 30, b" and" * 20), (b" ".join(words[:at]) + b" ", b" " + b" ".join(words[at + 50 :]))):
+            data = np.frombuffer(left + passage + right, np.uint8)
+            cuts.append({int(c) - len(left) for c in chunk_dedup.cuts(data)})
+        first = {len(b" ".join(words[at : at + n])) + (n > 0) for n in range(13)}
+        assert set.intersection(*cuts) & first
 
 
 def test_minimisers():
@@ -420,7 +428,7 @@ def test_minimisers():
     for n in (0, 5, 96, 97, 300, 2000):
         h = rng.integers(0, 1 << 60, n, dtype=np.uint64)
         want = {int(i + np.argmin(h[i : i + 96])) for i in range(max(1, n - 95))} if n else set()
-        assert set(suffix_dedup.minimisers(h).tolist()) == want
+        assert set(suffix_dedup.minimisers(h, 96).tolist()) == want
 
 
 def test_language_evidence(spark, docs, texts):
@@ -529,3 +537,49 @@ def test_secrets_behind_long_prefixes(spark):
     for n in (16, 48, 49, 72, 73, 500):
         covered = {i for s, e in secrets.parts(5, 5 + n) for i in range(s, e)}
         assert covered == set(range(5, 5 + n))
+
+
+def uncovered(texts, found, n):
+    """Runs of n words that an earlier document holds too and that no match covers."""
+    spans, first, missing = collections.defaultdict(list), {}, []
+    for r in found:
+        spans[r.doc_id].append((r.start, r.end))
+    for i in sorted(texts):
+        places = [m.span() for m in WHITE.finditer(texts[i])]
+        mine = []
+        for k in range(len(places) - n + 1):
+            a, b = places[k][0], places[k + n - 1][1]
+            if texts[i][a:b] in first and not any(x <= a and b <= y for x, y in spans[i]):
+                missing.append((i, k))
+            mine.append(texts[i][a:b])
+        for run in mine:
+            first.setdefault(run, i)
+    return missing
+
+
+@pytest.mark.parametrize("method", [chunk_dedup, suffix_dedup])
+@pytest.mark.parametrize("n", [50, 24, 7])
+def test_every_repeated_run_is_covered(spark, method, n):
+    rng = random.Random(n)
+    word = lambda: "".join(rng.choice("abcdefghijklmno") for _ in range(rng.randint(1, 9)))
+    texts = {}
+    passages = [[word() for _ in range(rng.randint(n, 3 * n))] for _ in range(6)]
+    for i in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            p = rng.choice(passages)
+            a = rng.randint(0, len(p) // 2)
+            parts += rng.choice([p, p[a:], p[: len(p) - a], p[a : a + n], p + p, [word() for _ in range(n)]])
+            parts += [word() for _ in range(rng.choice([0, 0, 1, 5]))]
+        texts[i] = " ".join(parts)
+    texts[70] = " ".join(passages[0])
+    texts[71] = " ".join([*passages[0], "x", *passages[0]])
+    texts[72] = "same " * 5 * n
+    texts[73] = "other " + "same " * 3 * n
+    docs = frame(spark, [*texts.items(), (70, texts[70])])
+    found = method.repeated_passages(docs, least_words=n).collect()
+    assert uncovered(texts, found, n) == []
+    for r in found:
+        assert texts[r.doc_id][r.start : r.end] == texts[r.keep_doc_id][r.keep_start : r.keep_start + r.end - r.start]
+        assert r.keep_doc_id < r.doc_id and r.n_words >= n
+    assert len(found) == len(set(found))

@@ -44,7 +44,7 @@ def _extended(least_words: int, aside: int):
                         keep = len(x[:sa].decode("utf-8", "surrogatepass"))
                         size = len(y[sb : sb + n].decode("utf-8", "surrogatepass"))
                         rows.append((b, start, start + size, words, a, keep, None))
-                others = [s for s in seeds if s["more"]]
+                others = [s for s in seeds if s["h"] is not None]
                 if others:
                     begins, ends = words_of(np.frombuffer(y, np.uint8))
                     for s in others:
@@ -203,10 +203,19 @@ def _nearest(rows: DataFrame, *by: str) -> Column:
     return F.max(F.struct("doc_id", "at")).over(earlier)
 
 
-def _pairs(seeds: DataFrame) -> DataFrame:
-    """a, b, seeds of rows (near, doc_id, at, more, h)."""
-    seed = F.struct("at", F.col("near.at").alias("other"), "more", "h")
-    return seeds.groupBy(F.col("near.doc_id").alias("a"), F.col("doc_id").alias("b")).agg(F.collect_set(seed).alias("seeds"))
+def _pairs(seeds: DataFrame, least_words: int) -> DataFrame:
+    """a, b, seeds of rows (near, doc_id, at, more, h).
+
+    Of seeds of one shift that begin so near to each other that they are of one match, one is enough, but for those of
+    which ``h`` may be asked for.
+    """
+    shift, asked = F.col("at") - F.col("near.at"), F.when(F.col("more"), F.col("h"))
+    step = (F.col("at") / (2 * (least_words - steps(least_words)) + 1)).cast("int")
+    once = seeds.groupBy(
+        F.col("near.doc_id").alias("a"), F.col("doc_id").alias("b"), shift.alias("shift"), step.alias("step"), asked.alias("h")
+    ).agg(F.min("at").alias("at"))
+    seed = F.struct("at", (F.col("at") - F.col("shift")).alias("other"), "h")
+    return once.groupBy("a", "b").agg(F.collect_list(seed).alias("seeds"))
 
 
 def repeated(docs: DataFrame, value, least_words: int = LEAST_WORDS, within: bool = False) -> DataFrame:
@@ -232,7 +241,7 @@ def repeated(docs: DataFrame, value, least_words: int = LEAST_WORDS, within: boo
     )
     shared = ranked.where("first is not null or last > doc_id").withColumn("near", F.coalesce("far", "near"))
     shared = written(shared.select("h", "doc_id", "at", "near", (F.col("first") < F.col("near.doc_id")).alias("more")))
-    found = written(_matched(docs, _pairs(shared.where("near is not null")), least_words))
+    found = written(_matched(docs, _pairs(shared.where("near is not null"), least_words), least_words))
     more = found.where("h is not null").select("h").distinct()
     places = shared.join(more, "h", "left_semi").groupBy(F.col("doc_id").alias("_key")).agg(F.collect_set("at").alias("places"))
     places = materialised(places)
@@ -242,12 +251,12 @@ def repeated(docs: DataFrame, value, least_words: int = LEAST_WORDS, within: boo
         around = _texts(docs, ids).join(places, F.col("doc_id") == F.col("_key")).select("doc_id", "text", "places")
         around = in_batches(around, _around(least_words), "h long, doc_id long, at int")
         near = around.select("h", "doc_id", "at", _nearest(around, "h").alias("near"), F.lit(False).alias("more")).where("near is not null")
-        result = result.unionByName(_matched(docs, _pairs(near), least_words).drop("h"))
+        result = result.unionByName(_matched(docs, _pairs(near, least_words), least_words).drop("h"))
     if within:
         order = Window.partitionBy("h", "doc_id").orderBy("at")
         runs = in_batches(docs.select("doc_id", "text"), _anchors(least_words, value), "h long, deep long, doc_id long, at int")
         same = runs.select("h", "doc_id", "at", F.lag(F.struct("doc_id", "at")).over(order).alias("near"), F.lit(False).alias("more"))
-        result = result.unionByName(_matched(docs, _pairs(same.where("near is not null")), least_words).drop("h"))
+        result = result.unionByName(_matched(docs, _pairs(same.where("near is not null"), least_words), least_words).drop("h"))
     return result.distinct()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ from statspark import fixtures as fx
 from statspark.functions import metrics
 from statspark.operators import features, learning, quality, rolling, transform, upsert
 from statspark.operators.transform import with_constants
+from statspark.plans import jobs
 from statspark.schemas import (
     BATTER,
     BATTING,
+    CONSTANTS,
     CONTEXT,
     EXTRA,
     FACT,
@@ -26,7 +29,8 @@ from statspark.schemas import (
     WINDOWS,
     feature_names,
 )
-from statspark.sources import landed
+from statspark.sources import landed, tables
+from statspark.sources.tables import checkpoint_folder
 from statspark.streaming.landing import affected_dates
 
 #: Dates of the fixtures: a prediction day, the day before, the split between stored and new games.
@@ -229,6 +233,38 @@ def game_metadata(spark, sf_dir):
     return meta.select(*kept, F.col("teams.home.team.id").alias("home_id"), F.col("venue.id").alias("venue_id"))
 
 
+_YEARS = "select season, round(avg(venue_id) / 100, 4) as woba, round(avg(home_team_id) / 10, 4) as woba_scale, cast(count(*) as double) as w_bb from game group by season"
+
+
+@query(f"{_GAME} select season, woba, woba_scale, w_bb, cast(null as double) as c_fip from ({_YEARS})")
+def season_constants(spark, sf_dir):
+    """Constants of {year: {key: value}}; keys that are absent give nulls."""
+    fx.games(spark, sf_dir).createOrReplaceTempView("game")
+    keys = {"woba": CONSTANTS["woba"], "woba_scale": CONSTANTS["woba_scale"], "w_bb": CONSTANTS["w_bb"]}
+    values = F.map_from_entries(F.array(*(F.struct(F.lit(k).alias("key"), F.col(c).cast("double").alias("value")) for c, k in keys.items())))
+    years = spark.sql(_YEARS).select(F.to_json(F.create_map(F.col("season").cast("string"), values)).alias("json"))
+    return landed.season_constants(years).select("season", *keys, "c_fip")
+
+
+_FIXED = ["game_pk", "player_id", "bat_hits", "absent"]
+
+
+@query(f"with raw as ({fx.FACT_RAW}) select game_pk, player_id, bat_hits, cast(null as varchar) as absent from raw")
+def fixed_projection(spark, sf_dir):
+    return transform.fixed_columns(fx.raw_fact(spark, sf_dir), _FIXED).withColumn("absent", F.col("absent").cast("string"))
+
+
+_JSON = """select l_orderkey, l_linenumber, l_quantity as q,
+ case l_linenumber % 4 when 0 then concat('"', cast(l_quantity as string), '"') when 1 then cast(l_quantity as string) when 2 then 'true' end as json from lineitem"""
+
+
+@query("select l_orderkey, l_linenumber, case when l_linenumber % 4 = 1 then cast(l_quantity as double) end as number from lineitem")
+def numeric_guard(spark, sf_dir):
+    """Of JSON values only numbers pass; the same number as text doesn't."""
+    fx.views(spark, sf_dir)
+    return spark.sql(_JSON).select("l_orderkey", "l_linenumber", transform.numeric_only(F.col("json")).alias("number"))
+
+
 # ---- Metrics -------------------------------------------------------------------------------------------------------
 
 
@@ -346,6 +382,25 @@ def pitcher_features_range(spark, sf_dir):
     return features.pitcher_features(rolling_of(spark, sf_dir), "2001-01-01", AS_OF)
 
 
+@query(f"{_ROLL}, wide as ({_wide_sql(PITCHER)}) select * from wide where as_of_date = date '{AS_OF}'")
+def pitcher_features_date(spark, sf_dir):
+    return features.pitcher_features(rolling_of(spark, sf_dir), AS_OF)
+
+
+@query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}) select * from wide where as_of_date between date '2001-01-01' and date '{AS_OF}'")
+def batter_features_range(spark, sf_dir):
+    return features.batter_features(rolling_of(spark, sf_dir), "2001-01-01", AS_OF)
+
+
+_MODEL = ["bat_hits_30", "absent", "bat_hits_7"]
+
+
+@query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}) select player_id, as_of_date, cast(bat_hits_30 as double) as bat_hits_30, cast(null as double) as absent, cast(bat_hits_7 as double) as bat_hits_7 from wide")
+def model_columns(spark, sf_dir):
+    """Features in a model's order: absent ones are null, others go."""
+    return features.model_columns(features.wide(rolling_of(spark, sf_dir), BATTER), _MODEL)
+
+
 @query(_training_sql("bat_woba", "bat_plate_appearances", BATTER))
 def training_batter(spark, sf_dir):
     fact, games, constants = stored(spark, sf_dir)
@@ -378,6 +433,20 @@ def feature_medians(spark, sf_dir):
     return learning.medians(features.wide(rolling_of(spark, sf_dir), BATTER), feature_names(BATTER))
 
 
+_MIDDLE = f"mid as (select {', '.join(f'cast(coalesce(median({c}), 0) as double) as m_{c}' for c in feature_names(BATTER))} from wide)"
+_EACH = " union all ".join(
+    f"select '{c}' as feature, any_value(m_{c}) as median, avg(coalesce(cast({c} as double), m_{c})) as mean, stddev_pop(coalesce(cast({c} as double), m_{c})) as std from wide, mid"
+    for c in feature_names(BATTER)
+)
+
+
+@query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}), {_MIDDLE}, each as ({_EACH}) select feature, median, round(mean, 6) as mean, round(std, 6) as std from each")
+def feature_statistics(spark, sf_dir):
+    """Median, mean and spread of every feature after imputation."""
+    rows = learning.feature_statistics(features.wide(rolling_of(spark, sf_dir), BATTER), feature_names(BATTER))
+    return rows.select("feature", "median", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
 def _model(spark, sf_dir, which: str) -> learning.Model:
     fact, games, constants = stored(spark, sf_dir)
     build, columns = (features.batter_training, BATTER) if which == "batter" else (features.pitcher_training, PITCHER)
@@ -568,6 +637,72 @@ def fact_constraints(spark, sf_dir):
     return quality.constraint_violations(fact_of(spark, sf_dir).withColumns({"bat_woba": woba, "position_code": code}))
 
 
+@query(f"with a as (select pipeline_name, loaded_at from ({_AUDIT}) union all select 'click', timestamp '{NOW}') select pipeline_name, case when bool_or(loaded_at is null) then null else cast(max(loaded_at) as varchar)[:19] end as loaded_at, count(*) as loads from a group by pipeline_name")
+def audit_append(spark, sf_dir):
+    """The audit after one more load."""
+    root = _folder(spark)
+    tables.append(root, "load_audit", _audit(spark, sf_dir).select("pipeline_name", F.lit(None).cast("date").alias("load_date"), "loaded_at"))
+    tables.append(root, "load_audit", upsert.audit_row(spark, "click", NOW))
+    audit = spark.read.parquet(f"{root}/load_audit")
+    counts = audit.groupBy("pipeline_name").agg(F.count(F.lit(1)).alias("loads"))
+    return quality.latest_loads(audit).withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss")).join(counts, "pipeline_name")
+
+
+# ---- Jobs ----------------------------------------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder for tables, in the folder that the cluster shares."""
+    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+
+
+
+
+def _loaded(spark, sf_dir, *days: str) -> str:
+    """A folder with the tables after the given days (YYYY-MM-DD) were loaded, in this order, from landed JSON."""
+    root, games = _folder(spark), fx.games(spark, sf_dir)
+    chosen = games.where(F.col("game_date").isin([*days]))
+    # Every game is listed twice; the first listing has another venue.
+    listed = fx.schedule(chosen.withColumn("venue_id", F.col("venue_id") + 500)).unionByName(fx.schedule(chosen))
+    listed.coalesce(1).write.json(f"{root}/schedule")
+    raw = fx.raw_fact(spark, sf_dir).join(chosen.select("game_pk"), "game_pk", "left_semi")
+    boxes = f"{root}/boxes"
+    fx.boxscore_json(fx.players(raw)).write.parquet(boxes)
+    for day in days:
+        y, m, d = day.split("-")
+        jobs.run_daily_stats(spark, f"{root}/schedule", spark.read.parquet(boxes), fx.constants(spark), root, f"{m}/{d}/{y}", f"{day} 02:00:00")
+    return root
+
+
+_TWO = ("2001-07-06", "2001-07-24")
+
+
+@query(f"{_FACT} select f.*, cast(g.venue_id as int) as venue_id, p.n as player_rows from fact f join game g using (game_pk) join (select player_id, count(distinct player_id) as n from raw group by player_id) p on p.player_id = f.player_id where g.game_date = date '{_TWO[0]}'")
+def daily_load_twice(spark, sf_dir):
+    """The fact table after one day was loaded twice, with its games' venues and the number of rows of each player."""
+    root = _loaded(spark, sf_dir, _TWO[0], _TWO[0])
+    fact, games, players = (tables.read(spark, root, t) for t in ("fact_game_state", "dim_game", "dim_player"))
+    once = players.groupBy("player_id").agg(F.count(F.lit(1)).alias("player_rows"))
+    return fact.join(games.select("game_pk", "venue_id"), "game_pk").join(once, "player_id")
+
+
+_ONLY = f"with recursive game as (select * from ({fx.GAME}) where game_date in (date '{_TWO[0]}', date '{_TWO[1]}'))"
+
+
+@query(f"{_ROLL.replace(f'with recursive game as ({fx.GAME})', _ONLY)} select * from rolling")
+def late_game_refresh(spark, sf_dir):
+    """The rolling table after a day was loaded and then an earlier one, which reaches into the windows of the first."""
+    return tables.read(spark, _loaded(spark, sf_dir, _TWO[1], _TWO[0]), "player_rolling_stats")
+
+
+@query(f"{_BASE} select game_pk, player_id from raw where game_pk < 0")
+def predictions_none_scheduled(spark, sf_dir):
+    """No scheduled games, no rows; no model is needed for that."""
+    root = _loaded(spark, sf_dir, _TWO[0])
+    none = fx.schedule(fx.games(spark, sf_dir)).where("game_id is null")
+    return jobs.run_predictions(spark, none, root, _TWO[0], f"{_TWO[0]} 06:00:00", NOW, days=0).select("game_pk", "player_id")
+
+
 # ---- Incremental ---------------------------------------------------------------------------------------------------
 
 

@@ -73,10 +73,6 @@ def train(rows: DataFrame, columns: list[str], trained_at: str, alpha: float = 1
     return model
 
 
-def ridge_weights(model: Model) -> tuple[list[float], float]:
-    return list(model.fitted.coefficients), model.fitted.intercept
-
-
 def score(model: Model, rows: DataFrame, out: str) -> DataFrame:
     """``rows`` with the model's prediction as ``out``; columns that the model lacks are imputed."""
     given = rows.withColumns({c: F.lit(None).cast("double") for c in model.columns if c not in rows.columns})
@@ -101,3 +97,9 @@ def predictions(roster: DataFrame, rolling_on_day: DataFrame, as_of: str, batter
         F.lit(batter.metadata["trained_at"]).alias("model_version_bat"),
         F.lit(pitcher.metadata["trained_at"]).alias("model_version_pit"),
     )
+
+
+def no_predictions(roster: DataFrame) -> DataFrame:
+    """The empty result of ``predictions``."""
+    kinds = {"as_of_date": "date", "pred_bat_woba": "double", "pred_pit_fip": "double", "model_version_bat": "string", "model_version_pit": "string"}
+    return roster.where(F.lit(False)).select("game_pk", "player_id", *(F.lit(None).cast(k).alias(c) for c, k in kinds.items()))

@@ -107,10 +107,6 @@ def constraint_violations(fact: DataFrame) -> DataFrame:
     return violations(fact, "game_pk", rules)
 
 
-def window_violations(rolling: DataFrame) -> DataFrame:
-    return violations(rolling, "player_id", {"window_days not 7 or 30": F.col("window_days").isin(7, 30)})
-
-
 def latest_loads(audit: DataFrame) -> DataFrame:
     """pipeline_name, loaded_at of each pipeline's latest load; a null time counts as the latest."""
     unknown = F.bool_or(F.col("loaded_at").isNull())

@@ -99,5 +99,13 @@ def rolling_all_dates(fact: DataFrame, games: DataFrame, constants: DataFrame) -
     return rates(sums_all_dates(fact, games), constants)
 
 
+def rolling_dates(fact: DataFrame, games: DataFrame, constants: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rolling statistics of some dates (as_of_date); only facts that reach one of them are read."""
+    span = dates.agg(F.min("as_of_date").alias("first"), F.max("as_of_date").alias("last")).first()
+    first, last = (F.lit(span[c]).cast("date") for c in ("first", "last"))
+    near = games.where((F.col("game_date") > F.date_sub(first, max(WINDOWS))) & (F.col("game_date") <= last))
+    return rolling_all_dates(fact, near, constants).join(dates, "as_of_date", "left_semi")
+
+
 def rolling_one_date(fact: DataFrame, games: DataFrame, constants: DataFrame, as_of: str) -> DataFrame:
     return rates(sums_one_date(fact, games, as_of), constants)

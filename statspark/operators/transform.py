@@ -12,8 +12,8 @@ from statspark.schemas import BATTING, CONSTANTS, CONTEXT, COUNTS, EXTRA, FACT,
 FIRST_SEASON, LAST_SEASON = 1800, 2200
 
 
-def project_games(schedule: DataFrame) -> DataFrame:
-    """Raw schedule games as game rows: the season comes from the date, a missing winner is ''."""
+def project_games(schedule: DataFrame, *more: str) -> DataFrame:
+    """Raw schedule games as game rows: the season comes from the date, a missing winner is ''. ``more`` columns stay."""
     return schedule.select(
         F.col("game_id").cast("long").alias("game_pk"),
         F.col("game_date"),
@@ -25,6 +25,7 @@ def project_games(schedule: DataFrame) -> DataFrame:
         F.col("home_name").alias("home_team"),
         F.col("away_name").alias("away_team"),
         F.coalesce("winning_team", F.lit("")).alias("winning_team"),
+        *more,
     )
 
 
@@ -56,8 +57,12 @@ def flatten(players: DataFrame) -> DataFrame:
 def nearest_constants(constants: DataFrame) -> DataFrame:
     """for_season and the constants of the nearest season (of two as near, the earlier one), for every season.
 
-    Each season's constants reach half-way to its neighbours', so this takes no comparison of all pairs.
+    Each season's constants reach half-way to its neighbours', so this takes no comparison of all pairs. A season that
+    occurs twice is an error, so that there are 401 rows at most.
     """
+    once = constants.groupBy("season").agg(F.first(F.struct(*constants.columns)).alias("row"), F.count(F.lit(1)).alias("n"))
+    safe = F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(F.lit("a season has two rows of constants")))
+    constants = once.select(safe.alias("row")).select("row.*")
     order = Window.orderBy("season")
     before, after = F.lag("season").over(order), F.lead("season").over(order)
     reach = constants.select(
@@ -123,6 +128,8 @@ def fixed_columns(rows: DataFrame, columns: list[str] = FACT) -> DataFrame:
     return rows.select(*(F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in columns))
 
 
-def numeric_only(variant: Column) -> Column:
-    """A JSON value as double if it is a number, null if it is text."""
-    return F.when(variant.rlike(r"^-?\d"), variant.try_cast("double"))
+def numeric_only(json: Column) -> Column:
+    """A JSON value as double if it is a number; null if it is text, true, false, an object or nothing."""
+    value = F.try_parse_json(json)
+    kind = F.schema_of_variant(value)
+    return F.when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT)"), F.try_variant_get(value, "$", "double"))

@@ -1,9 +1,7 @@
-"""Keyed upserts, insert-if-absent and table versions."""
+"""Keyed upserts, insert-if-absent and load audits."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,16 +23,28 @@ def last_wins(updates: DataFrame, keys: list[str], order: str | None = None) ->
 def upsert(
     existing: DataFrame, updates: DataFrame, keys: list[str], order: str | None = None, keep_old: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Rows of ``updates`` replace those of equal keys, nulls included; columns in ``keep_old`` keep an old row's value."""
-    new = last_wins(updates, keys, order)
-    if keep_old:
-        old = existing.select(*keys, *(F.col(c).alias(f"_old_{c}") for c in keep_old), F.lit(True).alias("_known"))
-        new = new.join(old, keys, "left")
-        for c in keep_old:
-            given = F.col(c) if c in new.columns else F.lit(None)
-            new = new.withColumn(c, F.when(F.col("_known"), F.col(f"_old_{c}")).otherwise(given))
-        new = new.drop("_known", *(f"_old_{c}" for c in keep_old))
-    return existing.join(new, keys, "left_anti").unionByName(new, allowMissingColumns=True)
+    """Rows of ``updates`` replace those of equal keys, nulls included; columns in ``keep_old`` keep an old row's value.
+
+    Both sides meet in one aggregation by key, so each is read and shuffled once. Of updates with equal keys the last in
+    ``order`` counts; without an order they are an error. Keys are not null and occur once in ``existing``.
+    """
+    given = [c for c in updates.columns if c != order]
+    columns = [*existing.columns, *(c for c in given if c not in existing.columns)]
+    place = F.lit(None).cast("long") if order is None else F.col(order)
+    new = updates.select(*given, F.lit(True).alias("_new"), place.alias("_order"))
+    both = existing.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
+    row = F.struct(*(c for c in columns if c not in keys))
+    best = both.groupBy(*keys).agg(
+        F.max_by(row, F.struct("_new", F.coalesce("_order", F.lit(0)) if order is None else "_order")).alias("row"),
+        F.max_by(row, ~F.col("_new")).alias("old"),
+        F.count_if("_new").alias("n_new"),
+        F.count_if(~F.col("_new")).alias("n_old"),
+    )
+    if order is None:
+        twice = F.raise_error(F.lit("keys occur twice and no order is given")).cast(both.select(row.alias("r")).schema["r"].dataType)
+        best = best.withColumn("row", F.when(F.col("n_new") < 2, F.col("row")).otherwise(twice))
+    value = {c: F.when(F.col("n_old") > 0, F.col(f"old.{c}")).otherwise(F.col(f"row.{c}")) if c in keep_old else F.col(f"row.{c}") for c in columns if c not in keys}
+    return best.select(*(value.get(c, F.col(c)).alias(c) for c in columns))
 
 
 def insert_absent(existing: DataFrame, offered: DataFrame, keys: list[str]) -> DataFrame:
@@ -102,37 +112,3 @@ def audit_row(spark: SparkSession, name: str, loaded_at: str, load_date: str | N
     return spark.range(1).select(
         F.lit(name).alias("pipeline_name"), F.lit(load_date).cast("date").alias("load_date"), F.lit(loaded_at).cast("timestamp").alias("loaded_at")
     )
-
-
-class Tables:
-    """Parquet tables under a root, each write a new version that readers see once it is whole.
-
-    A plan may read the version that it replaces. Versions are named by time; the pointer is a one-row table.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-
-    def _current(self, name: str) -> str | None:
-        from pyspark.errors import AnalysisException
-
-        try:
-            row = self.spark.read.text(f"{self.root}/{name}/current").agg(F.max("value").alias("v")).first()
-        except AnalysisException:
-            return None
-        return row["v"]
-
-    def exists(self, name: str) -> bool:
-        return self._current(name) is not None
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}/{self._current(name)}")
-
-    def write(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        version = f"v{time.time_ns():020d}"
-        df.write.partitionBy(*partition_by).parquet(f"{self.root}/{name}/{version}")
-        self.spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(f"{self.root}/{name}/current")
-        return self.read(name)
-
-    def append(self, name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(f"{self.root}/{name}")

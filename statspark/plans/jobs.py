@@ -7,54 +7,77 @@ from pyspark.sql import functions as F
 
 from statspark.operators import features, learning, quality, rolling, upsert
 from statspark.operators.transform import load_ready, project_games, scheduled_games
-from statspark.operators.upsert import Tables
 from statspark.schemas import BATTER, PITCHER, feature_names
-from statspark.sources import landed
+from statspark.sources import landed, tables
+from statspark.streaming.landing import affected_dates
 
 STATS, PREDICTIONS = "player_stats", "predictions"
 
 
-def _merge(tables: Tables, name: str, rows: DataFrame, how, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    new = how(tables.read(name), rows) if tables.exists(name) else rows
-    return tables.write(name, new, partition_by)
-
-
 def run_daily_stats(
-    spark: SparkSession, schedule_path: str, boxscore_path: str, constants: DataFrame, root: str, date: str, loaded_at: str, gate: bool = True
+    spark: SparkSession,
+    schedule_path: str,
+    boxscores: str | DataFrame,
+    constants: DataFrame,
+    root: str,
+    date: str,
+    loaded_at: str,
+    gate: bool = True,
+    least_games: int = 1,
+    least_players: int = 1,
 ) -> DataFrame:
-    """Load one date (MM/DD/YYYY) and refresh its rolling statistics; returns the counts of what was loaded."""
-    tables = Tables(spark, root)
-    raw = landed.schedule_for(landed.schedule(spark, schedule_path), date)
+    """Load one date (MM/DD/YYYY) and refresh the rolling statistics of all dates with games that it reaches: its own, and
+    later ones if it is loaded late. Returns the counts of what was loaded.
+
+    ``boxscores`` is a path of files <game_pk>.json or a table (game_pk, json). A game that is listed twice counts as it is
+    listed last, at the first load as at later ones. Loading a date again changes nothing.
+    """
     if not landed.require_ready(landed.landed_readiness(spark, schedule_path, date)):
         raise FileNotFoundError("the schedule has not landed yet")
-    games = project_games(raw)
-    players = landed.boxscore_players(landed.boxscores(spark, boxscore_path), games)
+    raw = landed.schedule_for(landed.schedule(spark, schedule_path).withColumn("_row", F.monotonically_increasing_id()), date)
+    games = upsert.last_wins(project_games(raw, "_row"), ["game_pk"], "_row")
+    files = landed.boxscores(spark, boxscores) if isinstance(boxscores, str) else boxscores
+    players = landed.boxscore_players(files, games)
     if gate:
+        quality.require(quality.at_least(games, least_games))
         quality.require(quality.schedule_violations(raw))
         quality.require(quality.transformed_violations(games))
+        scheduled = raw.select(F.col("game_id").cast("long").alias("game_pk")).distinct()
+        quality.require(quality.key_difference(scheduled, games).select("key", F.lit("scheduled and transformed games differ").alias("reason")))
+        quality.require(quality.at_least(players, least_players))
         quality.require(quality.stats_violations(players))
     stored = games.withColumn("game_date", landed.day(F.col("game_date"))).withColumn("winning_team", F.nullif("winning_team", F.lit("")))
-    rows = load_ready(players, stored, constants)
-    teams = upsert.last_wins(upsert.team_pairs(games, "game_pk"), ["team_id"], "ord")
-    _merge(tables, "dim_team", teams, lambda old, new: upsert.upsert(old, new, ["team_id"]))
+    by = lambda *keys, **more: lambda old, new: upsert.upsert(old, new, list(keys), **more)
+    tables.merge(spark, root, "dim_team", upsert.last_wins(upsert.team_pairs(games, "game_pk"), ["team_id"], "ord"), by("team_id"))
+    fact = tables.merge(spark, root, "fact_game_state", load_ready(players, stored, constants), upsert.upsert_fact)
+    rows = fact.join(stored.select("game_pk"), "game_pk", "left_semi")  # what was parsed, read from the table and not parsed again
     named = rows.select("player_id").distinct().withColumn("full_name", F.lit("Unknown"))
-    _merge(tables, "dim_player", named, upsert.insert_players)
-    all_games = _merge(tables, "dim_game", stored.drop("home_team", "away_team"), lambda old, new: upsert.upsert(old, new, ["game_pk"]))
-    fact = _merge(tables, "fact_game_state", rows, upsert.upsert_fact)
+    tables.merge(spark, root, "dim_player", named, upsert.insert_players)
+    all_games = tables.merge(spark, root, "dim_game", stored.drop("home_team", "away_team"), by("game_pk"))
     day = str(raw.select(landed.us_day(F.lit(date)).alias("d")).first()["d"])
     loaded = all_games.where(F.col("game_date") == F.lit(day).cast("date"))
-    if gate and not quality.load_count(raw, loaded).first()["ok"]:
+    if gate and not quality.load_count(games, loaded).first()["ok"]:
         raise quality.QualityError("scheduled and loaded games differ in number")
-    _merge(tables, "player_rolling_stats", rolling.rolling_one_date(fact, all_games, constants, day), upsert.upsert_rolling)
-    tables.append("load_audit", upsert.audit_row(spark, STATS, loaded_at, day))
+    refresh_rolling(spark, root, constants, games)
+    tables.append(root, "load_audit", upsert.audit_row(spark, STATS, loaded_at, day))
     return upsert.load_counts(games, rows)
 
 
+def refresh_rolling(spark: SparkSession, root: str, constants: DataFrame, games: DataFrame) -> DataFrame:
+    """Recompute the dates whose windows hold one of the given games, and store them."""
+    fact, all_games = (tables.read(spark, root, t) for t in ("fact_game_state", "dim_game"))
+    played = all_games.select(F.col("game_date").alias("as_of_date")).distinct()
+    dates = affected_dates(games).join(played, "as_of_date", "left_semi")
+    return tables.merge(spark, root, "player_rolling_stats", rolling.rolling_dates(fact, all_games, constants, dates), upsert.upsert_rolling)
+
+
 def run_predictions(spark: SparkSession, schedule: DataFrame, root: str, as_of: str, now: str, trained_at: str, days: int = 730) -> DataFrame:
-    """Train both models on the last ``days``, score the players of the scheduled games, store and return the rows."""
-    tables = Tables(spark, root)
+    """Train both models on the last ``days``, score the players of the scheduled games, store and return the rows.
+
+    Without scheduled players no model is read and there are no rows.
+    """
     quality.require_fresh(spark.read.parquet(f"{root}/load_audit"), STATS, now)
-    stats, fact, games = (tables.read(t) for t in ("player_rolling_stats", "fact_game_state", "dim_game"))
+    stats, fact, games = (tables.read(spark, root, t) for t in ("player_rolling_stats", "fact_game_state", "dim_game"))
     if not quality.rolling_ready(stats, as_of).first()["ready"]:
         raise quality.QualityError("rolling statistics do not reach the day before")
     span = features.training_range(games, fact, as_of, days).first()
@@ -64,16 +87,18 @@ def run_predictions(spark: SparkSession, schedule: DataFrame, root: str, as_of:
         learning.train(features.pitcher_training(fact, games, stats, first, last), feature_names(PITCHER), trained_at, path=f"{root}/models/pitcher")
     day = F.lit(as_of).cast("date")
     players = features.roster(scheduled_games(schedule), fact, games, day)
+    at = F.lit(now).cast("timestamp").alias("created_at")
+    if players.isEmpty():
+        tables.append(root, "load_audit", upsert.audit_row(spark, PREDICTIONS, now))
+        return learning.no_predictions(players).select("*", at)
     models = [learning.Model.load(f"{root}/models/{m}") for m in ("batter", "pitcher")]
-    rows = learning.predictions(players, stats.where(F.col("as_of_date") == day), as_of, *models)
-    rows = rows.withColumn("created_at", F.lit(now).cast("timestamp"))
-    stored = _merge(tables, "predictions", rows, upsert.upsert_predictions)
-    tables.append("load_audit", upsert.audit_row(spark, PREDICTIONS, now))
-    return stored
+    rows = learning.predictions(players, stats.where(F.col("as_of_date") == day), as_of, *models).select("*", at)
+    stored = tables.merge(spark, root, "predictions", rows, upsert.upsert_predictions)
+    tables.append(root, "load_audit", upsert.audit_row(spark, PREDICTIONS, now))
+    return stored.join(rows.select("game_pk", "player_id"), ["game_pk", "player_id"], "left_semi")
 
 
 def run_rolling_backfill(spark: SparkSession, root: str, constants: DataFrame) -> DataFrame:
     """Rolling statistics of all dates in one pass."""
-    tables = Tables(spark, root)
-    rows = rolling.rolling_all_dates(tables.read("fact_game_state"), tables.read("dim_game"), constants)
-    return tables.write("player_rolling_stats", rows)
+    fact, games = (tables.read(spark, root, t) for t in ("fact_game_state", "dim_game"))
+    return tables.write(spark, root, "player_rolling_stats", rolling.rolling_all_dates(fact, games, constants))

@@ -9,12 +9,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from statspark import catalog
 from statspark import fixtures as fx
 from statspark.functions import metrics
 from statspark.operators import features, learning, quality, rolling, transform, upsert
 from statspark.plans import jobs
 from statspark.schemas import BATTER, FACT, PITCHER, feature_names
-from statspark.sources import landed
+from statspark.sources import landed, tables
 from statspark.streaming import landing
 
 
@@ -173,6 +174,36 @@ def closed_form_of(model, x):
     return x @ np.array(model.fitted.coefficients) + model.fitted.intercept
 
 
+def test_model_queries_equal_closed_form(spark, sf_dir):
+    metrics_ = {r.model: r for r in catalog.train_metrics(spark, sf_dir).collect()}
+    day = catalog.rolling_one_date(spark, sf_dir).toPandas()
+    want = {}
+    for which, build, columns, digits in (("batter", catalog.training_batter, BATTER, 4), ("pitcher", catalog.training_pitcher, PITCHER, 2)):
+        names = feature_names(columns)
+        rows = build(spark, sf_dir).toPandas()
+        x, y = rows[names].astype(float).to_numpy(), rows["label"].astype(float).to_numpy()
+        middle = np.array([np.nan_to_num(np.nanmedian(c)) if (~np.isnan(c)).any() else 0.0 for c in x.T])
+        x = np.where(np.isnan(x), middle, x)
+        mean, std = x.mean(axis=0), np.where(x.std(axis=0) == 0, 1, x.std(axis=0))
+        z = (x - mean) / std
+        w = np.linalg.solve(z.T @ z + np.eye(len(names)), z.T @ (y - y.mean()))
+        error = np.sqrt(((z @ w + y.mean() - y) ** 2).mean())
+        assert metrics_[which].n_samples == len(y) and abs(metrics_[which].train_rmse - error) < 1e-6
+        wide = {}
+        for (player, n), part in day.groupby(["player_id", "window_days"]):
+            for c in columns:
+                wide.setdefault(player, {})[f"{c}_{n}"] = float(part[c].iloc[0]) if part[c].notna().any() else np.nan
+        for player, values in wide.items():
+            v = np.array([values.get(n, np.nan) for n in names])
+            want[which, player] = float((np.where(np.isnan(v), middle, v) - mean) / std @ w + y.mean())
+    got = catalog.predictions(spark, sf_dir).collect()
+    assert {(r.game_pk, r.player_id) for r in got} == {tuple(r) for r in catalog.roster_for_schedule(spark, sf_dir).collect()}
+    for r in got:
+        for which, value, step in (("batter", r.pred_bat_woba, 1e-4), ("pitcher", r.pred_pit_fip, 1e-2)):
+            assert (value is None) == ((which, r.player_id) not in want)
+            assert value is None or abs(value - want[which, r.player_id]) <= step * 0.51
+
+
 def test_jobs_from_landed_files(spark, sf_dir, tmp_path):
     games = fx.games(spark, sf_dir).where("game_date between date'2001-06-20' and date'2001-07-31'").cache()
     raw = fx.raw_fact(spark, sf_dir).join(games.select("game_pk"), "game_pk", "left_semi")
@@ -186,19 +217,19 @@ def test_jobs_from_landed_files(spark, sf_dir, tmp_path):
     days = [r.d for r in games.select(F.date_format("game_date", "MM/dd/yyyy").alias("d")).distinct().orderBy("d").limit(3).collect()]
     for day in [days[0], days[1], days[0]]:
         counts = jobs.run_daily_stats(spark, schedule, str(boxes), constants, root, day, "2001-07-31 02:00:00").first()
-    tables = jobs.Tables(spark, root)
-    assert counts["games"] > 0 and tables.read("dim_game").count() == games.where(F.date_format("game_date", "MM/dd/yyyy").isin(days[:2])).count()
-    fact = tables.read("fact_game_state")
+    assert counts["games"] > 0 and tables.read(spark, root, "dim_game").count() == games.where(F.date_format("game_date", "MM/dd/yyyy").isin(days[:2])).count()
+    fact = tables.read(spark, root, "fact_game_state")
     assert quality.duplicate_keys(fact, ["game_pk", "player_id"]).count() == 0
     every = jobs.run_rolling_backfill(spark, root, constants)
     last = str(every.agg(F.max("as_of_date")).first()[0])
     with pytest.raises(Exception):  # noqa: B017  too few games to train on, and no model from before
         jobs.run_predictions(spark, fx.schedule(games), root, last, "2001-07-31 06:00:00", "t1")
-    tables.write("dim_game", fx.games(spark, sf_dir))
-    tables.write("fact_game_state", transform.enrich(fx.raw_fact(spark, sf_dir), fx.games(spark, sf_dir), constants))
+    assert jobs.run_predictions(spark, fx.schedule(games).limit(0), root, last, "2001-07-31 06:00:00", "t1").count() == 0
+    tables.write(spark, root, "dim_game", fx.games(spark, sf_dir))
+    tables.write(spark, root, "fact_game_state", transform.enrich(fx.raw_fact(spark, sf_dir), fx.games(spark, sf_dir), constants))
     last = str(jobs.run_rolling_backfill(spark, root, constants).agg(F.max("as_of_date")).first()[0])
     scored = jobs.run_predictions(spark, fx.schedule(games), root, last, "2001-07-31 06:00:00", "t1")
-    assert scored.count() > 0 and spark.read.parquet(f"{root}/load_audit").count() == 4
+    assert scored.count() > 0 and spark.read.parquet(f"{root}/load_audit").count() == 5
     with pytest.raises(ValueError):
         jobs.run_daily_stats(spark, schedule, str(boxes), constants, root, "01/01/1950", "2001-07-31 02:00:00")
     assert landed.landed_readiness(spark, str(tmp_path / "nowhere"), days[0]).first()["status"] == "not_ready"

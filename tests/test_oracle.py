@@ -37,7 +37,8 @@ def same_rows(df, con, sql):
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query(spark, sf_dir, duck, name):
-    assert same_rows(catalog.queries()[name](spark, sf_dir), duck, catalog.oracle_sql()[name]) > 0
+    n = same_rows(catalog.queries()[name](spark, sf_dir), duck, catalog.oracle_sql()[name])
+    assert (n == 0) == (name == "predictions_none_scheduled")
 
 
 def test_entry(spark):

@@ -257,6 +257,48 @@ def test_secret_network_learns(spark):
     assert (p[:, 0] > 0.5).mean() > 0.97 and (p[:, 1] < 0.5).mean() > 0.97
     assert secrets.secrets(docs, net=net).agg(F.sum("n_hex"), F.sum("n_network")).first() == (600, 0)
 
+def test_network_finds_secrets_outside_the_rules(spark, docs, texts):
+    """Trained on the documents themselves: what the rules miss is found, and harmless tokens are left alone."""
+    net = secrets.train(docs)
+    rng = random.Random(4)
+    some = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    low = "abcdefghijklmnopqrstuvwxyz"
+    made, planted, clean = [], {}, {}
+    long = [t for t in texts.values() if t and len(t) > 300]
+    for i in range(400):
+        text = rng.choice(long)
+        at = text.index(" ", 100)
+        if i % 2:
+            token = [
+                "ghp_" + some("0123456789" + low + low.upper(), 36),
+                some("0123456789ABCDEF", 40),
+                some("0123456789+/" + low + low.upper(), 64),
+                some(low + "_", 70) + "/" + some("0123456789" + low, 32),
+            ][i // 2 % 4]
+            planted[i] = token
+        else:
+            words = rng.choices([*re.findall(r"[a-z]{3,}", text), "table", "chapter"], k=4)
+            token = ["/".join(words) + "/2021-03-04", "_".join(words) + "_v2", some("0123456789", 16), "-".join([*words, str(i)])][i // 2 % 4]
+            clean[i] = token
+        made.append((i, f"{text[:at]} {token} {text[at:]}"))
+    found = {r.doc_id: r for r in secrets.secrets(frame(spark, made), net=net).collect()}
+    inside = lambda i, token: any(
+        int(a) < made[i][1].index(token) + len(token) and made[i][1].index(token) < int(b) for _, a, b in (s.split(":") for s in found[i].spans.split(",") if s)
+    )
+    caught = [inside(i, t) for i, t in planted.items()]
+    wrong = [inside(i, t) for i, t in clean.items()]
+    assert sum(caught) / len(caught) >= 0.9 and sum(caught) / (sum(caught) + sum(wrong)) >= 0.9
+    assert all(r.n_candidates > 0 for r in found.values())
+    whole = secrets.secrets(docs, net=net).collect()
+    assert sum(r.n_network for r in whole) <= 0.01 * len(whole)
+
+
+def test_network_without_labelled_findings(spark):
+    net = secrets.train(frame(spark, [(1, None), (2, "nothing here")]))
+    rows = {r.doc_id: r for r in secrets.secrets(frame(spark, [(1, "see a3F9kQ2mZx7Lp0Vd8RtYw5Hs here"), (2, "see some-plain-words-2020 here")]), net=net).collect()}
+    assert (rows[1].n_network, rows[2].n_network) == (1, 0)
+
+
 
 def test_licences(spark, docs, texts):
     made = {

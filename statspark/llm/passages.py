@@ -224,7 +224,8 @@ def repeated(docs: DataFrame, value, least_words: int = LEAST_WORDS, within: boo
     Each passage of ``least_words`` words holds an anchor with a run of words behind it, and equal passages hold equal
     ones. Each anchor's run is matched with the nearest earlier document's, with one that agrees for longer first, and the
     two texts are compared to both sides. Where a document further off might agree with other words around the run, all
-    passages that hold it are matched one by one. So whatever passage an earlier document has, a match covers it.
+    passages that hold it are matched one by one. So whatever passage an earlier document has, a match covers it; matches
+    inside others of their document are left out.
     ``within`` adds repeats inside one document. A very frequent run is sorted by one task, which spills.
     """
     rows = in_batches(docs.select("doc_id", "text"), _anchors(least_words, value), "h long, deep long, doc_id long, at int")
@@ -257,7 +258,14 @@ def repeated(docs: DataFrame, value, least_words: int = LEAST_WORDS, within: boo
         runs = in_batches(docs.select("doc_id", "text"), _anchors(least_words, value), "h long, deep long, doc_id long, at int")
         same = runs.select("h", "doc_id", "at", F.lag(F.struct("doc_id", "at")).over(order).alias("near"), F.lit(False).alias("more"))
         result = result.unionByName(_matched(docs, _pairs(same.where("near is not null"), least_words), least_words).drop("h"))
-    return result.distinct()
+    return _widest(result)
+
+
+def _widest(found: DataFrame) -> DataFrame:
+    """Of the matches of a document those that lie in none of its others, and one of equal ones."""
+    order = Window.partitionBy("doc_id").orderBy("start", F.desc("end"), F.desc("keep_doc_id"), "keep_start")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return found.distinct().withColumn("_before", before).where("_before is null or _before < end").drop("_before")
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from .shared import in_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 #: Lattice places that a task remembers.
-PLACES = 2_500_000
+PLACES = 1_200_000
 #: Characters of texts whose words are built together.
 TOGETHER = 200_000
 SPACE, LITERAL = "▁", "\ud800"  # a lone surrogate, which no text holds, stands for a literal U+2581

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialised, without_rows, plain_words
+from .shared import materialised, named_rows, plain_words, without_rows
 
 WINDOW = 13
 #: Most windows that go into the scan as a hash set (8 bytes each); more of them are joined instead.
@@ -176,9 +176,10 @@ def contamination(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns; rows without an id stay."""
-    gone = contamination(docs, items, key, text).where("contaminated").select("doc_id")
-    return without_rows(docs, gone, key)
+    """The rows of ``docs`` that are not contaminated, with all their columns, each judged by its own text."""
+    rows, number = named_rows(docs, key, text)
+    gone = contamination(rows, items, number, text).where("contaminated").select("doc_id")
+    return without_rows(rows, gone, number).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def without_spans(text: Column, spans: Column) -> Column:

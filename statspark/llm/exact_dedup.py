@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialised, without_rows
+from .shared import free_name, materialised, without_rows, written
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: Chunk sizes in characters, and the place after which a chunk ends once it has the least size.
@@ -42,18 +42,20 @@ def squeezed(text: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WHITE, "")
 
 
-def recipes(docs: DataFrame, key: str = "doc_id", text: str = "text", strong: bool = False) -> DataFrame:
-    """One row per row of ``docs``: key, characters, digest of the squeezed text, and recipe.
+def recipes(docs: DataFrame, key: str = "doc_id", text: str = "text", strong: bool = False, *more: Column) -> DataFrame:
+    """One row per row of ``docs``: key, characters, digest of the squeezed text, and recipe; ``more`` columns first.
 
     ``strong`` names chunks by SHA-256 instead, for corpora in which ``unverified`` found something.
     """
     one = (lambda c: F.array(F.sha2(c, 256))) if strong else chunk_id
     whole = docs.select(
+        F.struct(*more).alias("more") if more else F.lit(None).alias("more"),
         F.col(key).cast("long").alias("doc_id"),
         F.length(F.coalesce(F.col(text), F.lit(""))).alias("chars"),
         squeezed(text).alias("squeezed"),
     )
     return whole.select(
+        *(["more.*"] if more else []),
         "doc_id",
         "chars",
         F.sha2(F.col("squeezed"), 256).alias("text_sha256"),
@@ -83,6 +85,16 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rows without an id stay, as nothing can name them."""
-    gone = exact_groups(docs, key, text).where(~F.col("kept")).select("doc_id")
-    return without_rows(docs, gone, key)
+    """One row of each group of equal texts, with all its columns: the one with the most characters of original text, then
+    the smallest id (rows without an id come last), then the first.
+
+    Rows are decided one by one, also where they repeat an id; for that they are written once with a number.
+    """
+    number = free_name(docs)
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()))
+    strong = not unverified(rows, text).isEmpty()
+    each = materialised(recipes(rows, key, text, strong, F.col(number).alias("row")))
+    best = F.min(F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    groups = each.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = each.join(groups, "recipe").where("row <> best.row").select("row")
+    return without_rows(rows, gone, number).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import bounded, in_batches, materialised, without_rows, written
+from .shared import bounded, in_batches, materialised, named_rows, without_rows, written
 
 WORDS, PERCENT = 5, 80
 #: Least number of a set's parity bits; larger sets have four an element and more.
@@ -382,9 +382,15 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each component the one with the smallest id.
+    """The rows of ``docs`` that stay, with all their columns: of each component those with the smallest id.
 
-    Rows without an id and texts without words stay.
+    Rows are told apart by id and text, so one that repeats an id with another text has a decision of its own; rows
+    without an id come last. Texts without words stay.
     """
-    gone = jaccard_components(docs, key, text, words, percent).where("doc_id <> component_id")
-    return without_rows(docs, gone.select("doc_id"), key)
+    rows, number = named_rows(docs, key, text)
+    found = materialised(jaccard_components(rows, number, text, words, percent).distinct())
+    ids = rows.select(F.col(number).alias("doc_id"), F.col(key).cast("long").alias("id")).distinct()
+    each = materialised(found.join(ids, "doc_id"))
+    first = each.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")).alias("first"))
+    gone = each.join(first, "component_id").where("doc_id <> first.doc_id").select("doc_id")
+    return without_rows(rows, gone, number).select(*(F.col(f"`{c}`") for c in docs.columns))

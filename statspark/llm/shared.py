@@ -89,6 +89,20 @@ def bounded(keys: DataFrame) -> DataFrame:
 
 
 def without_rows(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is not in the one column of ``gone``; nulls match nothing."""
-    ids = bounded(gone.select(F.col(gone.columns[0]).alias("_gone")).where("_gone is not null").distinct())
-    return docs.join(ids, F.col(key) == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` whose id is not in the one column of ``gone``; nulls match nothing, names may clash."""
+    ids = bounded(gone.select(F.col(gone.columns[0]).alias("id")).where("id is not null").distinct())
+    return docs.alias("d").join(ids.alias("g"), F.col(f"d.{key}") == F.col("g.id"), "left_anti")
+
+
+def free_name(docs: DataFrame, name: str = "_row") -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
+def named_rows(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each different pair of id and text, and its name: rows that differ are told apart even
+    where they repeat an id or lack one, and a recomputed task gives the same numbers."""
+    name = free_name(docs)
+    return docs.withColumn(name, F.xxhash64(F.col(key).cast("long"), F.col(key).isNull(), F.col(text), F.col(text).isNull())), name

@@ -49,3 +49,30 @@ def test_stages(spark, sf_dir):
     assert {r.doc_id for r in last.collect()} == kept
     assert all(r.text == texts[r.doc_id] for r in pieces.decoded(last).collect())
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).select("doc_id", "sample").collect())) == sorted(map(tuple, last.select("doc_id", "sample").collect()))
+
+
+def test_rows_not_ids_are_decided(spark):
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(5, "a unique text"), (5, "copied here"), (3, "copied  here"), (7, "twice"), (7, "twice"), (None, "alone"), (None, "copied here"), (1, None), (2, "")]
+    near = [(8, long), (8, "something else altogether"), (9, long + " more"), (None, long + " again")]
+    shape = "doc_id long, text string, _row int, _gone int, id int"
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows + near], shape)
+    stages = dict(corpus_pipeline.STAGES)
+    out = stages["exact_dedup"](spark, docs, "")
+    assert out.columns == docs.columns
+    said = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert said == sorted([(5, "a unique text"), (3, "copied  here"), (7, "twice"), (None, "alone"), (1, None), *near], key=repr)
+    left = stages["ngram_jaccard_join"](spark, out, "")
+    assert left.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in left.collect()} == {(5, "a unique text"), (3, "copied  here"), (7, "twice"), (None, "alone"), (1, None), (8, long), (8, "something else altogether")}
+    empty = docs.limit(0)
+    assert all(stages[s](spark, empty, "").count() == 0 for s in ("exact_dedup", "ngram_jaccard_join"))
+
+
+def test_contaminated_rows_go_one_by_one(spark, sf_dir):
+    item = next(r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(r.text.split()) > 15)
+    rows = [(4, item), (4, "clean words alone"), (None, item), (6, None), (6, ""), (8, item + " tail")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _row string")
+    out = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in out.collect()) == [(4, "clean words alone"), (6, ""), (6, "")]

@@ -339,13 +339,49 @@ def test_base_scores(spark, docs, texts):
 def test_code_and_model_are_proper():
     code = lm_score.Code.of(np.arange(257))
     assert math.isclose(sum(2.0 ** -int(s) for s in code.size), 1.0)
-    table = np.zeros((lm_score.K, 1 << 14), np.float32)
-    model = lm_score.Model(code, 14, table, np.full((lm_score.GATES, lm_score.K), 0.3))
+    table = np.zeros((lm_score.K, 1 << 14), np.uint8)
+    model = lm_score.Model(code, 14, table, lm_score.Mixer.plain())
     assert math.isclose(model.score([b"ab"])[0], -math.log10(2) * sum(int(code.size[x]) for x in (97, 98, 256)), rel_tol=1e-6)
     one = model.score([b"abc" * 400, b"", b"xyz"])
     assert np.allclose(one, [model.score([t])[0] for t in (b"abc" * 400, b"", b"xyz")])
 
 
+def test_mixed_probabilities_sum_to_one_and_adapt():
+    """All symbols after a beginning share its probability, with learned states, over several rounds of updates."""
+    code = lm_score.Code.of(np.arange(257))
+    rng = np.random.default_rng(3)
+    table = rng.integers(0, 256, (lm_score.K, 1 << 14)).astype(np.uint8)
+    model = lm_score.Model(code, 14, table, lm_score.Mixer.plain())
+    start = bytes(rng.integers(97, 101, 300).astype(np.uint8))
+
+    def first(texts):
+        """Natural logarithm of the texts' symbols up to the end of each, the end's decisions left out."""
+        sizes = [int(code.size[lm_score.contexts([t])[0][:-1]].sum()) for t in texts]
+        out = []
+        for text, size in zip(texts, sizes, strict=True):
+            symbols, owner, hashes = lm_score.contexts([text])
+            of, at = lm_score.decisions(code, symbols)
+            order, rounds = lm_score.in_rounds(np.array([size]))
+            of, at = of[order], at[order]
+            seen = [table[k][lm_score.slots(h, of, code.node[at], 14)] for k, h in enumerate(hashes)]
+            out.append(model.mixer.score(seen, code.bit[at], rounds, 1)[0])
+        return np.array(out)
+
+    whole = model.score([start])[0] * math.log(10)
+    parts = np.logaddexp.reduce([whole, *first([start + bytes([x]) for x in range(256)])])
+    assert math.isclose(parts, first([start])[0], rel_tol=1e-5)
+    # The second half of a monotonous text costs less than the first: weights and map have learned.
+    a, b = first([b"ab" * 400, b"ab" * 800])
+    assert b - a > a
+
+
+def test_a_state_is_known_by_its_counts():
+    counts = np.array([[0, 0], [0, 1], [1, 0], [2, 9], [0, 2**40], [2**40, 2**40]])
+    told = lm_score.states(counts)
+    assert told[0] == 0 and (told[1:] >= lm_score.STEPS).all() and len(set(told.tolist())) == 6
+    assert told[1] % lm_score.STEPS + told[2] % lm_score.STEPS == lm_score.STEPS and told[5] % lm_score.STEPS == lm_score.STEPS // 2
+
+
 def segmentations(word, v):
     if not word:
         return [((), 0.0)]
@@ -508,7 +544,7 @@ def test_tables_grow_beyond_the_broadcast(spark, odd, docs, monkeypatch):
     held = {(r.doc_id, r.n_bytes): r for r in lm_score.scores(some).collect()}
     monkeypatch.setattr(lm_score, "HELD_BITS", 19)
     model = lm_score.train(some)
-    assert not isinstance(model.table, np.ndarray) and model.bits == 20
+    assert not isinstance(model.table, np.ndarray) and model.bits == lm_score.LEAST_BITS
     rows = lm_score.scores(some, model=model).collect()
     assert len(rows) == some.count()
     for r in rows:

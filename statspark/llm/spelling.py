@@ -3,10 +3,21 @@
 Two words within one edit keep a bigram of every two disjoint ones. Bigrams are ordered from rare to frequent; a word's
 prefix are its three rarest occurrences with all that are as rare, and of the prefix a dynamic programme picks the two
 disjoint pivots that stand in the fewest words. Of two near words, the one whose prefix ends no later has a pivot in
-the other's prefix, at a place that the difference of lengths settles but for one step. So each pivot looks up five
-(bigram, place, length) keys among the prefixes, and what meets is verified by its edit distance.
+the other's prefix, at a place that the difference of lengths settles but for one step.
 
-Words are of the 90 letters a-z and U+00C0-U+00FF, so that there are at most 8,100 bigrams: their counts fit in every task.
+Position limits go further than that: where an edit lies settles what the words share. Before a surviving pivot it leaves
+the rest from the pivot on, behind it all up to the pivot. So the word asks by its two pivots, the other answers by each
+occurrence of its prefix, and both by the letters that must then be equal:
+
+1. an edit before both pivots: the rest from the first on;
+2. an edit behind both: the beginning up to the second;
+3. between them, or in the second with two letters or more behind it: the beginning up to the first, and the last two;
+4. in the first with two letters or more before it: the first two, and the rest from the second on;
+5. in the first with fewer before it: the rest behind the first (answered by the rests behind one to four letters);
+6. in the second with fewer behind it: the beginning before the second (answered likewise).
+
+A key is a number made of these letters, the length and the case; words that meet under one are verified by their edit
+distance. Words are of the 90 letters a-z and U+00C0-U+00FF, so there are at most 8,100 bigrams: their counts fit in every task.
 """
 
 from __future__ import annotations
@@ -25,9 +36,10 @@ LETTERS = 26 + 64
 GRAMS = LETTERS * LETTERS
 #: Of one edit: a word's prefix has 2 * 1 + 1 bigrams, and 1 + 1 of them are pivots.
 PREFIX = 3
-#: Difference of lengths and of places between a pivot's word and a near one.
-SHIFTS = ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))
-INDEX = "gram int, place int, length int, pivot boolean, last int, word string, n long"
+#: Letters beside a pivot that make a key of their own (cases 3 to 6).
+SIDE = 2
+#: Odd factors that spread keys over 64 bits.
+SPREAD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 
 
 def counted(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 7, times: int = 2, every: int = 0) -> DataFrame:
@@ -105,45 +117,100 @@ def prefixes_and_pivots(words: list[str], counts: np.ndarray) -> tuple[np.ndarra
     return word, place, gram, pivot, last
 
 
-def _indexed(counts: np.ndarray):
+class _Letters:
+    """Numbers of the beginnings and ends of words: equal ones have equal numbers (sums modulo 2^64)."""
+
+    def __init__(self, words: list[str]):
+        code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        self.length = np.array([len(w) for w in words], np.int64)
+        self.first = np.cumsum(self.length) - self.length
+        place = np.arange(len(code)) - np.repeat(self.first, self.length)
+        power = np.multiply.accumulate(np.full(int(self.length.max()), SPREAD[0], np.uint64))
+        zero = np.zeros(1, np.uint64)
+        self.ahead = np.concatenate([zero, np.cumsum(code * power[place])])
+        self.behind = np.concatenate([zero, np.cumsum(code * power[np.repeat(self.length, self.length) - 1 - place])])
+
+    def upto(self, word: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        return self.ahead[self.first[word] + n] - self.ahead[self.first[word]]
+
+    def since(self, word: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        return self.behind[self.first[word] + self.length[word]] - self.behind[self.first[word] + n]
+
+
+def _key(case: int, left, right, length: np.ndarray) -> np.ndarray:
+    h = left * np.uint64(SPREAD[1]) + right * np.uint64(SPREAD[2]) + length.astype(np.uint64) * np.uint64(SPREAD[3]) + np.uint64(case)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(SPREAD[4])
+    return (h ^ (h >> np.uint64(33))).view(np.int64)
+
+
+def asked(words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word and key of everything that words ask for by their pivots; where each word's prefix ends."""
+    word, place, _, pivot, last = prefixes_and_pivots(words, counts)
+    text, none = _Letters(words), np.uint64(0)
+    every = np.arange(len(words))
+    p, q = place[np.flatnonzero(pivot)].reshape(-1, 2).T
+    length = text.length
+    cases = [
+        (1, every, lambda w: (none, text.since(w, p[w]))),
+        (2, every, lambda w: (text.upto(w, q[w] + 2), none)),
+        (3, every, lambda w: (text.upto(w, p[w] + 2), text.since(w, length[w] - SIDE))),
+        (4, np.flatnonzero(p >= SIDE), lambda w: (text.upto(w, SIDE), text.since(w, q[w]))),
+        (5, np.flatnonzero(p < SIDE), lambda w: (none, text.since(w, p[w] + 2))),
+        (6, np.flatnonzero(length - q - 2 < SIDE), lambda w: (text.upto(w, q[w]), none)),
+    ]
+    found = [(w, _key(case, *sides(w), length[w] + longer)) for case, w, sides in cases for longer in (-1, 0, 1)]
+    return np.concatenate([w for w, _ in found]), np.concatenate([k for _, k in found]), last
+
+
+def answered(words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for everything that words answer to by their prefixes."""
+    word, place, _, _, last = prefixes_and_pivots(words, counts)
+    text, none = _Letters(words), np.uint64(0)
+    length = text.length
+    found = [
+        (word, _key(1, none, text.since(word, place), length[word])),
+        (word, _key(2, text.upto(word, place + 2), none, length[word])),
+        (word, _key(3, text.upto(word, place + 2), text.since(word, length[word] - SIDE), length[word])),
+        (word, _key(4, text.upto(word, SIDE), text.since(word, place), length[word])),
+    ]
+    for n in range(1, SIDE + 3):
+        w = np.flatnonzero(length > n)
+        found += [(w, _key(5, none, text.since(w, n), length[w])), (w, _key(6, text.upto(w, length[w] - n), none, length[w]))]
+    return np.concatenate([w for w, _ in found]), np.concatenate([k for _, k in found]), last
+
+
+def _keyed(make, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            if not words:
+            if not len(batch):
                 continue
-            word, place, gram, pivot, last = prefixes_and_pivots(words, counts)
-            length = np.array([len(w) for w in words])
-            p = np.flatnonzero(pivot)
-            of = [np.arange(len(word)), *([p] * len(SHIFTS))]
-            longer = np.repeat([0, *(x for x, _ in SHIFTS)], [len(x) for x in of])
-            later = np.repeat([0, *(y for _, y in SHIFTS)], [len(x) for x in of])
-            asks = np.repeat([False, *([True] * len(SHIFTS))], [len(x) for x in of])
-            of = np.concatenate(of)
-            w = word[of]
-            ints = [pa.array(x, pa.int32()) for x in (gram[of], place[of] + later, length[w] + longer)]
-            taken = batch.take(pa.array(w))
-            yield pa.RecordBatch.from_arrays(
-                [*ints, pa.array(asks), pa.array(last[w], pa.int32()), taken.column(0), taken.column(1)],
-                ["gram", "place", "length", "pivot", "last", "word", "n"],
-            )
+            word, key, last = make(batch.column(0).to_pylist(), counts)
+            order = np.argsort(word, kind="stable")
+            ends = np.searchsorted(word[order], np.arange(len(batch) + 1)).astype(np.int32)
+            keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(key[order]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(last, pa.int32()), keys], ["word", "last", "keys"])
 
     return run
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """word, n, other, other_n: every pair of words (word, n) within exactly one inserted, deleted or replaced code point, once.
+    """word, other: every pair of words within exactly one inserted, deleted or replaced code point, once.
 
-    Words are distinct, of the 90 letters, and of four code points at least. AQE splits keys that are hot; a word has a
-    bounded number of near ones, so nothing else can be.
+    Words are distinct, of the 90 letters, and of four code points at least; columns other than ``word`` are not read. AQE
+    splits keys that are hot; a word has a bounded number of near ones, so nothing else can be.
     """
-    index = written(in_batches(words.select("word", "n"), _indexed(gram_counts(words)), INDEX))
-    p, q = index.where("pivot").alias("p"), index.where("not pivot").alias("q")
-    keys = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("gram", "place", "length")]
+    counts = gram_counts(words)
+    sides = [
+        in_batches(words.select("word"), _keyed(make, counts), "word string, last int, keys array<bigint>").select(
+            F.explode("keys").alias("key"), "last", "word"
+        )
+        for make in (asked, answered)
+    ]
+    p, q = sides[0].alias("p"), sides[1].alias("q")
     earlier = (F.col("p.last") < F.col("q.last")) | ((F.col("p.last") == F.col("q.last")) & (F.col("p.word") < F.col("q.word")))
     one = F.levenshtein("p.word", "q.word", 1) == 1
-    met = p.join(q, [*keys, earlier, one])
-    names = {"p.word": "word", "p.n": "n", "q.word": "other", "q.n": "other_n"}
-    return met.select(*(F.col(c).alias(name) for c, name in names.items())).distinct()
+    met = p.join(q, [F.col("p.key") == F.col("q.key"), earlier, one])
+    return met.select(F.col("p.word").alias("word"), F.col("q.word").alias("other")).distinct()
 
 
 def _last(links: DataFrame) -> DataFrame:
@@ -166,7 +233,7 @@ def variants(words: DataFrame, factor: int = 10) -> DataFrame:
         raise ValueError("a form must be more frequent than its word")
     words = written(words)
     pairs = materialised(near_words(words))
-    both = pairs.select("word", "other", "other_n").union(pairs.select("other", "word", "n"))
+    both = pairs.union(pairs.select("other", "word")).join(words.select(F.col("word").alias("other"), F.col("n").alias("other_n")), "other")
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), "other")).alias("best"))
     most = -F.col("best.less")
     fits = most >= factor * F.col("n")

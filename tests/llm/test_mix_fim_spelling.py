@@ -201,7 +201,7 @@ def test_words_are_counted(spark):
 def test_near_words_with_repeated_bigrams(spark, seed):
     """Few letters, so that bigrams repeat and tie."""
     rng = random.Random(seed)
-    words = {"".join(rng.choices("abÿ"[: 2 + seed % 2], k=rng.randrange(4, 10))) for _ in range(400)} | {"a" * 5_000, "a" * 5_001, "a" * 4_999 + "b"}
+    words = {"".join(rng.choices("abÿ"[: 2 + seed % 2], k=rng.randrange(4, 10))) for _ in range(600)} | {"a" * 5_000, "a" * 5_001, "a" * 4_999 + "b"}
     table = spark.createDataFrame([(w, i) for i, w in enumerate(sorted(words))], "word string, n long").repartition(3)
     got = [frozenset((r.word, r.other)) for r in spelling.near_words(table).collect()]
     assert len(got) == len(set(got))

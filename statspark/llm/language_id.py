@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import FOLD, in_batches, materialised, without_rows
+from .shared import FOLD, free_name, in_batches, materialised, without_rows
 
 LANGUAGES = ("de", "en", "es", "fr")
 BITS = 15
@@ -183,10 +183,14 @@ def page_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` (with lang and source) that are accepted, with all their columns; others go.
+def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", declared: str = "lang", host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that are accepted, with all their columns; others go.
 
-    Rows without an id stay, as nothing can name them.
+    Rows are decided one by one, by their own text and evidence: those that repeat an id or lack one like all others. Rows
+    alike in id, text, declaration and host share a decision. An empty table gives no rows; names may clash.
     """
-    gone = identified(document_rows(docs, key, text)).where("not accepted").select("doc_id")
-    return without_rows(docs, gone, key)
+    name = free_name(docs)
+    told = [F.col(c) for c in (key, text, declared, host)]
+    rows = docs.withColumn(name, F.xxhash64(*told, *(c.isNull() for c in told)))
+    gone = identified(document_rows(rows, name, text, declared, host)).where("not accepted").select("doc_id")
+    return without_rows(rows, gone, name).select(*(F.col(f"`{c}`") for c in docs.columns))

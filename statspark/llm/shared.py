@@ -29,13 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _shared_folder(df: DataFrame) -> str:
     """The checkpoint folder that the cluster shares: the session's ``spark.checkpoint.dir``.
 
-    Only a session without one (tests on one machine) gets a temporary folder.
+    Only a session on one machine may lack the setting; it gets a temporary folder.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-")
-        )
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None and context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context.getCheckpointDir()
 
 

@@ -76,3 +76,20 @@ def test_contaminated_rows_go_one_by_one(spark, sf_dir):
     out = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, docs, sf_dir)
     assert out.columns == docs.columns
     assert sorted((r.doc_id, r.text or "") for r in out.collect()) == [(4, "clean words alone"), (6, ""), (6, "")]
+
+
+def test_noise_goes_row_by_row(spark, sf_dir):
+    """Noise that repeats ids, or has none, goes alone."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    noise = "qzx jvkw xqqz zzj wvxk qjx " * 20
+    ids = [r.doc_id for r in docs.limit(3).collect()]
+    more = spark.createDataFrame([(i, noise + str(i), None, None, 1) for i in [*ids, None]], docs.schema)
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    out = stage(spark, docs.union(more), sf_dir)
+    assert out.columns == docs.columns
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, docs.collect()))
+    assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    odd = spark.createDataFrame([(1, None, None, None, 1), (2, "", "en", "a", 1), (None, " ", None, None, 1), (3, "the house and the garden " * 3000, None, None, 1)], docs.schema)
+    clash = odd.selectExpr("*", "1 as host", "2 as declared", "3 as _row", "4 as language", "5 as text_ll")
+    kept = stage(spark, clash, sf_dir)
+    assert kept.columns == clash.columns and {r.doc_id for r in kept.collect()} <= {1, 2, 3, None}

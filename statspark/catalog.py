@@ -265,6 +265,39 @@ def numeric_guard(spark, sf_dir):
     return spark.sql(_JSON).select("l_orderkey", "l_linenumber", transform.numeric_only(F.col("json")).alias("number"))
 
 
+@query(f"with raw as ({fx.FACT_RAW}) select game_pk, player_id, case when game_pk % 4 = 0 then game_pk % 100 + 0.25 end::double as bat_babip, case when game_pk % 3 = 0 then cast(game_pk % 7 as double) end as bat_home_run_rate, bat_hits from raw")
+def landed_numbers(spark, sf_dir):
+    """Values whose JSON type matters: numbers are kept, text, true, and absent ones are null."""
+    pk = F.col("game_pk")
+    # Marked values become JSON numbers and literals, as the fixture writes texts alone.
+    babip = F.when(pk % 4 == 0, F.concat(F.lit("@"), pk % 100, F.lit(".25"))).when(pk % 4 == 1, "0.5").when(pk % 4 == 2, "@true")
+    rate = F.when(pk % 3 == 0, F.concat(F.lit("@"), pk % 7)).when(pk % 3 == 1, "12")
+    more = F.map_filter(F.create_map(F.lit("babip"), babip, F.lit("home_run_rate"), rate), lambda _, v: v.isNotNull())
+    rows = fx.players(fx.raw_fact(spark, sf_dir)).withColumn("batting", F.map_concat("batting", more))
+    json = fx.boxscore_json(rows).withColumn("json", F.regexp_replace("json", '"@([^"]*)"', "$1"))
+    flat = transform.flatten(landed.boxscore_players(json))
+    return flat.select("game_pk", "player_id", "bat_babip", "bat_home_run_rate", "bat_hits")
+
+
+@query(f"{_FACT} select f.* from fact f join game using (game_pk) where game_date = date '{DAY}'")
+def boxscore_files(spark, sf_dir):
+    """Facts of one day from files <game_pk>.json."""
+    root, games = _folder(spark), fx.games(spark, sf_dir)
+    chosen = games.where(F.col("game_date") == DAY).select("game_pk")
+    raw = fx.raw_fact(spark, sf_dir).join(chosen, "game_pk", "left_semi")
+    for r in fx.boxscore_json(fx.players(raw)).toLocalIterator():
+        _put(spark, f"{root}/{r['game_pk']}.json", r["json"])
+    return transform.load_ready(landed.boxscore_players(landed.boxscores(spark, root)), games, fx.constants(spark))
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """A file as it lands: by Hadoop's file systems, so that the folder may be anywhere."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
 # ---- Metrics -------------------------------------------------------------------------------------------------------
 
 
@@ -413,6 +446,18 @@ def training_pitcher(spark, sf_dir):
     return features.pitcher_training(fact, games, rolling.rolling_all_dates(fact, games, constants), FIRST, LAST)
 
 
+@query(
+    _training_sql("bat_woba", "bat_plate_appearances", BATTER)
+    .replace("select target.player_id, game_date, label,", "select target.player_id, game_date, label, as_of_date,")
+    .replace("from target join wide on wide.player_id = target.player_id and as_of_date = before", "from target asof join wide on wide.player_id = target.player_id and wide.as_of_date < target.game_date")
+)
+def training_batter_asof(spark, sf_dir):
+    """Each game with the batter's features of the latest date before it."""
+    fact, games, constants = stored(spark, sf_dir)
+    rows = features.batter_training(fact, games, rolling.rolling_all_dates(fact, games, constants), FIRST, LAST, latest=True)
+    return rows.select("player_id", "game_date", "label", "as_of_date", *feature_names(BATTER))
+
+
 @query(f"{_BASE} select cast(min(game_date) as date) as min_date, cast(max(game_date) as date) as max_date from game where game_date >= date '{DAY}' - 730 and game_pk in (select game_pk from raw)")
 def training_range(spark, sf_dir):
     return features.training_range(fx.games(spark, sf_dir), fx.raw_fact(spark, sf_dir), DAY)
@@ -447,21 +492,85 @@ def feature_statistics(spark, sf_dir):
     return rows.select("feature", "median", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
-def _model(spark, sf_dir, which: str) -> learning.Model:
+_LABELS = {"batter": ("bat_woba", "bat_plate_appearances", BATTER), "pitcher": ("pit_fip", "pit_innings_pitched", PITCHER)}
+
+
+def _ridge_sql(which: str, days: str) -> str:
+    """Tables of one model, from ``_ROLL``: <which>_wide, _t (rows), _s (median, mean, spread), _w (weights), _fit (prediction).
+
+    The normal equations of standardised features are solved by elimination, one column a step.
+    """
+    label, activity, columns = _LABELS[which]
+    w, p = which, 2 * len(columns)
+    values = ", ".join(f"cast({c} as double)" for c in feature_names(columns))
+    return f""", {w}_wide as (select player_id, as_of_date, [{values}] as v from ({_wide_sql(columns)})),
+ {w}_t as (select row_number() over () as id, cast({label} as double) as y, v from dated f join {w}_wide d on d.player_id = f.player_id and as_of_date = cast(game_date - 1 as date)
+  where {days} and coalesce({activity}, 0) > 0 and {label} is not null),
+ {w}_j as (select unnest(generate_series(1, {p})) as j),
+ {w}_m as (select j, coalesce(median(v[j]), 0) as middle from {w}_t, {w}_j group by j),
+ {w}_x as (select id, y, j, coalesce(v[j], middle) as x from {w}_t, {w}_m),
+ {w}_s as (select j, avg(x) as mean, case when stddev_pop(x) < 1e-9 then 1 else stddev_pop(x) end as std, any_value(middle) as middle from {w}_x join {w}_m using (j) group by j),
+ {w}_b as (select avg(y) as base, count(*) as n from {w}_t),
+ {w}_z as (select id, y - base as y, j, (x - mean) / std as z from {w}_x join {w}_s using (j), {w}_b),
+ {w}_g as (select a.j as i, b.j as j, sum(a.z * b.z) + case when a.j = b.j then 1.0 else 0.0 end as g from {w}_z a join {w}_z b using (id) group by a.j, b.j
+  union all select j, {p + 1}, sum(z * y) from {w}_z group by j),
+ {w}_e as (select 0 as k, list(line order by i) as m from (select i, list(g order by j) as line from {w}_g group by i)
+  union all select k + 1, list_transform(m, lambda r, i: list_transform(range(1, {p + 2}), lambda j: case when i = k + 1 then r[j] / r[k + 1] else r[j] - r[k + 1] * m[k + 1][j] / m[k + 1][k + 1] end)) from {w}_e where k < {p}),
+ {w}_w as (select j, m[j][{p + 1}] as weight from {w}_e, {w}_j where k = {p}),
+ {w}_error as (select sqrt(avg((hat - y) ** 2)) as rmse from (select id, any_value(y) as y, sum(z * weight) as hat from {w}_z join {w}_w using (j) group by id)),
+ {w}_fit as (select player_id, as_of_date, any_value(base) + sum(weight * (coalesce(v[j], middle) - mean) / std) as hat
+  from {w}_wide, {w}_w join {w}_s using (j), {w}_b group by player_id, as_of_date)"""
+
+
+_SPAN = f"game_date between date '{FIRST}' and date '{LAST}'"
+_BOTH = _ridge_sql("batter", _SPAN) + _ridge_sql("pitcher", _SPAN)
+
+
+def _predictions_sql(models: str, day: str) -> str:
+    return f"""{_ROLL}{models}, team as ({_ROSTER}) select game_pk, team.player_id, cast(date '{AS_OF}' as date) as as_of_date,
+ round(b.hat, 4) as pred_bat_woba, round(p.hat, 2) as pred_pit_fip, '{NOW}' as model_version_bat, '{NOW}' as model_version_pit
+ from team left join batter_fit b on b.player_id = team.player_id and b.as_of_date = {day} left join pitcher_fit p on p.player_id = team.player_id and p.as_of_date = {day}"""
+
+
+def _model(spark, sf_dir, which: str, last: str = LAST) -> learning.Model | dict:
     fact, games, constants = stored(spark, sf_dir)
-    build, columns = (features.batter_training, BATTER) if which == "batter" else (features.pitcher_training, PITCHER)
-    rows = build(fact, games, rolling.rolling_all_dates(fact, games, constants), FIRST, LAST).cache()
+    build, columns = jobs.MODELS[which]
+    rows = build(fact, games, rolling.rolling_all_dates(fact, games, constants), FIRST, last).cache()
     return learning.train(rows, feature_names(columns), NOW)
 
 
-@query()
+@query(
+    f"{_ROLL}{_BOTH} select 'batter' as model, n as n_samples, round(rmse, 6) as train_rmse from batter_b, batter_error"
+    " union all select 'pitcher', n, round(rmse, 6) from pitcher_b, pitcher_error"
+)
 def train_metrics(spark, sf_dir):
     """model, n_samples, train_rmse of both ridge models."""
-    rows = [(w, m.metadata["n_samples"], m.metadata["train_rmse"]) for w in ("batter", "pitcher") for m in [_model(spark, sf_dir, w)]]
+    rows = [(w, m.metadata["n_samples"], round(m.metadata["train_rmse"], 6)) for w in ("batter", "pitcher") for m in [_model(spark, sf_dir, w)]]
     return spark.createDataFrame(rows, "model string, n_samples long, train_rmse double")
 
 
-@query()
+@query(f"{_BASE} select 'batter' as model, count(*) as n_samples from game join raw using (game_pk) where game_date between date '{FIRST}' and date '1990-01-01'")
+def train_without_rows(spark, sf_dir):
+    """Training on a span without games: empty metadata and no model."""
+    about = _model(spark, sf_dir, "batter", "1990-01-01")
+    return spark.createDataFrame([("batter", about["n_samples"])], "model string, n_samples long")
+
+
+@query(
+    f"{_ROLL}{_ridge_sql('pitcher', _SPAN)}, name as (select unnest({feature_names(PITCHER)!r}) as feature, unnest(generate_series(1, {2 * len(PITCHER)})) as j)"
+    " select feature, round(middle, 6) as median, round(weight / std, 5) as coefficient from name join pitcher_s using (j) join pitcher_w using (j)"
+)
+def model_saved_and_loaded(spark, sf_dir):
+    """Medians and coefficients of the pitchers' model after it was saved and loaded."""
+    root = _folder(spark)
+    _model(spark, sf_dir, "pitcher").save(root)
+    model = learning.Model.load(root)
+    rows = [(c, model.medians[c], w) for c, w in zip(model.columns, model.fitted.coefficients, strict=True)]
+    found = spark.createDataFrame(rows, "feature string, median double, coefficient double")
+    return found.select("feature", F.round("median", 6).alias("median"), F.round("coefficient", 5).alias("coefficient"))
+
+
+@query(_predictions_sql(_BOTH, f"date '{AS_OF}'"))
 def predictions(spark, sf_dir):
     """Predictions for the scheduled games of one day."""
     day = rolling_one_date(spark, sf_dir)
@@ -604,6 +713,27 @@ def validate_sections(spark, sf_dir):
     return quality.section_violations(_broken_players(spark, sf_dir))
 
 
+_GATES = " union all ".join(
+    f"select '{reason}' as reason, count(*) filter ({broken}) as broken, min(cast(player_id as varchar)) filter ({broken}) as first_key, count(*) as n_rows from raw"
+    for reason, broken in {
+        "missing game_pk": "game_pk is null",
+        "missing player_id": "player_id is null",
+        "missing team_id": "team_id is null or game_pk % 35 = 0",
+        "missing position_code": "position_code is null",
+        "missing position_name": "position_name is null",
+        "no section": "game_pk % 33 = 0",
+    }.items()
+)
+
+
+@query(f"with raw as ({fx.FACT_RAW}) {_GATES}")
+def gate_counts(spark, sf_dir):
+    """What Spark counts for a gate while the rows are written."""
+    gate = quality.Gate(quality.stats_rules(), "player_id")
+    gate.on(_broken_players(spark, sf_dir)).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(*x, gate.rows) for x in gate.found()], "reason string, broken long, first_key string, n_rows long")
+
+
 @query(f"{_GAME}, a as (select game_pk from game where game_pk % 7 <> 0 union all select game_pk from game where game_pk % 9 = 0), k as (select game_pk as key, -1 as n from game union all select game_pk, 1 from a) select key, cast(sum(n) as bigint) as difference from k group by key having sum(n) <> 0")
 def game_pk_multiset_diff(spark, sf_dir):
     games = fx.games(spark, sf_dir)
@@ -695,6 +825,69 @@ def late_game_refresh(spark, sf_dir):
     return tables.read(spark, _loaded(spark, sf_dir, _TWO[1], _TWO[0]), "player_rolling_stats")
 
 
+_DAYS = f"{_FACT.replace(f'with recursive game as ({fx.GAME})', _ONLY)}"
+
+
+@query(f"{_DAYS} select player_id, cast(game_date as date) as game_date, max(season) as season, {_SUM}, cast(round(sum({_DEC.format('pit_innings_pitched')}) * 100) as bigint) as pit_innings_hundredths from fact join game using (game_pk) group by player_id, game_date")
+def daily_sums_after_late_load(spark, sf_dir):
+    """The stored sums of each player and day after a day was loaded and then an earlier one."""
+    return tables.read(spark, _loaded(spark, sf_dir, _TWO[1], _TWO[0]), "player_daily").drop("pit_fip_times_ip")
+
+
+@query(_SQL["late_game_refresh"])
+def streamed_loads(spark, sf_dir):
+    """The rolling table after two schedule files, the later day first, were loaded by the stream."""
+    root, games = _folder(spark), fx.games(spark, sf_dir)
+    raw = fx.raw_fact(spark, sf_dir).join(games.where(F.col("game_date").isin([*_TWO])).select("game_pk"), "game_pk", "left_semi")
+    fx.boxscore_json(fx.players(raw)).write.parquet(f"{root}/boxes")
+    for day in _TWO[::-1]:
+        fx.schedule(games.where(F.col("game_date") == day)).coalesce(1).write.json(f"{root}/landed/{day}")
+        given = (f"{root}/landed/*", f"{root}/stream", spark.read.parquet(f"{root}/boxes"), fx.constants(spark), root, f"{day} 02:00:00")
+        jobs.follow_landing(spark, *given, files=1).awaitTermination()
+    return tables.read(spark, root, "player_rolling_stats")
+
+
+def _all_stored(spark, sf_dir) -> str:
+    """A folder with all facts and games, and everything that a backfill derives from them."""
+    root, (fact, games, constants) = _folder(spark), stored(spark, sf_dir)
+    tables.write(spark, root, "dim_game", games)
+    tables.write(spark, root, "fact_game_state", jobs.placed(fact, games))
+    jobs.run_rolling_backfill(spark, root, constants)
+    tables.append(root, "load_audit", upsert.audit_row(spark, jobs.STATS, f"{AS_OF} 02:00:00"))
+    return root
+
+
+@query(f"{_ROLL} select * from rolling")
+def rolling_backfill(spark, sf_dir):
+    """The stored rolling table after a backfill."""
+    return tables.read(spark, _all_stored(spark, sf_dir), "player_rolling_stats")
+
+
+_LATELY = f"game_date >= date '{AS_OF}' - 730"
+
+
+@query(_predictions_sql(_ridge_sql("batter", _LATELY) + _ridge_sql("pitcher", _LATELY), f"date '{AS_OF}'"))
+def predictions_stored(spark, sf_dir):
+    """What the prediction job stores for the games of one day, trained on the stored sums of the last 730."""
+    root, games = _all_stored(spark, sf_dir), fx.games(spark, sf_dir)
+    today = fx.schedule(games.where(F.col("game_date") == DAY))
+    return jobs.run_predictions(spark, today, root, AS_OF, f"{AS_OF} 06:00:00", NOW).drop("created_at")
+
+
+@query(f"{_GAME} select season, woba, woba_scale, w_bb, cast(null as double) as c_fip from ({_YEARS})")
+def constants_job(spark, sf_dir):
+    """The stored constants after a landed file was loaded twice."""
+    root = _folder(spark)
+    years = season_constants(spark, sf_dir)
+    keys = {c: CONSTANTS[c] for c in ("woba", "woba_scale", "w_bb")}
+    values = F.struct(*(F.col(c).alias(k) for c, k in keys.items()))
+    entry = F.struct(F.col("season").cast("string").alias("key"), values.alias("value"))
+    years.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).coalesce(1).write.text(f"{root}/landed")
+    for _ in range(2):
+        jobs.run_constants(spark, f"{root}/landed", root)
+    return tables.read(spark, root, "dim_stat_constants").select("season", *keys, "c_fip")
+
+
 @query(f"{_BASE} select game_pk, player_id from raw where game_pk < 0")
 def predictions_none_scheduled(spark, sf_dir):
     """No scheduled games, no rows; no model is needed for that."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statspark.operators.rolling import games_of
@@ -29,24 +29,52 @@ def pitcher_features(rolling: DataFrame, first: str, last: str | None = None) ->
     return wide(_between(rolling, first, last or first), PITCHER)
 
 
-def _training(fact: DataFrame, games: DataFrame, rolling: DataFrame, first: str, last: str, label: str, activity: str, columns: list[str]) -> DataFrame:
+def latest_before(targets: DataFrame, found: DataFrame, at: str = "game_date", of: str = "as_of_date", key: str = "player_id") -> DataFrame:
+    """Targets with the row of ``found`` that has the same key and the latest date strictly before theirs, if there is one.
+
+    An as-of join by union: both sides meet in one shuffle and one sort by key and date, and each target takes the last
+    row of ``found`` above it. Rows of ``found`` are told apart by key and date.
+    """
+    rest = [c for c in found.columns if c != key]
+    empty = found.select(F.struct(*rest).alias("f")).schema["f"].dataType
+    own = targets.select(F.col(key), F.col(at).alias("at"), F.lit(0).alias("kind"), F.struct(*targets.columns).alias("target"), F.lit(None).cast(empty).alias("found"))
+    theirs = found.select(F.col(key), F.col(of).alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(own.schema["target"].dataType).alias("target"), F.struct(*rest).alias("found"))
+    above = Window.partitionBy(key).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    met = own.unionByName(theirs).withColumn("found", F.last("found", ignorenulls=True).over(above))
+    return met.where("target is not null and found is not null").select("target.*", "found.*")
+
+
+def _targets(fact: DataFrame, games: DataFrame, first: str, last: str, label: str, activity: str) -> DataFrame:
     days = games.where(F.col("game_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-    targets = games_of(fact, days).where((F.coalesce(F.col(activity), F.lit(0)) > 0) & F.col(label).isNotNull())
-    targets = targets.select("player_id", "game_date", F.date_sub("game_date", 1).alias("as_of_date"), F.col(label).alias("label"))
+    rows = games_of(fact, days).where((F.coalesce(F.col(activity), F.lit(0)) > 0) & F.col(label).isNotNull())
+    return rows.select("player_id", "game_date", F.col(label).alias("label"))
+
+
+def _training(
+    fact: DataFrame, games: DataFrame, rolling: DataFrame, first: str, last: str, label: str, activity: str, columns: list[str], latest: bool
+) -> DataFrame:
+    targets = _targets(fact, games, first, last, label, activity)
+    end = F.date_sub(F.lit(last).cast("date"), 1)
+    if latest:
+        return latest_before(targets, wide(rolling.where(F.col("as_of_date") <= end), columns))
+    targets = targets.withColumn("as_of_date", F.date_sub("game_date", 1))
     # The join's dates lie one day before the targets', so the range reaches the scan of the features.
     before = F.date_sub(F.lit(first).cast("date"), 1)
-    features = wide(rolling.where(F.col("as_of_date").between(before, F.date_sub(F.lit(last).cast("date"), 1))), columns)
+    features = wide(rolling.where(F.col("as_of_date").between(before, end)), columns)
     return targets.join(features, ["player_id", "as_of_date"]).drop("as_of_date")
 
 
-def batter_training(fact: DataFrame, games: DataFrame, rolling: DataFrame, first: str, last: str) -> DataFrame:
-    """player_id, game_date, label (wOBA of a game) and the batter's features of exactly the day before."""
-    return _training(fact, games, rolling, first, last, "bat_woba", "bat_plate_appearances", BATTER)
+def batter_training(fact: DataFrame, games: DataFrame, rolling: DataFrame, first: str, last: str, latest: bool = False) -> DataFrame:
+    """player_id, game_date, label (wOBA of a game) and the batter's features of exactly the day before.
+
+    ``latest``: of the latest date before the game instead, given as as_of_date, however long ago it is.
+    """
+    return _training(fact, games, rolling, first, last, "bat_woba", "bat_plate_appearances", BATTER, latest)
 
 
-def pitcher_training(fact: DataFrame, games: DataFrame, rolling: DataFrame, first: str, last: str) -> DataFrame:
+def pitcher_training(fact: DataFrame, games: DataFrame, rolling: DataFrame, first: str, last: str, latest: bool = False) -> DataFrame:
     """The same with FIP for games with innings pitched."""
-    return _training(fact, games, rolling, first, last, "pit_fip", "pit_innings_pitched", PITCHER)
+    return _training(fact, games, rolling, first, last, "pit_fip", "pit_innings_pitched", PITCHER, latest)
 
 
 def training_range(games: DataFrame, fact: DataFrame, today: str, days: int = 730) -> DataFrame:

@@ -1,20 +1,33 @@
-"""Ridge models on wide features: median imputation, standardised least squares, batch scoring."""
+"""Ridge models on wide features: median imputation, standardised least squares in closed form, batch scoring.
+
+Two kinds of sums over training rows, which can be kept by day and added up, tell all that a model needs: how often each
+feature has each value (for exact medians), and products of all pairs of columns (Gram matrices, for means, spreads and
+the solution). What is missing is counted apart in the products, so they do not depend on the medians.
+"""
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from statspark.sources.tables import checkpoint_folder
+
+
+@dataclass
+class Ridge:
+    coefficients: list[float]
+    intercept: float
+
 
 @dataclass
 class Model:
     medians: dict[str, float]
-    fitted: LinearRegressionModel
+    fitted: Ridge
     metadata: dict
 
     @property
@@ -22,22 +35,55 @@ class Model:
         return self.metadata["feature_columns"]
 
     def save(self, path: str) -> None:
-        """The fitted model, and medians and metadata as a one-row table."""
+        """A table of the features with their medians and coefficients, and one row of intercept and metadata."""
         spark = SparkSession.active()
-        self.fitted.write().overwrite().save(f"{path}/model")
-        row = [(json.dumps(self.metadata), json.dumps(self.medians))]
-        spark.createDataFrame(row, "metadata string, medians string").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+        features = [(i, c, self.medians[c], w) for i, (c, w) in enumerate(zip(self.columns, self.fitted.coefficients, strict=True))]
+        rows = spark.createDataFrame(features, "place int, feature string, median double, coefficient double")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
+        about = [(self.fitted.intercept, json.dumps(self.metadata))]
+        spark.createDataFrame(about, "intercept double, metadata string").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
 
     @classmethod
     def load(cls, path: str) -> Model:
         """Raises if there is no model at the path."""
-        about = SparkSession.active().read.parquet(f"{path}/about").first()
-        return cls(json.loads(about["medians"]), LinearRegressionModel.load(f"{path}/model"), json.loads(about["metadata"]))
+        spark = SparkSession.active()
+        about = spark.read.parquet(f"{path}/about").first()
+        features = sorted(spark.read.parquet(f"{path}/features").collect(), key=lambda r: r["place"])
+        fitted = Ridge([r["coefficient"] for r in features], about["intercept"])
+        return cls({r["feature"]: r["median"] for r in features}, fitted, json.loads(about["metadata"]))
+
+
+def value_counts(rows: DataFrame, columns: list[str], *by: str) -> DataFrame:
+    """by, feature, value, n: how often each feature has each value; nulls are left out."""
+    pairs = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns))
+    each = rows.select(*by, F.inline(pairs)).where("value is not null")
+    return each.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def medians_of(counts: DataFrame) -> DataFrame:
+    """feature, median of (feature, value, n): exact, of an even number the mean of the middle two.
+
+    Values are ordered over range partitions; each partition's sums, and sums of those before it, give every value its ranks,
+    and the values at the middle ranks are picked. No task holds a whole feature.
+    """
+    checkpoint_folder(counts.sparkSession)
+    ranged = counts.repartitionByRange("feature", "value").withColumn("part", F.spark_partition_id()).checkpoint()
+    sums = ranged.groupBy("feature", "part").agg(F.sum("n").alias("own"))
+    of = Window.partitionBy("feature")
+    earlier = of.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("feature", "part", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("start"), F.sum("own").over(of).alias("all"))
+    inside = Window.partitionBy("part", "feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = ranged.join(starts, ["part", "feature"]).withColumn("upto", F.col("start") + F.sum("n").over(inside))
+    holds = lambda rank: (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
+    low, high = F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2)
+    middle = ranks.groupBy("feature").agg(F.max(F.when(holds(low), F.col("value"))).alias("low"), F.max(F.when(holds(high), F.col("value"))).alias("high"))
+    return middle.select("feature", ((F.col("low") + F.col("high")) / 2).alias("median"))
 
 
 def medians(rows: DataFrame, columns: list[str]) -> DataFrame:
     """One row: each feature's exact, interpolated median; 0 for a feature without values."""
-    return rows.agg(*(F.coalesce(F.median(c), F.lit(0.0)).cast("double").alias(c) for c in columns))
+    found = medians_of(value_counts(rows, columns))
+    return found.agg(*(F.coalesce(F.max(F.when(F.col("feature") == c, F.col("median"))), F.lit(0.0)).alias(c) for c in columns))
 
 
 def feature_statistics(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -48,36 +94,130 @@ def feature_statistics(rows: DataFrame, columns: list[str]) -> DataFrame:
     return both.select(F.inline(F.array(*columns)))
 
 
-def _assembled(rows: DataFrame, columns: list[str], middle: dict[str, float]) -> DataFrame:
-    filled = rows.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(middle[c])) for c in columns})
-    return VectorAssembler(inputCols=columns, outputCol="features").transform(filled)
-
-
-def train(rows: DataFrame, columns: list[str], trained_at: str, alpha: float = 1.0, path: str | None = None) -> Model | dict:
-    """Fit (columns, label), save under ``path``; without rows nothing is saved and only empty metadata comes back.
-
-    ``LinearRegression`` scales its penalty by the rows and the label's spread; undone here, ``alpha`` is that of
-    ridge regression on standardised features.
-    """
-    about = rows.agg(F.count("label").alias("n"), F.stddev_pop("label").alias("spread")).first()
-    if about["n"] == 0:
+#: Days whose matrices a task holds at once.
+DAYS = 256
+
+
+def _products(columns: list[str]) -> Callable:
+    """Of batches (day, label, columns...): for each day and row number the sums of that row of the Gram matrix."""
+    size = 2 * len(columns) + 2
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held = {}
+
+        def out():
+            days, grams = list(held), np.concatenate(list(held.values()))
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, grams.size + 1, size), pa.int32()), pa.array(grams.ravel()))
+            result = [pa.array(np.repeat(np.array(days, "datetime64[D]"), size), pa.date32()), pa.array(np.tile(np.arange(size), len(days)), pa.int32()), flat]
+            held.clear()
+            return pa.RecordBatch.from_arrays(result, ["day", "place", "sums"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            day = batch.column(0).to_numpy(zero_copy_only=False).astype("datetime64[D]")
+            label = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns[2:]])
+            none = np.isnan(x)
+            row = np.column_stack([np.where(none, 0.0, x), none, np.ones(len(x)), label])
+            for d in np.unique(day):
+                own = row[day == d]
+                held[d] = held.get(d, 0) + own.T @ own
+            if len(held) > DAYS:
+                yield out()
+        if held:
+            yield out()
+
+    return run
+
+
+def grams(rows: DataFrame, columns: list[str], day: Column | str = "game_date") -> DataFrame:
+    """day, place, sums: a day's Gram matrix by rows, over [values with 0 for null, 1 for null, 1, label]; rows without label
+    are left out. Products are made in the tasks (one matrix product a day and batch) and added by Spark."""
+    given = rows.where("label is not null").select(
+        (F.col(day) if isinstance(day, str) else day).cast("date").alias("day"),
+        F.col("label").cast("double").alias("label"),
+        *(F.col(c).cast("double").alias(c) for c in columns),
+    )
+    return _added(given.mapInArrow(_products(columns), "day date, place int, sums array<double>"), columns, "day", "place")
+
+
+def _added(parts: DataFrame, columns: list[str], *by: str) -> DataFrame:
+    size = 2 * len(columns) + 2
+    return parts.groupBy(*by).agg(F.array(*(F.sum(F.col("sums")[i]) for i in range(size))).alias("sums"))
+
+
+def solve(
+    gram: np.ndarray, middle: np.ndarray, alpha: float = 1.0, fit_intercept: bool = True
+) -> tuple[Ridge, float, int]:
+    """Ridge regression on standardised, median-imputed features from a Gram matrix: model, training RMSE, rows."""
+    p = len(middle)
+    fill = np.zeros((p + 2, 2 * p + 2))
+    fill[:p, :p], fill[:p, p : 2 * p] = np.eye(p), np.diag(middle)
+    fill[p, 2 * p] = fill[p + 1, 2 * p + 1] = 1
+    full = fill @ gram @ fill.T
+    n, y, yy = full[p, p], full[p, p + 1], full[p + 1, p + 1]
+    mean = full[:p, p] / n
+    spread = full[:p, :p] / n - np.outer(mean, mean)
+    scale = np.maximum(np.diag(full)[:p] / n, 1e-300)
+    flat = np.diag(spread) <= 1e-12 * scale
+    std = np.sqrt(np.where(flat, 1, np.diag(spread)))
+    keep = np.where(flat, 0.0, 1.0)
+    z = n * spread / np.outer(std, std) * np.outer(keep, keep)
+    base = y / n if fit_intercept else 0.0
+    towards = (full[:p, p + 1] - mean * y) / std * keep
+    w = np.linalg.solve(z + alpha * np.eye(p), towards)
+    rest = yy - 2 * base * y + n * base**2 - 2 * w @ towards + w @ z @ w
+    return Ridge((w / std).tolist(), float(base - w / std @ mean)), float(np.sqrt(max(rest, 0.0) / n)), round(n)
+
+
+def train_from_sums(
+    counts: DataFrame,
+    products: DataFrame,
+    columns: list[str],
+    trained_at: str,
+    alpha: float = 1.0,
+    path: str | None = None,
+    fit_intercept: bool = True,
+) -> Model | dict:
+    """Fit from value counts (feature, value, n) and Gram matrices (place, sums) of any number of days, and save under
+    ``path``; without rows nothing is saved and only empty metadata comes back. What reaches the driver is one matrix and a
+    median for each feature."""
+    size = 2 * len(columns) + 2
+    found = {r["place"]: r["sums"] for r in _added(products, columns, "place").collect()}
+    if not found or found[size - 2][size - 2] == 0:
         return {"n_samples": 0, "trained_at": None}
-    middle = medians(rows, columns).first().asDict()
-    data = _assembled(rows.where("label is not null"), columns, middle).select("features", F.col("label").cast("double").alias("label"))
-    penalty = alpha / about["n"] * about["spread"]
-    fitted = LinearRegression(solver="normal", standardization=True, elasticNetParam=0.0, regParam=penalty).fit(data)
-    error = fitted.transform(data).agg(F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2))).alias("rmse")).first()["rmse"]
-    model = Model(middle, fitted, {"trained_at": trained_at, "feature_columns": columns, "train_rmse": error, "n_samples": about["n"]})
+    per = counts.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    known = {r["feature"]: r["median"] for r in medians_of(per).collect()}
+    middle = {c: known.get(c, 0.0) for c in columns}
+    gram = np.array([found[i] for i in range(size)])
+    fitted, error, n = solve(gram, np.array([middle[c] for c in columns]), alpha, fit_intercept)
+    about = {"trained_at": trained_at, "feature_columns": columns, "train_rmse": error, "n_samples": n, "alpha": alpha, "fit_intercept": fit_intercept}
+    model = Model(middle, fitted, about)
     if path is not None:
         model.save(path)
     return model
 
 
+def train(
+    rows: DataFrame, columns: list[str], trained_at: str, alpha: float = 1.0, path: str | None = None, fit_intercept: bool = True
+) -> Model | dict:
+    """The same from training rows (columns, label)."""
+    labelled = rows.where("label is not null")
+    products = grams(labelled, columns, F.lit("1970-01-01").cast("date"))
+    return train_from_sums(value_counts(rows, columns), products, columns, trained_at, alpha, path, fit_intercept)
+
+
 def score(model: Model, rows: DataFrame, out: str) -> DataFrame:
     """``rows`` with the model's prediction as ``out``; columns that the model lacks are imputed."""
-    given = rows.withColumns({c: F.lit(None).cast("double") for c in model.columns if c not in rows.columns})
-    result = model.fitted.transform(_assembled(given, model.columns, model.medians))
-    return result.select(*rows.columns, F.col("prediction").alias(out))
+    value = F.lit(model.fitted.intercept)
+    for c, w in zip(model.columns, model.fitted.coefficients, strict=True):
+        value = value + F.lit(w) * F.coalesce(F.col("given")[c], F.lit(model.medians[c]))
+    given = F.struct(*((F.col(c) if c in rows.columns else F.lit(None)).cast("double").alias(c) for c in model.columns))
+    return rows.withColumn("given", given).select(*rows.columns, value.alias(out))
 
 
 def predictions(roster: DataFrame, rolling_on_day: DataFrame, as_of: str, batter: Model, pitcher: Model) -> DataFrame:

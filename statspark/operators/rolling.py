@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from statspark.functions.metrics import reached, rounded, share, weighted_on_bas
 from statspark.operators.transform import with_constants
 from statspark.schemas import HELPERS, ROLLING, ROLLING_SUMS, WINDOWS
 
-#: Innings and innings-weighted FIP are summed as decimals, so that sums do not depend on the order of rows.
-INNINGS, WEIGHTED = "pit_innings_pitched", "pit_fip_times_ip"
+#: Innings in hundredths and innings-weighted FIP in ten thousandths: whole numbers, so that sums of a window are exact
+#: differences of running sums and do not depend on the order of rows.
+INNINGS, WEIGHTED = "pit_innings_hundredths", "pit_fip_times_ip"
 SUMS = [*ROLLING_SUMS, INNINGS, WEIGHTED]
 
 
@@ -20,9 +23,9 @@ def games_of(fact: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def _measures() -> dict[str, Column]:
-    exact = lambda c: F.coalesce(F.col(c).cast("decimal(8,2)"), F.lit(0).cast("decimal(8,2)"))
+    hundredths = lambda c: F.coalesce(F.round(F.col(c) * 100).cast("long"), F.lit(0))
     plain = {c: F.coalesce(F.col(c).cast("long"), F.lit(0)) for c in ROLLING_SUMS}
-    return plain | {INNINGS: exact(INNINGS), WEIGHTED: exact("pit_fip") * exact(INNINGS)}
+    return plain | {INNINGS: hundredths("pit_innings_pitched"), WEIGHTED: hundredths("pit_fip") * hundredths("pit_innings_pitched")}
 
 
 def daily(fact: DataFrame, games: DataFrame) -> DataFrame:
@@ -36,17 +39,29 @@ def active(rows: DataFrame) -> DataFrame:
     return rows.where("bat_games_played + pit_games_played + fld_chances > 0")
 
 
-def sums_all_dates(fact: DataFrame, games: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
-    """Sums for every player, date with a game and window, in one pass: all windows share one shuffle and one sort."""
-    order = Window.partitionBy("player_id").orderBy(F.unix_date("game_date"))
+def windowed(days: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
+    """Sums of all windows for every player and date with a row in ``days`` (see ``daily``).
+
+    Running sums are taken once; a window's sums are the difference between those of its own date and those of the last
+    date before it. Every frame only grows, so a row costs the same however many dates a window holds, and all windows
+    share one shuffle and one sort. A season covers later dates than the one before it, so the latest row has the greatest.
+    """
+    by_date = Window.partitionBy("player_id").orderBy(F.datediff("game_date", F.lit("1970-01-01")))
+    so_far = by_date.rowsBetween(Window.unboundedPreceding, 0)
+    running = days.select("player_id", "game_date", "season", F.struct(*(F.sum(c).over(so_far).alias(c) for c in SUMS)).alias("now"))
+    before = {n: F.last("now").over(by_date.rangeBetween(Window.unboundedPreceding, -n)).alias(f"before_{n}") for n in windows}
+    edges = running.select("player_id", F.col("game_date").alias("as_of_date"), "season", "now", *before.values())
+
+    def sums(n: int) -> Column:
+        apart = [(F.col(f"now.{c}") - F.coalesce(F.col(f"before_{n}.{c}"), F.lit(0))).alias(c) for c in SUMS]
+        return F.struct(F.lit(n).cast("smallint").alias("window_days"), *apart)
 
-    def over(n: int) -> Column:
-        frame = order.rangeBetween(-(n - 1), 0)
-        sums = [F.sum(c).over(frame).alias(c) for c in SUMS]
-        return F.struct(F.lit(n).cast("smallint").alias("window_days"), F.max("season").over(frame).alias("season"), *sums)
+    return active(edges.select("player_id", "as_of_date", "season", F.inline(F.array(*map(sums, windows)))))
 
-    both = daily(fact, games).select("player_id", F.col("game_date").alias("as_of_date"), F.array(*map(over, windows)).alias("w"))
-    return active(both.select("player_id", "as_of_date", F.inline("w")))
+
+def sums_all_dates(fact: DataFrame, games: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
+    """The same from facts."""
+    return windowed(daily(fact, games), windows)
 
 
 def players_on(fact: DataFrame, games: DataFrame, as_of: Column) -> DataFrame:
@@ -75,7 +90,7 @@ def rates(sums: DataFrame, constants: DataFrame) -> DataFrame:
     singles = b("hits") - b("home_runs") - b("doubles") - b("triples")
     weights = weighted_on_base(c, b("base_on_balls"), b("hit_by_pitch"), singles, b("doubles"), b("triples"), b("home_runs"))
     woba = weights / base.cast("double")
-    ip = F.col(INNINGS).cast("double")
+    ip = F.col(INNINGS) / 100.0
     some, bats = base > 0, b("at_bats") > 0
     on_base = (b("base_on_balls") + b("hit_by_pitch") + b("hits")) / base.cast("double")
     value = {
@@ -88,7 +103,7 @@ def rates(sums: DataFrame, constants: DataFrame) -> DataFrame:
         ),
         "pit_innings_pitched": F.when(ip > 0, rounded(ip, 2)),
         "pit_era": F.when(ip > 0, rounded(9.0 * F.col("pit_earned_runs") / ip, 2)),
-        "pit_fip": F.when(ip > 0, rounded(F.col(WEIGHTED).cast("double") / ip, 2)),
+        "pit_fip": F.when(ip > 0, rounded(F.col(WEIGHTED) / 10000.0 / ip, 2)),
         "pit_whip": F.when(ip > 0, rounded((F.col("pit_hits") + F.col("pit_base_on_balls")) / ip, 2)),
     }
     counts = {n: F.nullif(n, F.lit(0)) for n in ROLLING_SUMS if n not in HELPERS}
@@ -99,12 +114,16 @@ def rolling_all_dates(fact: DataFrame, games: DataFrame, constants: DataFrame) -
     return rates(sums_all_dates(fact, games), constants)
 
 
-def rolling_dates(fact: DataFrame, games: DataFrame, constants: DataFrame, dates: DataFrame) -> DataFrame:
-    """Rolling statistics of some dates (as_of_date); only facts that reach one of them are read."""
-    span = dates.agg(F.min("as_of_date").alias("first"), F.max("as_of_date").alias("last")).first()
-    first, last = (F.lit(span[c]).cast("date") for c in ("first", "last"))
-    near = games.where((F.col("game_date") > F.date_sub(first, max(WINDOWS))) & (F.col("game_date") <= last))
-    return rolling_all_dates(fact, near, constants).join(dates, "as_of_date", "left_semi")
+def reaching(dates: list[dt.date]) -> tuple[dt.date, dt.date]:
+    """First and last date whose games count for one of the dates."""
+    return min(dates) - dt.timedelta(days=max(WINDOWS) - 1), max(dates)
+
+
+def rolling_of_days(days: DataFrame, constants: DataFrame, dates: list[dt.date]) -> DataFrame:
+    """Rolling statistics of some dates from daily sums, of which those that reach none of the dates are left out."""
+    first, last = reaching(dates)
+    near = days.where(F.col("game_date").between(F.lit(first), F.lit(last)))
+    return rates(windowed(near).where(F.col("as_of_date").isin(dates)), constants)
 
 
 def rolling_one_date(fact: DataFrame, games: DataFrame, constants: DataFrame, as_of: str) -> DataFrame:

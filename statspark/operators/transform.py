@@ -6,7 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statspark.functions import metrics
-from statspark.schemas import BATTING, CONSTANTS, CONTEXT, COUNTS, EXTRA, FACT, FIELDING, METRICS, PITCHING, SECTIONS, json_key
+from statspark.schemas import (
+    BATTING,
+    CONSTANTS,
+    CONTEXT,
+    COUNTS,
+    EXTRA,
+    FACT,
+    FIELDING,
+    INNINGS_KEY,
+    LANDED_METRICS,
+    METRICS,
+    PITCHING,
+    SECTIONS,
+    json_key,
+)
 
 #: Seasons for which constants can be looked up.
 FIRST_SEASON, LAST_SEASON = 1800, 2200
@@ -34,24 +48,29 @@ def scheduled_games(schedule: DataFrame) -> DataFrame:
     return project_games(schedule).select("game_pk", "home_team_id", "away_team_id")
 
 
-def present(section: Column) -> Column:
-    """Whether a section holds anything: neither null nor {}."""
-    return section.isNotNull() & (F.size(section) > 0)
+def numeric(value: Column) -> Column:
+    """A variant as double if it is a number; null if it is text, true, false, an object or nothing."""
+    kind = F.schema_of_variant(value)
+    return F.when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT)"), F.try_variant_get(value, "$", "double"))
 
 
-def flatten(players: DataFrame) -> DataFrame:
-    """Context and raw counts of player rows (batting, pitching, fielding: maps); absent sections give nulls."""
+def numeric_only(json: Column) -> Column:
+    """The same for a JSON value as text."""
+    return numeric(F.try_parse_json(json))
 
-    def value(column: str, kind: str) -> Column:
-        section = F.col(SECTIONS[column[:3]])
-        return F.when(present(section), F.try_element_at(section, F.lit(json_key(column))).try_cast(kind)).alias(column)
 
-    text = F.try_element_at("pitching", F.lit("inningsPitched"))
-    return players.select(
-        *CONTEXT,
-        *(value(c, "int") for c in COUNTS + EXTRA),
-        F.when(present(F.col("pitching")), F.coalesce(text, F.lit(""))).alias("pit_innings_text"),
-    )
+def flatten(players: DataFrame) -> DataFrame:
+    """Context, raw counts and landed metrics of player rows (batting, pitching, fielding: structs of known keys).
+
+    Absent sections give nulls, and so do those without any known key.
+    """
+    section = lambda column: F.col(SECTIONS[column[:3]])
+    counts = [section(c)[json_key(c)].try_cast("int").alias(c) for c in COUNTS + EXTRA]
+    landed = [numeric(section(c)[key]).alias(c) for c, key in LANDED_METRICS.items()]
+    innings = F.col("pitching")[INNINGS_KEY]
+    known = [F.col("pitching")[json_key(c)] for c in COUNTS + EXTRA if c.startswith("pit")]
+    text = F.when(F.coalesce(innings, *known).isNotNull(), F.coalesce(innings, F.lit("")))
+    return players.select(*CONTEXT, *counts, *landed, text.alias("pit_innings_text"))
 
 
 def nearest_constants(constants: DataFrame) -> DataFrame:
@@ -103,8 +122,7 @@ def enrich(flat: DataFrame, games: DataFrame, constants: DataFrame, true_singles
         "bat_woba": woba,
         "bat_wrc_plus": metrics.wrc_plus(c, woba, b("plate_appearances")),
         "bat_ops": metrics.on_base_plus_slugging(obp, metrics.slugging(counted, *extra, b("at_bats"))),
-        "bat_babip": F.lit(None).cast("double"),
-        "bat_home_run_rate": F.lit(None).cast("double"),
+        **{n: (F.col(n) if n in rows.columns else F.lit(None)).cast("double") for n in LANDED_METRICS},
         "pit_innings_pitched": ip,
         "pit_fip": metrics.fip(c, p("base_on_balls"), p("hit_by_pitch"), p("home_runs"), p("strike_outs"), ip),
         "pit_babip": metrics.pitching_babip(p("hits"), p("home_runs"), p("at_bats"), p("strike_outs"), p("sac_flies")),
@@ -112,9 +130,8 @@ def enrich(flat: DataFrame, games: DataFrame, constants: DataFrame, true_singles
         "fld_fielding_runs": metrics.fielding_runs(F.col("fld_assists"), F.col("fld_errors"), F.col("fld_chances")),
     }
     own = {"bat": "bat_at_bats", "pit": "pit_innings_text", "fld": "fld_chances"}
-    stored = {
-        n: F.when(F.col(own[n[:3]]).isNotNull(), metrics.rounded(x, METRICS[n])) for n, x in value.items()
-    }
+    stored = {n: F.when(F.col(own[n[:3]]).isNotNull(), metrics.rounded(x, METRICS[n])) for n, x in value.items()}
+    stored |= {n: metrics.rounded(value[n], METRICS[n]) for n in LANDED_METRICS}
     return rows.select(*CONTEXT, *((stored[x] if x in stored else F.col(x)).alias(x) for x in BATTING + PITCHING + FIELDING))
 
 
@@ -126,10 +143,3 @@ def load_ready(players: DataFrame, games: DataFrame, constants: DataFrame) -> Da
 def fixed_columns(rows: DataFrame, columns: list[str] = FACT) -> DataFrame:
     """The given columns in order; missing ones are null, others are dropped."""
     return rows.select(*(F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in columns))
-
-
-def numeric_only(json: Column) -> Column:
-    """A JSON value as double if it is a number; null if it is text, true, false, an object or nothing."""
-    value = F.try_parse_json(json)
-    kind = F.schema_of_variant(value)
-    return F.when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT)"), F.try_variant_get(value, "$", "double"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statspark.operators.transform import fixed_columns
 from statspark.schemas import FACT
 from statspark.sources.landed import day
 
@@ -81,7 +82,14 @@ def upsert_games(stored: DataFrame, games: DataFrame, order: str | None = None)
 
 
 def upsert_fact(fact: DataFrame, rows: DataFrame) -> DataFrame:
-    return upsert(fact, rows.select(*FACT), ["game_pk", "player_id"])
+    """The fact table's columns, whatever else ``rows`` have or lack."""
+    more = [c for c in fact.columns if c not in FACT and c in rows.columns]
+    return upsert(fact, fixed_columns(rows, [*FACT, *more]), ["game_pk", "player_id"])
+
+
+def replace_dates(stored: DataFrame, rows: DataFrame, dates: list, column: str) -> DataFrame:
+    """Rows of some dates, which are all there are of them, in place of what was stored; no shuffle."""
+    return stored.where(~F.col(column).isin(dates)).unionByName(rows, allowMissingColumns=True)
 
 
 def upsert_rolling(rolling: DataFrame, rows: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from statspark.schemas import BOXSCORE, CONSTANTS, METADATA, METADATA_DEFAULTS, SCHEDULE
+from statspark.schemas import CONSTANTS, METADATA, METADATA_DEFAULTS, SCHEDULE, boxscore
 
 
 def schedule(spark: SparkSession, path: str) -> DataFrame:
@@ -44,7 +44,9 @@ def landed_readiness(spark: SparkSession, path: str, date: str | None) -> DataFr
         raise ValueError("a date is needed")
     try:
         return readiness(schedule(spark, path), date)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.range(1).select(F.lit(date).alias("date"), F.lit("not_ready").alias("status"))
 
 
@@ -66,10 +68,12 @@ def boxscore_players(raw: DataFrame, games: DataFrame | None = None) -> DataFram
     """Player rows of boxscores (game_pk, json), of the given games only if there are any given.
 
     Sides without players and players without id, team or stats are left out; code and name of a position default to ''.
+    A section is a struct of the keys that the library knows, which one pass of the parser fills; a key that is absent is
+    null, and so are all of an empty section.
     """
     if games is not None:
         raw = raw.join(games.select("game_pk"), "game_pk", "left_semi")
-    box = raw.select("game_pk", F.from_json("json", StructType.fromDDL(BOXSCORE)).alias("box"))
+    box = raw.select("game_pk", F.from_json("json", StructType.fromDDL(boxscore())).alias("box"))
     sides = box.select("game_pk", F.explode("box.teams").alias("side", "team"))
     players = sides.select("game_pk", F.explode("team.players").alias("key", "p"))
     stats = F.col("p.stats")

@@ -1,74 +1,158 @@
-"""Stored tables: plain Parquet, partitioned by what the key decides, of which a load rewrites the touched partitions."""
+"""Stored tables: plain Parquet, partitioned by month or by blocks of numbers.
+
+A load reads and rewrites the partitions that it touches, and these are named in the plan, so that every scan of a stored
+table has partition filters and a day's load reads as many files however long the history is.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: Games with neighbouring numbers stand in one partition.
-GAMES = 1000
-#: Partition of each table's rows. A row's key decides it, so rows of one key never lie in two.
+#: So many neighbouring numbers of games or players stand in one partition.
+BLOCK = 1000
+PART = "part"
+
+
+def month(date: Column) -> Column:
+    """Number of a date's month as yyyymm; 0 without a date."""
+    return F.coalesce(F.year(date) * 100 + F.month(date), F.lit(0))
+
+
+def months(first: dt.date, last: dt.date) -> list[int]:
+    """Numbers of the months from one date's to another's."""
+    span = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
+    return [m // 12 * 100 + m % 12 + 1 for m in span]
+
+
+#: Partition of each table's rows. Facts are offered with the month of their game, which ``game_months`` keeps by game.
 PARTITIONS: dict[str, Callable[[], Column]] = {
     "dim_team": lambda: F.lit(0),
-    "dim_player": lambda: F.pmod(F.xxhash64(F.col("player_id").cast("long")), F.lit(64)),
-    "dim_game": lambda: F.floor(F.col("game_pk") / GAMES),
-    "fact_game_state": lambda: F.floor(F.col("game_pk") / GAMES),
-    "player_rolling_stats": lambda: F.year("as_of_date") * 100 + F.month("as_of_date"),
-    "predictions": lambda: F.floor(F.col("game_pk") / GAMES),
+    "dim_player": lambda: F.floor(F.col("player_id") / BLOCK),
+    "dim_game": lambda: month(F.col("game_date")),
+    "game_months": lambda: F.floor(F.col("game_pk") / BLOCK),
+    "fact_game_state": lambda: F.col(PART),
+    "player_daily": lambda: month(F.col("game_date")),
+    "player_rolling_stats": lambda: month(F.col("as_of_date")),
+    "training_products": lambda: month(F.col("day")),
+    "training_values": lambda: month(F.col("day")),
+    "dim_stat_constants": lambda: F.lit(0),
+    "predictions": lambda: F.floor(F.col("game_pk") / BLOCK),
 }
-PART = "part"
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def _stored(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The stored rows, or None where there is no table yet. Every failure to read one that is there is an error."""
+    folder, files = _folder(spark, f"{root}/{name}")
+    if not files.exists(folder):
+        return None
     try:
         return spark.read.parquet(f"{root}/{name}")
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without any file
+            return None
+        raise
 
 
 def exists(spark: SparkSession, root: str, name: str) -> bool:
     return _stored(spark, root, name) is not None
 
 
-def read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}").drop(PART)
+def read(
+    spark: SparkSession, root: str, name: str, parts: Iterable[int] | None = None, since: int | None = None, keep: bool = False
+) -> DataFrame:
+    """Rows of a table, of some partitions or of those from one on if they are given; ``keep``: with the partition's number."""
+    rows = spark.read.parquet(f"{root}/{name}")
+    if parts is not None:
+        rows = rows.where(F.col(PART).isin(sorted(parts)))
+    if since is not None:
+        rows = rows.where(F.col(PART) >= since)
+    return rows if keep else rows.drop(PART)
+
+
+def parted(name: str, rows: DataFrame) -> DataFrame:
+    return rows.withColumn(PART, PARTITIONS[name]().cast("long"))
 
 
-def write(spark: SparkSession, root: str, name: str, rows: DataFrame) -> DataFrame:
-    """Replace the partitions that ``rows`` touch; the others stay as they are."""
-    parted = rows.withColumn(PART, PARTITIONS[name]().cast("long"))
-    parted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(f"{root}/{name}")
-    return read(spark, root, name)
+def remove(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def write(spark: SparkSession, root: str, name: str, rows: DataFrame, touched: Iterable[int] = ()) -> DataFrame:
+    """Replace the partitions that ``rows`` touch; the others stay, but for ``touched`` ones without rows, which go."""
+    rows, touched, seen = parted(name, rows), sorted(touched), Observation()
+    if touched:
+        rows = rows.observe(seen, *(F.count_if(F.col(PART) == p).alias(str(p)) for p in touched))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(f"{root}/{name}")
+    for p in (p for p in touched if seen.get[str(p)] == 0):
+        remove(spark, f"{root}/{name}/{PART}={p}")
+    stored = _stored(spark, root, name)
+    return (rows.limit(0) if stored is None else stored).drop(PART)
 
 
-def merge(spark: SparkSession, root: str, name: str, rows: DataFrame, how: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Write ``how(stored rows, rows)``. Of the stored rows those of the touched partitions are read, at a first load none.
+def merge(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    rows: DataFrame,
+    how: Callable[[DataFrame, DataFrame], DataFrame],
+    also: Iterable[int] = (),
+) -> DataFrame:
+    """Write ``how(stored rows, rows)``, both with their partition's number.
 
-    The touched partitions are few and named in the plan, so that the scan leaves out the others.
+    Of the stored rows, those of the partitions that ``rows`` touch and of ``also`` are read, at a first load none. The
+    touched partitions are few; ``rows`` are run for their numbers and for the write, so they should be read from a table.
     """
+    rows = parted(name, rows)
+    touched = {r[PART] for r in rows.select(PART).distinct().collect()} | {*also}
     stored = _stored(spark, root, name)
-    if stored is None:
-        old = rows.limit(0)
-    else:
-        touched = [r[PART] for r in rows.select(PARTITIONS[name]().cast("long").alias(PART)).distinct().collect()]
-        old = stored.where(F.col(PART).isin(touched)).drop(PART)
-    return write(spark, root, name, how(old, rows))
+    old = rows.limit(0) if stored is None else stored.where(F.col(PART).isin(sorted(touched))).withColumn(PART, F.col(PART).cast("long"))
+    return write(spark, root, name, how(old, rows), touched)
 
 
 def append(root: str, name: str, rows: DataFrame) -> None:
     rows.write.mode("append").parquet(f"{root}/{name}")
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that writes rows to the shared folder and gives them back as a table, which goes when the block ends."""
+    made: list[str] = []
+
+    def stage(rows: DataFrame) -> DataFrame:
+        made.append(f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}")
+        rows.write.parquet(made[-1])
+        return spark.read.schema(rows.schema).parquet(made[-1])
+
+    try:
+        yield stage
+    finally:
+        for path in made:
+            remove(spark, path)
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only a session without one (a test on one machine) gets a temporary folder.
+    Only a session on one machine may lack the setting; it gets a temporary folder.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None and context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context.getCheckpointDir()

@@ -18,7 +18,10 @@ def affected_dates(games: DataFrame, windows: tuple[int, ...] = WINDOWS) -> Data
     return own.select(F.explode(F.sequence("d", F.date_add("d", max(windows) - 1))).alias("as_of_date")).distinct()
 
 
-def follow(spark: SparkSession, path: str, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    """Run ``handle`` on every batch of schedule games that is there, each file once, and stop."""
-    games = spark.readStream.schema(SCHEDULE).json(path)
+def follow(
+    spark: SparkSession, path: str, checkpoint: str, handle: Callable[[DataFrame, int], None], files: int | None = None
+) -> StreamingQuery:
+    """Run ``handle`` on every batch of schedule games that is there, each file once, and stop; a batch has ``files`` at most."""
+    reader = spark.readStream.schema(SCHEDULE)
+    games = (reader if files is None else reader.option("maxFilesPerTrigger", files)).json(path)
     return games.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(handle).start()

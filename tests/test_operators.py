@@ -204,6 +204,92 @@ def test_model_queries_equal_closed_form(spark, sf_dir):
             assert value is None or abs(value - want[which, r.player_id]) <= step * 0.51
 
 
+def test_gram_matrices_equal_linear_regression(spark):
+    """The closed form against Spark's own solver, with nulls, a constant column and days added up."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 6)) * [1, 10, 100, 1, 0.01, 5] + [0, 5, -50, 0, 3, 7]
+    x[:, 3] = 4.0
+    hole = rng.random(x.shape) < 0.2
+    y = x[:, 0] - 0.1 * x[:, 1] + rng.normal(size=300)
+    names = list("abcdef")
+    data = [(f"2001-01-{1 + i % 9:02}", *(None if h or j == 3 and i % 50 else float(v) for j, (v, h) in enumerate(zip(r, hs))), float(t)) for i, (r, hs, t) in enumerate(zip(x, hole, y))]
+    rows = spark.createDataFrame(data, "date string, " + ", ".join(f"{n} double" for n in names) + ", label double").withColumn("game_date", F.col("date").cast("date")).repartition(5)
+    products, counts = learning.grams(rows, names).cache(), learning.value_counts(rows, names, "game_date").cache()
+    assert products.select("day").distinct().count() == 9 and products.count() == 9 * 14
+    model = learning.train_from_sums(counts, products, names, "t", alpha=2.0)
+    assert model.metadata["n_samples"] == 300
+    middle = rows.agg(*(F.median(n).alias(n) for n in names)).first().asDict()
+    assert model.medians == middle
+    filled = VectorAssembler(inputCols=names, outputCol="features").transform(rows.fillna(middle))
+    spread = rows.agg(F.stddev_pop("label")).first()[0]
+    # Spark scales its penalty by the rows and the label's spread.
+    fitted = LinearRegression(solver="normal", standardization=True, regParam=2.0 / 300 * spread, elasticNetParam=0.0).fit(filled)
+    want = [r.prediction for r in fitted.transform(filled.orderBy("label")).collect()]
+    got = [r.p for r in learning.score(model, rows.orderBy("label"), "p").collect()]
+    assert np.allclose(got, want, atol=1e-6) and np.allclose(got, closed_form(np.array([[np.nan if v is None else v for v in r[1:7]] for r in data]), y, 2.0)[np.argsort(y)], atol=1e-9)
+    some = learning.train_from_sums(counts.where("game_date < '2001-01-04'"), products.where("day < '2001-01-04'"), names, "t")
+    part = learning.train(rows.where("game_date < '2001-01-04'"), names, "t")
+    assert np.allclose(some.fitted.coefficients, part.fitted.coefficients) and some.medians == part.medians
+    assert learning.train_from_sums(counts, products.limit(0), names, "t") == {"n_samples": 0, "trained_at": None}
+    flat = learning.train(rows, names, "t", fit_intercept=False)
+    assert abs(np.mean([r.p for r in learning.score(flat, rows, "p").collect()])) < 1e-9
+
+
+def test_medians_by_ranks(spark):
+    rows = [(1.0, 2.0, None, 5.0), (1.0, 4.0, None, None), (3.0, None, None, None), (7.0, 8.0, None, None), (7.0, 9.0, None, None)] * 7
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(4)
+    assert tuple(learning.medians(df, list("abcd")).first()) == (3.0, 6.0, 0.0, 5.0)
+    assert tuple(learning.medians(df.limit(0), ["a"]).first()) == (0.0,)
+
+
+def test_orphans_by_bitmaps(spark):
+    keys = [1, 2, 32_767, 32_768, 32_769, 65_536, 65_537, 10**12, 0, -1, -32_767, -32_768, -10**9]
+    parents = spark.createDataFrame([(k,) for k in keys if k % 2] + [(None,)], "k long")
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([*keys, *keys, None, 3, -3, 40_000])], "k long, bits int")
+    found = quality.orphans(rows, parents, "k")
+    assert sorted(r.k for r in found.collect()) == sorted([k for k in keys if k % 2 == 0] * 2 + [3, -3, 40_000])
+    assert found.columns == rows.columns and "Exchange hash" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in quality.orphans(rows, parents.limit(0), "k").collect()) == sorted(2 * keys + [3, -3, 40_000])
+
+
+def test_latest_before(spark):
+    day = lambda d: dt.date.fromisoformat(d)
+    targets = spark.createDataFrame([(1, day("2001-05-02"), 0.1), (1, day("2001-05-02"), 0.2), (1, day("2002-04-01"), 0.3), (2, day("2001-05-01"), 0.4), (3, day("2001-05-01"), 0.5), (1, day("2000-01-01"), 0.6)], "player_id int, game_date date, label double")
+    found = spark.createDataFrame([(1, day("2001-05-01"), 1.0), (1, day("2001-05-02"), None), (2, day("2001-05-01"), 3.0), (1, day("2000-09-30"), 4.0)], "player_id int, as_of_date date, x double")
+    got = {(r.player_id, str(r.game_date), r.label): (str(r.as_of_date), r.x) for r in features.latest_before(targets, found).collect()}
+    # The same day does not count; a found row counts with its nulls; a season's gap does not matter.
+    assert got == {(1, "2001-05-02", 0.1): ("2001-05-01", 1.0), (1, "2001-05-02", 0.2): ("2001-05-01", 1.0), (1, "2002-04-01", 0.3): ("2001-05-02", None)}
+
+
+def test_windows_by_differences(spark, sf_dir):
+    """Any windows, against sums of the rows in reach."""
+    fact = transform.enrich(fx.raw_fact(spark, sf_dir), fx.games(spark, sf_dir), fx.constants(spark))
+    days = rolling.daily(fact, fx.games(spark, sf_dir)).where("player_id % 3 = 0").cache()
+    windows = (1, 3, 45, 400)
+    got = {(r.player_id, r.as_of_date, r.window_days): (r.bat_hits, r.pit_hits, r[rolling.INNINGS], r[rolling.WEIGHTED]) for r in rolling.windowed(days, windows).collect()}
+    own = {}
+    for r in days.collect():
+        own.setdefault(r.player_id, []).append(r)
+    want = {}
+    for player, rows_ in own.items():
+        for r in rows_:
+            for n in windows:
+                near = [x for x in rows_ if r.game_date - dt.timedelta(days=n) < x.game_date <= r.game_date]
+                if sum(x.bat_games_played + x.pit_games_played + x.fld_chances for x in near) > 0:
+                    want[player, r.game_date, n] = tuple(sum(x[c] for x in near) for c in ("bat_hits", "pit_hits", rolling.INNINGS, rolling.WEIGHTED))
+    assert len(want) > 3000 and got == want
+
+
+def test_landed_types(spark):
+    box = {"teams": {"home": {"players": {f"ID{i}": {"person": {"id": i}, "parentTeamId": 9, "stats": {"batting": {"hits": i, "babip": v, "home_run_rate": v}}} for i, v in enumerate([0.5, 1, ".300", True, None, {"a": 1}])}}}}
+    raw = spark.createDataFrame([(7, json.dumps(box))], "game_pk long, json string")
+    got = {r.player_id: (r.bat_hits, r.bat_babip, r.bat_home_run_rate) for r in transform.flatten(landed.boxscore_players(raw)).collect()}
+    assert got == {0: (0, 0.5, 0.5), 1: (1, 1.0, 1.0), 2: (2, None, None), 3: (3, None, None), 4: (4, None, None), 5: (5, None, None)}
+
+
 def test_jobs_from_landed_files(spark, sf_dir, tmp_path):
     games = fx.games(spark, sf_dir).where("game_date between date'2001-06-20' and date'2001-07-31'").cache()
     raw = fx.raw_fact(spark, sf_dir).join(games.select("game_pk"), "game_pk", "left_semi")
@@ -226,7 +312,8 @@ def test_jobs_from_landed_files(spark, sf_dir, tmp_path):
         jobs.run_predictions(spark, fx.schedule(games), root, last, "2001-07-31 06:00:00", "t1")
     assert jobs.run_predictions(spark, fx.schedule(games).limit(0), root, last, "2001-07-31 06:00:00", "t1").count() == 0
     tables.write(spark, root, "dim_game", fx.games(spark, sf_dir))
-    tables.write(spark, root, "fact_game_state", transform.enrich(fx.raw_fact(spark, sf_dir), fx.games(spark, sf_dir), constants))
+    everything = transform.enrich(fx.raw_fact(spark, sf_dir), fx.games(spark, sf_dir), constants)
+    tables.write(spark, root, "fact_game_state", jobs.placed(everything, fx.games(spark, sf_dir)))
     last = str(jobs.run_rolling_backfill(spark, root, constants).agg(F.max("as_of_date")).first()[0])
     scored = jobs.run_predictions(spark, fx.schedule(games), root, last, "2001-07-31 06:00:00", "t1")
     assert scored.count() > 0 and spark.read.parquet(f"{root}/load_audit").count() == 5

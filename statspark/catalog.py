@@ -287,7 +287,8 @@ def boxscore_files(spark, sf_dir):
     raw = fx.raw_fact(spark, sf_dir).join(chosen, "game_pk", "left_semi")
     for r in fx.boxscore_json(fx.players(raw)).toLocalIterator():
         _put(spark, f"{root}/{r['game_pk']}.json", r["json"])
-    return transform.load_ready(landed.boxscore_players(landed.boxscores(spark, root)), games, fx.constants(spark))
+    wanted = [r["game_pk"] for r in chosen.collect()]
+    return transform.load_ready(landed.boxscore_players(landed.boxscores(spark, root, [*wanted, -1])), games, fx.constants(spark))
 
 
 def _put(spark: SparkSession, path: str, text: str) -> None:
@@ -847,12 +848,12 @@ def streamed_loads(spark, sf_dir):
     return tables.read(spark, root, "player_rolling_stats")
 
 
-def _all_stored(spark, sf_dir) -> str:
-    """A folder with all facts and games, and everything that a backfill derives from them."""
+def _all_stored(spark, sf_dir, training: bool) -> str:
+    """A folder with all facts and games, and what a backfill derives from them."""
     root, (fact, games, constants) = _folder(spark), stored(spark, sf_dir)
     tables.write(spark, root, "dim_game", games)
     tables.write(spark, root, "fact_game_state", jobs.placed(fact, games))
-    jobs.run_rolling_backfill(spark, root, constants)
+    jobs.run_rolling_backfill(spark, root, constants, training)
     tables.append(root, "load_audit", upsert.audit_row(spark, jobs.STATS, f"{AS_OF} 02:00:00"))
     return root
 
@@ -860,7 +861,7 @@ def _all_stored(spark, sf_dir) -> str:
 @query(f"{_ROLL} select * from rolling")
 def rolling_backfill(spark, sf_dir):
     """The stored rolling table after a backfill."""
-    return tables.read(spark, _all_stored(spark, sf_dir), "player_rolling_stats")
+    return tables.read(spark, _all_stored(spark, sf_dir, training=False), "player_rolling_stats")
 
 
 _LATELY = f"game_date >= date '{AS_OF}' - 730"
@@ -869,7 +870,7 @@ _LATELY = f"game_date >= date '{AS_OF}' - 730"
 @query(_predictions_sql(_ridge_sql("batter", _LATELY) + _ridge_sql("pitcher", _LATELY), f"date '{AS_OF}'"))
 def predictions_stored(spark, sf_dir):
     """What the prediction job stores for the games of one day, trained on the stored sums of the last 730."""
-    root, games = _all_stored(spark, sf_dir), fx.games(spark, sf_dir)
+    root, games = _all_stored(spark, sf_dir, training=True), fx.games(spark, sf_dir)
     today = fx.schedule(games.where(F.col("game_date") == DAY))
     return jobs.run_predictions(spark, today, root, AS_OF, f"{AS_OF} 06:00:00", NOW).drop("created_at")
 

@@ -74,7 +74,9 @@ def load_day(
             raise ValueError("no games are scheduled")
         shaped = quality.Gate(quality.transformed_rules(), "game_pk", least_games)
         games = stage(shaped.on(upsert.last_wins(project_games(raw, "_row"), ["game_pk"], "_row")))
-        files = landed.boxscores(spark, boxscores) if isinstance(boxscores, str) else boxscores
+        files = boxscores
+        if isinstance(boxscores, str):
+            files = landed.boxscores(spark, boxscores, [r["game_pk"] for r in games.select("game_pk").where("game_pk is not null").collect()])
         played = quality.Gate(quality.stats_rules(), "player_id", least_players)
         players = stage(flatten(played.on(landed.boxscore_players(files, games))))
         if gate:
@@ -248,14 +250,15 @@ def run_predictions(spark: SparkSession, schedule: DataFrame, root: str, as_of:
     return stored.join(players, ["game_pk", "player_id"], "left_semi")
 
 
-def run_rolling_backfill(spark: SparkSession, root: str, constants: DataFrame) -> DataFrame:
-    """Daily sums, rolling statistics and training sums of all dates, each in one pass."""
+def run_rolling_backfill(spark: SparkSession, root: str, constants: DataFrame, training: bool = True) -> DataFrame:
+    """Daily sums, rolling statistics and (``training``) training sums of all dates, each in one pass."""
     fact, games = (tables.read(spark, root, t) for t in ("fact_game_state", "dim_game"))
     days = tables.write(spark, root, "player_daily", rolling.daily(fact, games))
     stats = tables.write(spark, root, "player_rolling_stats", rolling.rates(rolling.windowed(days), constants))
-    for name, sums in _training_sums(spark, root).items():
-        tables.write(spark, root, name, sums)
-    tables.remove(spark, f"{root}/{PENDING}")
+    if training:
+        for name, sums in _training_sums(spark, root).items():
+            tables.write(spark, root, name, sums)
+        tables.remove(spark, f"{root}/{PENDING}")
     return stats
 
 

@@ -58,9 +58,21 @@ def require_ready(status: DataFrame) -> bool:
     return state == "ready"
 
 
-def boxscores(spark: SparkSession, path: str) -> DataFrame:
-    """game_pk and json of files <game_pk>.json."""
-    files = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
+def boxscores(spark: SparkSession, path: str, games: list[int] | None = None) -> DataFrame:
+    """game_pk and json of files <game_pk>.json, of the given games alone if there are any given.
+
+    Then only their files are opened; those that have not landed are left out.
+    """
+    none = spark.createDataFrame([], "game_pk long, json string")
+    if games == []:
+        return none
+    names = path if games is None else f"{path}/{{{','.join(map(str, games))}}}.json"
+    try:
+        files = spark.read.text(names, wholetext=True).withColumn("file", F.input_file_name())
+    except AnalysisException as e:
+        if games is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return none
     return files.select(F.regexp_extract("file", r"(\d+)\.json$", 1).cast("long").alias("game_pk"), F.col("value").alias("json"))
 
 

@@ -322,6 +322,14 @@ def test_jobs_from_landed_files(spark, sf_dir, tmp_path):
     assert landed.landed_readiness(spark, str(tmp_path / "nowhere"), days[0]).first()["status"] == "not_ready"
 
 
+def test_only_the_files_of_the_games_are_opened(spark, tmp_path):
+    for i in (7, 77, 8):
+        (tmp_path / f"{i}.json").write_text(f'{{"teams": {i}}}')
+    assert rows(landed.boxscores(spark, str(tmp_path), [7, 8, 9])) == [(7, '{"teams": 7}'), (8, '{"teams": 8}')]
+    assert landed.boxscores(spark, str(tmp_path), [9]).count() == 0 == landed.boxscores(spark, str(tmp_path), []).count()
+    assert landed.boxscores(spark, str(tmp_path)).count() == 3
+
+
 def test_stream_follows_landing(spark, sf_dir, tmp_path):
     seen = []
     path = tmp_path / "in"

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .shared import bounded, in_batches, materialised, named_rows, without_rows, written
+from .shared import bounded, in_batches, materialised, named_rows, shuffles_freed, without_rows, written
 
 WORDS, PERCENT = 5, 80
 #: Least number of a set's parity bits; larger sets have four an element and more.
@@ -328,6 +328,11 @@ def jaccard_components(
     are linked; equal sets are one node. Null or empty texts have no shingles and are their own component, also those
     without an id (component null). Repeated rows share their set. An empty table gives no rows.
     """
+    with shuffles_freed(docs.sparkSession):
+        return _components(docs, key, text, words, percent, tile)
+
+
+def _components(docs: DataFrame, key: str, text: str, words: int, percent: int, tile: int) -> DataFrame:
     plain = docs.select(
         F.coalesce(F.col(key).cast("long"), F.xxhash64(F.col(text))).alias("doc_id"),
         F.col(key).cast("long").alias("own_id"),

@@ -14,14 +14,24 @@ from pyspark.sql import functions as F
 from .shared import free_name, materialised, without_rows, written
 
 WHITE = r"[\x20\x09-\x0D]+"
-#: Chunk sizes in characters, and the place after which a chunk ends once it has the least size.
+#: Chunk sizes in bytes.
 LEAST, MOST = 512, 8192
-CUT = "(?<=[aeiouáäéèêíóöü][lnrst][^aeiou])"
+#: Every fifth byte value. A chunk of the least size ends before the next character of which the last byte is one of
+#: these, and so is one of the two before that: letters, digits and the bytes of any script hold some.
+MARKS = "[" + "".join(f"\\x{b:02x}" for b in range(2, 256, 5)) + "]"
+WHOLE = r"(?![\x80-\xbf])"
+CUT = f"(?<={MARKS}.?{MARKS}){WHOLE}"
 
 
 def chunks_of(text: Column, least: int = LEAST, most: int = MOST) -> Column:
-    """Content-defined chunks of a text, in order; their concatenation is the text."""
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{{least},{most}}}?{CUT}|.{{1,{most}}}"), F.lit(0))
+    """Content-defined chunks of a text, in order; their concatenation is the text.
+
+    They are cut in its UTF-8 bytes, each read as one character, and never inside a character of the text
+    (bytes that are none of UTF-8 are chunks of their own).
+    """
+    octets = F.decode(text.cast("binary"), "ISO-8859-1")
+    cut = F.regexp_extract_all(octets, F.lit(f"(?s).{{{least},{most}}}?{CUT}|.{{1,{most}}}{WHOLE}|."), F.lit(0))
+    return F.transform(cut, lambda c: F.encode(c, "ISO-8859-1").cast("string"))
 
 
 def chunk_id(chunk: Column) -> Column:

@@ -218,6 +218,29 @@ def test_chunks_concatenate_and_ids_are_verified(spark, docs, texts):
     assert strong == exact_dedup.recipes(docs).groupBy("recipe").count().count()
 
 
+def test_chunks_of_any_script_survive_an_insertion(spark):
+    """One character more in front moves no cut beyond the next few, whatever the letters; no chunk splits a character."""
+    rng = random.Random(3)
+    alphabets = {
+        "latin": "abcdefghijklmnopqrstuvwxyz",
+        "upper and digits": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+        "digits": "0123456789",
+        "cyrillic": "".join(map(chr, range(0x430, 0x450))),
+        "greek": "".join(map(chr, range(0x3B1, 0x3CA))),
+        "han": "".join(map(chr, range(0x4E00, 0x9000))),
+        "kana": "".join(map(chr, range(0x3041, 0x3094))),
+        "emoji": "".join(map(chr, range(0x1F600, 0x1F640))),
+        "code": "abcdefgh_(){}[];=+-*/.,0123456789<>\"'",
+    }
+    made = {n: "".join(rng.choices(a, k=60_000)) for n, a in alphabets.items()}
+    rows = [(n, t, k + t) for n, t in made.items() for k in (made[n][7],)]
+    frame_ = spark.createDataFrame(rows, "name string, a string, b string")
+    for r in frame_.select("name", *(exact_dedup.chunks_of(F.col(c)).alias(c) for c in "ab")).collect():
+        assert "".join(r.a) == made[r.name] and "".join(r.b) == made[r.name][7] + made[r.name]
+        assert len(set(r.a) & set(r.b)) >= 0.9 * len(r.a) and len(r.a) >= 50, r.name
+        assert max(len(c.encode()) for c in r.a) <= exact_dedup.MOST
+
+
 def test_secrets(spark, docs, texts):
     keys = r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
     assign = re.compile(keys + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")

@@ -1,6 +1,6 @@
 """Language identification by Bayesian fusion of a text's likelihood with what is said about it.
 
-Byte-trigram counts of all rows with a declared language give each language's likelihood of a text; a uniform model
+Byte-trigram counts of all rows with a declared language but the row's own give each language's likelihood of a text; a uniform model
 stands for anything else ("und"). Declared language, address suffix and host add evidence whose weights are learned
 from grouped counts of what the texts alone say: how often a declaration or a suffix goes with a language, and how
 often a host's rows are in it, smoothed towards the host's domain, and that towards all rows.
@@ -49,21 +49,43 @@ def _counts(languages: tuple[str, ...]):
     return run
 
 
-def likelihoods(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
-    """Log-probability of each trigram bucket in each language and in "und", from all rows (declared, text)."""
+def trigram_counts(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
+    """Raised counts of each trigram bucket in each language and in "und", from all rows (declared, text)."""
     held = rows.where(F.col("declared").isin(list(languages))).select("declared", "text")
     counts = in_batches(held, _counts(languages), "language int, bucket int, n long")
     table = np.full((1 << BITS, len(languages) + 1), 0.5)
     for r in counts.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
         table[r["bucket"], r["language"]] += r["n"]
     table[:, -1] = 1
+    return table
+
+
+def likelihoods(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
+    """Log-probability of each trigram bucket in each language and in "und", from all rows (declared, text)."""
+    table = trigram_counts(rows, languages)
     return np.log(table / table.sum(axis=0)).astype(np.float32)
 
 
-def _scored(table: np.ndarray):
+def _scored(table: np.ndarray, counts: np.ndarray | None, languages: tuple[str, ...]):
+    """Log-likelihoods of texts. With ``counts`` these hold the rows' own texts, and each row's is taken out of the language
+    that it declares, so that a declaration does not speak twice."""
+    number = {x: i for i, x in enumerate(languages)}
+    totals = None if counts is None else counts.sum(axis=0)
+
+    def score(text: str | None, declared: str | None) -> np.ndarray:
+        found = trigrams(text)
+        scores = table[found].sum(axis=0, dtype=np.float64)
+        if counts is not None and declared in number and len(found):
+            k = number[declared]
+            own = np.bincount(found, minlength=len(counts))
+            at = np.flatnonzero(own)
+            scores[k] = own[at] @ np.log((counts[at, k] - own[at]) / (totals[k] - len(found)))
+        return scores
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [table[trigrams(x.as_py())].sum(axis=0, dtype=np.float64) for x in batch.column("text")]
+            declared = batch.column("declared").to_pylist()
+            scores = [score(x.as_py(), d) for x, d in zip(batch.column("text"), declared, strict=True)]
             flat = pa.array(np.concatenate(scores) * TEMPER if scores else np.empty(0))
             ends = pa.array(np.arange(len(scores) + 1, dtype=np.int32) * table.shape[1])
             rest = [n for n in batch.schema.names if n != "text"]
@@ -95,12 +117,14 @@ def identified(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, table: n
 
     A row is accepted when its language is not "und" and its posterior is at least 0.5. A null or empty text leaves
     the decision to the other evidence, and without any it is "und"; missing evidence says nothing. Each row's own
-    count is left out of its host's. Rows may repeat; an empty table gives no rows.
+    count is left out of its host's, and its text out of the counts of the language that it declares (a ``table`` of
+    likelihoods that is given is taken as it is). Rows may repeat; an empty table gives no rows.
     """
     classes = len(languages) + 1
-    table = likelihoods(rows, languages) if table is None else table
+    counts = trigram_counts(rows, languages) if table is None else None
+    table = np.log(counts / counts.sum(axis=0)).astype(np.float32) if table is None else table
     keys = [f"{n} {t}" for n, t in rows.dtypes if n != "text"]
-    scored = in_batches(rows, _scored(table), ", ".join([*keys, "text_ll array<double>"]))
+    scored = in_batches(rows, _scored(table, counts, languages), ", ".join([*keys, "text_ll array<double>"]))
     prior = F.array(*[F.lit(0.0)] * len(languages), F.lit(UNKNOWN))
     # Without text the likelihoods are all zero; such a row must not count as evidence for the first language.
     told = F.array_min("text_ll") < 0
@@ -118,11 +142,11 @@ def identified(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, table: n
     hosts = _tally(scored, ["host"], classes).withColumnRenamed("n", "of_host")
     declared = _tally(scored, ["declared"], classes)
     suffixes = _tally(scored, ["suffix"], classes)
-    counts = F.array(*[F.lit(x) for x in overall])
+    of_classes = F.array(*[F.lit(x) for x in overall])
 
     def evidence(tally: DataFrame, name: str, out: str) -> DataFrame:
         """Log-probability of a value in each class, by counts of it and of the class, each a little raised."""
-        said = F.zip_with(F.col("n"), counts, lambda x, t: F.log((x + 0.5) / (t + 1.0)))
+        said = F.zip_with(F.col("n"), of_classes, lambda x, t: F.log((x + 0.5) / (t + 1.0)))
         return tally.select(name, said.alias(out))
 
     joined = (

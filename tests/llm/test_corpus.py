@@ -345,6 +345,56 @@ def test_licences(spark, docs, texts):
     assert "gpl-3" in result[1002].labels and result[1001].labels == ""
 
 
+def licence_labels(text, idf):
+    """The rule of the docstring, place by place."""
+    words, labels, best = [w.encode() for w in WORD.findall(lower(text))], set(), 0.0
+    for label, phrases, notice in licenses.TEMPLATES:
+        said = [w.encode() for w in WORD.findall(lower(notice))]
+        rare = sorted(set(said), key=lambda w: (-idf[w], w))[: licenses.RARE]
+        weigh = lambda w: idf[w] + licenses.LEAST
+        for at in range(-len(said), len(words)):
+            near = [{words[p] for p in range(at + j, at + j + licenses.SLACK + 1) if 0 <= p < len(words)} for j in range(len(said))]
+            begins = any(0 <= at + j < len(words) and words[at + j] == w and w in rare for j, w in enumerate(said))
+            voters = {w for j, w in enumerate(said) if w in rare and w in near[j]}
+            part = b" " + b" ".join(words[max(0, at) : max(0, at + len(said) + licenses.SLACK)]) + b" "
+            share = sum(weigh(w) for j, w in enumerate(said) if w in near[j]) / sum(map(weigh, said))
+            if begins and 2 * len(voters) >= len(rare) and share >= licenses.SHARE and any(f" {p} ".encode() in part for p in phrases):
+                labels.add(label)
+                best = max(best, min(1.0, share))
+    return labels, best
+
+
+def test_licence_labels_by_brute_force(spark, texts):
+    notices = [n for _, _, n in licenses.TEMPLATES]
+    rng = random.Random(6)
+    made = {}
+    for i in range(90):
+        words = notices[i % len(notices)].split()
+        for _ in range(i // len(notices) * 3):
+            at = rng.randrange(len(words) + 1)
+            words[at : at + rng.randrange(2)] = rng.choices(["very", "the", "software", "other"], k=rng.randrange(3))
+        made[i] = " ".join(rng.choices(["some", "words", "license", "of", "software"], k=rng.randrange(9)) + words + ["end"])
+    made |= {
+        200: "The software is provided 'as is', without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.",
+        201: "Permission is hereby granted, at no charge, to any person obtaining a copy of this software and associated documentation files (the 'Software'), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense",
+        202: "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        203: "a blog on the terms of the GNU general public license",
+        204: "permission is hereby granted to leave the room; licence to kill; a warranty of any kind is void",
+        205: "* Redistributions of source code must retain the above (big) copyright notice, " * 3,
+    }
+    made |= {1000 + i: t[:1500] for i, t in sorted(texts.items())[:20] if t}
+    frame_ = frame(spark, made.items())
+    idf = licenses.idf_of(licenses.document_frequency(frame_))
+    result = {r.doc_id: r for r in licenses.licences(frame_).collect()}
+    for i, t in made.items():
+        labels, best = licence_labels(t, idf)
+        base = set(result[i].base_labels.split(",")) - {""}
+        assert set(result[i].labels.split(",")) - {""} == labels | base, i
+        assert math.isclose(result[i].score, best or float(bool(base)), abs_tol=1e-9), i
+    assert [result[i].labels for i in range(200, 205)] == ["mit", "mit", "bsd", "", ""]
+    assert all(licence_labels(n, idf)[0] >= {x} for x, _, n in licenses.TEMPLATES)
+
+
 def test_base_scores(spark, docs, texts):
     out = {i for i in texts if zlib.crc32(str(i).encode()) % 5 == 1}
     counts = collections.Counter(w for i, t in texts.items() if i not in out for w in [*WHITE.findall(lower(t)), None])
@@ -546,6 +596,57 @@ def test_language_evidence(spark, docs, texts):
     assert not result[102].accepted and result[103].language == "und"
 
 
+def test_posterior_by_brute_force(spark, texts):
+    """Every step of the fusion, row by row in plain numbers."""
+    rng = random.Random(8)
+    some = [t for _, t in sorted(texts.items()) if t][:60]
+    data = [
+        (
+            i,
+            rng.choice([some[i % 60][:400], some[i % 60][:40], "", None, "\x01一" * 50]),
+            rng.choice([*language_id.LANGUAGES, "xx", None]),
+            rng.choice(["a.one.de", "b.one.de", "two.fr", None]),
+        )
+        for i in range(240)
+    ]
+    rows = [(i, d, h, h and ".".join(h.split(".")[-2:]), h and h.split(".")[-1], t) for i, t, d, h in data]
+    frame_ = spark.createDataFrame(rows, "doc_id long, declared string, host string, domain string, suffix string, text string")
+    got = {r.doc_id: r for r in language_id.identified(frame_.repartition(3)).collect()}
+
+    names, classes = language_id.LANGUAGES, len(language_id.LANGUAGES) + 1
+    tri = {i: collections.Counter(language_id.trigrams(t).tolist()) for i, *_, t in rows}
+    of = {x: sum((tri[i] for i, d, *_ in rows if d == x), collections.Counter()) for x in names}
+    size = 1 << language_id.BITS
+    prior = [0.0] * len(names) + [language_id.UNKNOWN]
+    ll = {}
+    for i, d, *_ in rows:
+        ll[i] = []
+        for x in names:
+            counts = of[x] - tri[i] if d == x else of[x]
+            total = sum(counts.values()) + 0.5 * size
+            ll[i].append(language_id.TEMPER * sum(n * math.log((counts[g] + 0.5) / total) for g, n in tri[i].items()))
+        ll[i].append(-language_id.TEMPER * tri[i].total() * math.log(size))
+    best = lambda scores: max(range(classes), key=lambda k: (scores[k], -k))
+    said = {i: best([a + b for a, b in zip(ll[i], prior, strict=True)]) if min(ll[i]) < 0 else None for i in ll}
+    votes = lambda rows_: [sum(said[r[0]] == k for r in rows_) for k in range(classes)]
+    overall = votes(rows)
+    share = [(x + 1) / (sum(overall) + classes) for x in overall]
+    smoothed = lambda n, parent: [(x + language_id.STRENGTH * p) / (sum(n) + language_id.STRENGTH) for x, p in zip(n, parent, strict=True)]
+    for i, d, h, domain, suffix, _ in rows:
+        total = [a + b for a, b in zip(ll[i], prior, strict=True)]
+        parent = smoothed(votes([r for r in rows if r[3] == domain]), share) if domain else share
+        host = smoothed(votes([r for r in rows if r[2] == h and r[0] != i]), parent) if h else parent
+        total = [a + math.log(b) for a, b in zip(total, host, strict=True)]
+        for column, value in ((1, d), (4, suffix)):
+            if value is not None:
+                n = votes([r for r in rows if r[column] == value])
+                total = [a + math.log((x + 0.5) / (t + 1)) for a, x, t in zip(total, n, overall, strict=True)]
+        posterior = 1 / sum(math.exp(x - max(total)) for x in total)
+        language = "und" if said[i] is None and d is None and h is None else [*names, "und"][best(total)]
+        assert got[i].language == language and math.isclose(got[i].posterior, posterior, rel_tol=1e-3), i
+        assert got[i].accepted == (language != "und" and got[i].posterior >= language_id.SURE)
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "https://u@m.Example.DE:80/x", "<HTML lang='DE-at'><script>var x</script><p>Hallo &amp; <b>Welt"), (2, None, None)], "page_id long, url string, html string")
     a, b = sorted(language_id.page_rows(pages).collect(), key=lambda r: r.page_id)

@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,11 @@ FINDINGS, RECALL = 1500, 0.98
 #: Kinds of candidates, each with its own threshold: digits, hexadecimal, upper case and digits, others.
 SHAPES = (re.compile(r"[0-9]+"), re.compile(r"[0-9a-f]+"), re.compile(r"[A-Z0-9]+"))
 #: Made findings of each class that the fit always has, whatever the corpus holds.
-MADE = 1000
+MADE = 4000
+#: Invented words among those of harmless tokens, beyond as many as the corpus' own.
+INVENTED = 300
+#: Views encoded at once.
+AT_ONCE = 2048
 _TOKEN = np.zeros(256, bool)
 _TOKEN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
 _DIGIT = np.zeros(256, bool)
@@ -198,6 +203,10 @@ class Network:
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.scale * self.logits(x) + self.offset)))
 
+    def judged(self, seen: Iterable[str]) -> np.ndarray:
+        """Probabilities of views, a bounded number of them encoded at once."""
+        return np.concatenate([np.empty(0), *(self.probability(encoded(list(some))) for some in batched(seen, AT_ONCE))])
+
     def calibrate(self, x: np.ndarray, y: np.ndarray, shapes: np.ndarray, recall: float, counts: list[int] | None = None) -> None:
         """Fit scale and offset to held-out findings (with ``counts`` views, or one each), then the thresholds."""
         counts = counts or [1] * len(y)
@@ -240,17 +249,27 @@ def variant(token: str, rng: np.random.Generator) -> str:
     letters = [c for c in token if c.isalnum()] or list("".join(rng.choice(list(_DIGITS + _LOWER), 24)))
     size = int(rng.integers(LEAST, SEEN + 1))
     out = [str(alphabet[(ord(letters[i % len(letters)]) * 7 + (i // len(letters)) * int(rng.integers(1, 64))) % len(alphabet)]) for i in range(size)]
-    if rng.random() < 0.3:
-        out[: int(rng.integers(3, 6))] = [*rng.choice(list(_LOWER), int(rng.integers(2, 5))), "_"]
+    if rng.random() < 0.4:
+        # A short name in front, at times a number or a second name too.
+        joint = str(rng.choice(["_", "-"]))
+        names = [_some(_LOWER, int(rng.integers(2, 5)), rng)]
+        if rng.random() < 0.5:
+            names.append(_some(_DIGITS if rng.random() < 0.5 else _LOWER, int(rng.integers(3, 13)), rng))
+        front = "".join(n + joint for n in names)
+        out = [*front, *out[: max(20, SEEN - len(front))]]
     return "".join(out)
 
 
-def harmless(words: list[str], rng: np.random.Generator) -> str:
-    """A token with digits that is none of a secret: words, dates and numbers, joined."""
+def invented(rng: np.random.Generator) -> str:
+    """A word that can be spoken, as names that no corpus holds are."""
+    heads, vowels, tails = ["", *"bcdfghjklmnpqrstvwxz", "st", "tr", "pl", "ch", "sh", "br"], [*"aeiou", "ea", "ou", "io"], ["", "", *"nrslt", "nd", "ng"]
+    return "".join(str(rng.choice(x)) for _ in range(int(rng.integers(1, 4))) for x in (heads, vowels, tails))
+
+
+def _joined(words: list[str], rng: np.random.Generator) -> str:
+    """Words, dates and numbers between the same sign."""
     number = lambda: str(int(rng.integers(0, 10 ** int(rng.integers(1, 6)))))
     date = lambda: f"{rng.integers(1980, 2030)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d}"
-    if rng.random() < 0.25:
-        return "".join(rng.choice(list(_DIGITS), int(rng.integers(LEAST, 24))))
     joint, parts = str(rng.choice(list("-_/="))), []
     while sum(map(len, parts)) + len(parts) < LEAST + int(rng.integers(0, 30)):
         kind = rng.random()
@@ -260,10 +279,68 @@ def harmless(words: list[str], rng: np.random.Generator) -> str:
     return token if any(c.isdigit() for c in token) else f"{token}{joint}{number()}"
 
 
+def _some(alphabet: str, n: int, rng: np.random.Generator) -> str:
+    return "".join(rng.choice(list(alphabet), n))
+
+
+def _number(words: list[str], rng: np.random.Generator) -> str:
+    return _some(_DIGITS, int(rng.integers(LEAST, 24)), rng)
+
+
+def _uuid(words: list[str], rng: np.random.Generator) -> str:
+    """Hexadecimal groups of fixed lengths."""
+    token = "-".join(_some(_DIGITS + "abcdef", n, rng) for n in (8, 4, 4, 4, 12))
+    return token.upper() if rng.random() < 0.3 else token
+
+
+def _stock(words: list[str], rng: np.random.Generator) -> str:
+    """Short groups of capitals and of digits."""
+    joint, parts = str(rng.choice(list("-_/"))), [_some(_UPPER, int(rng.integers(1, 5)), rng) + _some(_DIGITS, int(rng.integers(0, 5)), rng)]
+    while sum(map(len, parts)) + len(parts) < LEAST + int(rng.integers(0, 8)):
+        parts.append(_some(_DIGITS if rng.random() < 0.6 else _UPPER, int(rng.integers(1, 7)), rng))
+    return joint.join([*parts, _some(_DIGITS, 2, rng)])
+
+
+def _camel(words: list[str], rng: np.random.Generator, least: int = LEAST) -> str:
+    """Words in one, each with a capital, a number among them."""
+    parts = [str(rng.choice(words)).lower()]
+    while sum(map(len, parts)) < least + int(rng.integers(0, 12)):
+        parts.append(str(rng.choice(words)).lower().title())
+    at = int(rng.integers(1, len(parts) + 1))
+    parts.insert(at, str(int(rng.integers(0, 10 ** int(rng.integers(1, 4))))))
+    return "".join(parts) if rng.random() < 0.7 else "".join(parts).replace(parts[0], parts[0].title(), 1)
+
+
+def _path(words: list[str], rng: np.random.Generator) -> str:
+    """Folders, some of them words in one."""
+    parts = [""] if rng.random() < 0.3 else []
+    while sum(map(len, parts)) + len(parts) < LEAST + int(rng.integers(0, 30)):
+        parts.append(_camel(words, rng, 6) if rng.random() < 0.3 else str(rng.choice(words)) + (_some(_DIGITS, 1, rng) if rng.random() < 0.3 else ""))
+    token = "/".join(parts)
+    return token if any(c.isdigit() for c in token) else token + _some(_DIGITS, 1, rng)
+
+
+def _version(words: list[str], rng: np.random.Generator) -> str:
+    """A name and the numbers of a release."""
+    name = str(rng.choice(list("-_"))).join(str(w) for w in rng.choice(words, int(rng.integers(2, 4))))
+    token = f"{name}-v{_some(_DIGITS, 1, rng)}-{rng.integers(0, 40)}-{rng.integers(0, 9999)}"
+    return token + str(rng.choice(["", "-rc1", "-beta2", "-SNAPSHOT", "_x86_64", "-amd64"]))
+
+
+#: Kinds of tokens with digits that are none of a secret, each as likely as it is listed.
+HARMLESS = (_joined, _joined, _number, _number, _uuid, _stock, _camel, _camel, _camel, _path, _version)
+
+
+def harmless(words: list[str], rng: np.random.Generator, kinds: tuple = HARMLESS) -> str:
+    """A token with digits that is none of a secret."""
+    return kinds[int(rng.integers(len(kinds)))](words, rng)
+
+
 def made(rows: list[tuple[list[str], bool]], most: int, rng: np.random.Generator) -> tuple[list[str], list[bool]]:
     """Views of variants and harmless tokens in the contexts of rows (views, whether secret), and which are secret."""
     contexts = [(v[:CONTEXT], v[CONTEXT + SEEN :]) for views_, _ in rows for v in views_] or [("\0" * CONTEXT, "\0" * CONTEXT)]
     words = sorted({w for left, right in contexts for w in re.findall(r"[^\W\d_]{3,}", left[1:] + " " + right[:-1])} | {"alpha", "report", "table", "index", "version", "image", "part", "data"})
+    words += [w for w in (invented(rng) for _ in range(len(words) + INVENTED)) if len(w) > 2]
     tokens = [v[CONTEXT : CONTEXT + SEEN].rstrip("\0") for views_, secret in rows if secret for v in views_[:1]] or [""]
     out, secret = [], []
     for i in range(2 * most):
@@ -307,20 +384,16 @@ def train(docs: DataFrame, text: str = "text", findings: int = FINDINGS, recall:
 def _scan(net: Network | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, places, owner = [], [], []
-            for i, text in enumerate(batch.column(1)):
-                t = text.as_py() or ""
-                base.append(base_spans(t))
-                for a, b in candidates(t) if net is not None else ():
-                    places.append((views(t, a, b), a, b, shape(t[a:b])))
-                    owner.append(i)
+            texts = [x.as_py() or "" for x in batch.column(1)]
+            base = [base_spans(t) for t in texts]
+            places = [(i, a, b) for i, t in enumerate(texts) for a, b in candidates(t)] if net is not None else []
             spans = [list(x) for x in base]
-            judged = np.bincount(owner, minlength=len(base)) if owner else np.zeros(len(base), np.int64)
+            judged = np.bincount([i for i, _, _ in places], minlength=len(texts)) if places else np.zeros(len(texts), np.int64)
             if places:
-                p = net.probability(encoded([v for x in places for v in x[0]]))
-                p = greatest(p, [len(x[0]) for x in places])
-                for i, (_, a, b, kind), value in zip(owner, places, p, strict=True):
-                    if value >= net.thresholds[kind] and not any(s <= a and b <= e for s, _, e in base[i]):
+                p = net.judged(v for i, a, b in places for v in views(texts[i], a, b))
+                p = greatest(p, [len(parts(a, b)) for _, a, b in places])
+                for (i, a, b), value in zip(places, p, strict=True):
+                    if value >= net.thresholds[shape(texts[i][a:b])] and not any(s <= a and b <= e for s, _, e in base[i]):
                         spans[i].append((a, 3, b))
             said = lambda x: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(x))
             counts = [pa.array([sum(k == n for _, k, _ in x) for x in spans], pa.int64()) for n in range(4)]

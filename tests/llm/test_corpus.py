@@ -316,6 +316,48 @@ def test_network_finds_secrets_outside_the_rules(spark, docs, texts):
     assert sum(r.n_network for r in whole) <= 0.01 * len(whole)
 
 
+def test_network_on_kinds_that_it_never_saw(spark, docs, texts):
+    """Recall and precision by kind; none of these is made for the fit (names, paths and UUIDs are, of other words)."""
+    net = secrets.train(docs)
+    rng = random.Random(11)
+    some = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    digits, low = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    up, words = low.upper(), ["river", "module", "config", "parser", "handler", "session", "invoice", "buffer"]
+    word = lambda: rng.choice(words)
+    secret = {
+        "web token": lambda: "eyJ" + some(low + up + digits + "-_", 80),
+        "chat token": lambda: "xoxb-" + some(digits, 12) + "-" + some(low + up + digits, 24),
+        "payment key": lambda: "sk_live_" + some(low + up + digits, 24),
+        "capital hex": lambda: some(digits + "ABCDEF", 32),
+        "base64": lambda: some(low + up + digits + "+/", 44) + "==",
+    }
+    harmless = {
+        "book number": lambda: f"978-{some(digits, 1)}-{some(digits, 4)}-{some(digits, 4)}-{some(digits, 1)}",
+        "time": lambda: f"2021-0{rng.randint(1, 9)}-1{some(digits, 1)}T1{some(digits, 1)}-2{some(digits, 1)}-00Z",
+        "telephone": lambda: f"+49-{some(digits, 3)}-{some(digits, 7)}-{some(digits, 2)}",
+        "constant": lambda: f"{word()}_{word()}_{word()}_{some(digits, 2)}".upper(),
+        "source path": lambda: f"src/main/java/org/{word()}{some(digits, 1)}/{word()}{some(digits, 2)}/util",
+        "package": lambda: f"{word()}-{word()}-1-{some(digits, 2)}-{some(digits, 1)}-amd64",
+        "UUID": lambda: "-".join(some(digits + "abcdef", n) for n in (8, 4, 4, 4, 12)),
+        "stock number": lambda: f"{some(up, 3)}{some(digits, 2)}-{some(digits, 5)}-{some(up, 2)}{some(digits, 3)}",
+    }
+    long = [t for _, t in sorted(texts.items()) if t and len(t) > 300]
+    share = {}
+    for kind, make in (secret | harmless).items():
+        hits = 0
+        for _ in range(60):
+            text, token = rng.choice(long), make()
+            at = text.index(" ", 100) + 1
+            text = f"{text[:at]}{token} {text[at:]}"
+            inside = [(a, b) for a, b in secrets.candidates(text) if a < at + len(token) and at < b]
+            hits += any(net.judged(secrets.views(text, a, b)).max() >= net.thresholds[secrets.shape(text[a:b])] for a, b in inside)
+        share[kind] = hits / 60
+    assert min(share[k] for k in secret) >= 0.85, share
+    assert max(share[k] for k in harmless) <= 0.2, share
+    caught, wrong = sum(share[k] for k in secret) / len(secret), sum(share[k] for k in harmless) / len(harmless)
+    assert caught >= 0.9 and caught / (caught + wrong) >= 0.9, share
+
+
 def test_network_without_labelled_findings(spark):
     net = secrets.train(frame(spark, [(1, None), (2, "nothing here")]))
     rows = {r.doc_id: r for r in secrets.secrets(frame(spark, [(1, "see a3F9kQ2mZx7Lp0Vd8RtYw5Hs here"), (2, "see some-plain-words-2020 here")]), net=net).collect()}

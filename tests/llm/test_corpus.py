@@ -316,8 +316,8 @@ def test_network_finds_secrets_outside_the_rules(spark, docs, texts):
     assert sum(r.n_network for r in whole) <= 0.01 * len(whole)
 
 
-def test_network_on_kinds_that_it_never_saw(spark, docs, texts):
-    """Recall and precision by kind; none of these is made for the fit (names, paths and UUIDs are, of other words)."""
+def test_network_by_kind(spark, docs, texts):
+    """Recall and precision by kind. UUIDs, paths, stock numbers, packages and prefixed tokens are made for the fit too, in other forms."""
     net = secrets.train(docs)
     rng = random.Random(11)
     some = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))

@@ -16,8 +16,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: So many neighbouring numbers of games or players stand in one partition.
-BLOCK = 1000
+#: So many neighbouring numbers of games or players stand in one partition. Its rows are few bytes each, and the games of a
+#: day may lie anywhere: small blocks would give a day as many partitions as it has games.
+BLOCK = 1_000_000
 PART = "part"
 
 
@@ -95,9 +96,9 @@ def write(spark: SparkSession, root: str, name: str, rows: DataFrame, touched: I
     """Replace the partitions that ``rows`` touch; the others stay, but for ``touched`` ones without rows, which go."""
     rows, touched, seen = parted(name, rows), sorted(touched), Observation()
     if touched:
-        rows = rows.observe(seen, *(F.count_if(F.col(PART) == p).alias(str(p)) for p in touched))
+        rows = rows.observe(seen, F.collect_set(PART).alias("parts"))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(f"{root}/{name}")
-    for p in (p for p in touched if seen.get[str(p)] == 0):
+    for p in sorted({*touched} - {*seen.get["parts"]}) if touched else ():
         remove(spark, f"{root}/{name}/{PART}={p}")
     stored = _stored(spark, root, name)
     return (rows.limit(0) if stored is None else stored).drop(PART)

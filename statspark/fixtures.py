@@ -87,9 +87,14 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(GAME)
 
 
+_LINES = "lineitem join supplier on l_suppkey = s_suppkey"
+
+
 def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow lines are shuffled by their game, so that sums by game and player, and what else goes by game, need no other shuffle."""
     views(spark, sf_dir)
-    return spark.sql(FACT_RAW)
+    lines = "l_orderkey, l_suppkey, s_nationkey, l_quantity, l_linenumber, l_partkey, l_returnflag"
+    return spark.sql(FACT_RAW.replace(_LINES, f"(select /*+ repartition(l_orderkey) */ {lines} from {_LINES})"))
 
 
 def constants(spark: SparkSession) -> DataFrame:
@@ -120,19 +125,23 @@ def players(raw: DataFrame) -> DataFrame:
 
 
 def boxscore_json(rows: DataFrame) -> DataFrame:
-    """game_pk, json: player rows as boxscore documents of two sides (odd and even teams)."""
+    """game_pk, json: player rows as boxscore documents of two sides (odd and even teams).
+
+    Players become texts one by one, so that what is gathered by game are texts and not maps of their values.
+    """
     player = F.struct(
         F.struct(F.col("player_id").alias("id")).alias("person"),
         F.col("team_id").alias("parentTeamId"),
         F.struct(F.col("position_code").alias("code"), F.col("position_name").alias("name")).alias("position"),
         F.struct("batting", "pitching", "fielding").alias("stats"),
     )
-    entry = F.struct(F.concat(F.lit("ID"), F.col("player_id").cast("string")).alias("key"), player.alias("value"))
-    side = F.when(F.col("team_id") % 2 == 0, "home").otherwise("away").alias("side")
-    sides = rows.groupBy("game_pk", side).agg(F.map_from_entries(F.collect_list(entry)).alias("players"))
-    team = F.struct(F.col("side").alias("key"), F.struct("players").alias("value"))
-    both = sides.groupBy("game_pk").agg(F.map_from_entries(F.collect_list(team)).alias("teams"))
-    return both.select("game_pk", F.to_json(F.struct("teams")).alias("json"))
+    text = F.concat(F.lit('"ID'), F.col("player_id").cast("string"), F.lit('":'), F.to_json(player))
+    entries = rows.select("game_pk", F.coalesce(F.col("team_id") % 2 == 0, F.lit(False)).alias("home"), text.alias("text"))
+    sides = entries.groupBy("game_pk").agg(
+        F.collect_list(F.when(F.col("home"), F.col("text"))).alias("home"), F.collect_list(F.when(~F.col("home"), F.col("text"))).alias("away")
+    )
+    team = lambda c: F.when(F.size(c) > 0, F.concat(F.lit(f'"{c}":{{"players":{{'), F.array_join(c, ","), F.lit("}}")))
+    return sides.select("game_pk", F.concat(F.lit('{"teams":{'), F.concat_ws(",", team("away"), team("home")), F.lit("}}")).alias("json"))
 
 
 def schedule(games_: DataFrame) -> DataFrame:

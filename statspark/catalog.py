@@ -73,6 +73,10 @@ def rolling_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling.rolling_all_dates(*stored(spark, sf_dir))
 
 
+def wide_of(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    return rolling.wide_all_dates(*stored(spark, sf_dir), columns)
+
+
 # ---- SQL building blocks -------------------------------------------------------------------------------------------
 
 
@@ -284,13 +288,18 @@ def boxscore_files(spark, sf_dir):
     """Facts of one day from files <game_pk>.json."""
     root, games = _folder(spark), fx.games(spark, sf_dir)
     chosen = games.where(F.col("game_date") == DAY).select("game_pk")
-    raw = fx.raw_fact(spark, sf_dir).join(chosen, "game_pk", "left_semi")
+    raw = _of_days(spark, sf_dir, chosen)
     for r in fx.boxscore_json(fx.players(raw)).toLocalIterator():
         _put(spark, f"{root}/{r['game_pk']}.json", r["json"])
     wanted = [r["game_pk"] for r in chosen.collect()]
     return transform.load_ready(landed.boxscore_players(landed.boxscores(spark, root, [*wanted, -1])), games, fx.constants(spark))
 
 
+def _of_days(spark: SparkSession, sf_dir: str, chosen: DataFrame) -> DataFrame:
+    """Raw facts of the games of one day or two. Their numbers are few, so they are broadcast and meet the lines at the scan."""
+    return fx.raw_fact(spark, sf_dir).join(F.broadcast(chosen.select("game_pk")), "game_pk", "left_semi")
+
+
 def _put(spark: SparkSession, path: str, text: str) -> None:
     """A file as it lands: by Hadoop's file systems, so that the folder may be anywhere."""
     file = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -398,32 +407,32 @@ def distinct_players(spark, sf_dir):
 
 @query(f"{_ROLL} {_wide_sql(BATTER)}")
 def pivot_features_batter(spark, sf_dir):
-    return features.wide(rolling_of(spark, sf_dir), BATTER)
+    return wide_of(spark, sf_dir, BATTER)
 
 
 @query(f"{_ROLL} {_wide_sql(PITCHER)}")
 def pivot_features_pitcher(spark, sf_dir):
-    return features.wide(rolling_of(spark, sf_dir), PITCHER)
+    return wide_of(spark, sf_dir, PITCHER)
 
 
 @query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}) select * from wide where as_of_date = date '{AS_OF}'")
 def batter_features_date(spark, sf_dir):
-    return features.batter_features(rolling_of(spark, sf_dir), AS_OF)
+    return features.batter_features(wide_of(spark, sf_dir, BATTER), AS_OF)
 
 
 @query(f"{_ROLL}, wide as ({_wide_sql(PITCHER)}) select * from wide where as_of_date between date '2001-01-01' and date '{AS_OF}'")
 def pitcher_features_range(spark, sf_dir):
-    return features.pitcher_features(rolling_of(spark, sf_dir), "2001-01-01", AS_OF)
+    return features.pitcher_features(wide_of(spark, sf_dir, PITCHER), "2001-01-01", AS_OF)
 
 
 @query(f"{_ROLL}, wide as ({_wide_sql(PITCHER)}) select * from wide where as_of_date = date '{AS_OF}'")
 def pitcher_features_date(spark, sf_dir):
-    return features.pitcher_features(rolling_of(spark, sf_dir), AS_OF)
+    return features.pitcher_features(wide_of(spark, sf_dir, PITCHER), AS_OF)
 
 
 @query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}) select * from wide where as_of_date between date '2001-01-01' and date '{AS_OF}'")
 def batter_features_range(spark, sf_dir):
-    return features.batter_features(rolling_of(spark, sf_dir), "2001-01-01", AS_OF)
+    return features.batter_features(wide_of(spark, sf_dir, BATTER), "2001-01-01", AS_OF)
 
 
 _MODEL = ["bat_hits_30", "absent", "bat_hits_7"]
@@ -432,19 +441,19 @@ _MODEL = ["bat_hits_30", "absent", "bat_hits_7"]
 @query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}) select player_id, as_of_date, cast(bat_hits_30 as double) as bat_hits_30, cast(null as double) as absent, cast(bat_hits_7 as double) as bat_hits_7 from wide")
 def model_columns(spark, sf_dir):
     """Features in a model's order: absent ones are null, others go."""
-    return features.model_columns(features.wide(rolling_of(spark, sf_dir), BATTER), _MODEL)
+    return features.model_columns(wide_of(spark, sf_dir, BATTER), _MODEL)
 
 
 @query(_training_sql("bat_woba", "bat_plate_appearances", BATTER))
 def training_batter(spark, sf_dir):
     fact, games, constants = stored(spark, sf_dir)
-    return features.batter_training(fact, games, rolling.rolling_all_dates(fact, games, constants), FIRST, LAST)
+    return features.batter_training(fact, games, rolling.wide_all_dates(fact, games, constants, BATTER, followed=True), FIRST, LAST)
 
 
 @query(_training_sql("pit_fip", "pit_innings_pitched", PITCHER))
 def training_pitcher(spark, sf_dir):
     fact, games, constants = stored(spark, sf_dir)
-    return features.pitcher_training(fact, games, rolling.rolling_all_dates(fact, games, constants), FIRST, LAST)
+    return features.pitcher_training(fact, games, rolling.wide_all_dates(fact, games, constants, PITCHER, followed=True), FIRST, LAST)
 
 
 @query(
@@ -455,7 +464,7 @@ def training_pitcher(spark, sf_dir):
 def training_batter_asof(spark, sf_dir):
     """Each game with the batter's features of the latest date before it."""
     fact, games, constants = stored(spark, sf_dir)
-    rows = features.batter_training(fact, games, rolling.rolling_all_dates(fact, games, constants), FIRST, LAST, latest=True)
+    rows = features.batter_training(fact, games, rolling.wide_all_dates(fact, games, constants, BATTER), FIRST, LAST, latest=True)
     return rows.select("player_id", "game_date", "label", "as_of_date", *feature_names(BATTER))
 
 
@@ -476,7 +485,7 @@ def roster_for_schedule(spark, sf_dir):
 
 @query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}) select {', '.join(f'cast(coalesce(median({c}), 0) as double) as {c}' for c in feature_names(BATTER))} from wide")
 def feature_medians(spark, sf_dir):
-    return learning.medians(features.wide(rolling_of(spark, sf_dir), BATTER), feature_names(BATTER))
+    return learning.medians(wide_of(spark, sf_dir, BATTER), feature_names(BATTER))
 
 
 _MIDDLE = f"mid as (select {', '.join(f'cast(coalesce(median({c}), 0) as double) as m_{c}' for c in feature_names(BATTER))} from wide)"
@@ -489,7 +498,7 @@ _EACH = " union all ".join(
 @query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}), {_MIDDLE}, each as ({_EACH}) select feature, median, round(mean, 6) as mean, round(std, 6) as std from each")
 def feature_statistics(spark, sf_dir):
     """Median, mean and spread of every feature after imputation."""
-    rows = learning.feature_statistics(features.wide(rolling_of(spark, sf_dir), BATTER), feature_names(BATTER))
+    rows = learning.feature_statistics(wide_of(spark, sf_dir, BATTER), feature_names(BATTER))
     return rows.select("feature", "median", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
@@ -536,8 +545,9 @@ def _predictions_sql(models: str, day: str) -> str:
 def _model(spark, sf_dir, which: str, last: str = LAST) -> learning.Model | dict:
     fact, games, constants = stored(spark, sf_dir)
     build, columns = jobs.MODELS[which]
-    rows = build(fact, games, rolling.rolling_all_dates(fact, games, constants), FIRST, last).cache()
-    return learning.train(rows, feature_names(columns), NOW)
+    with tables.staging(spark) as stage:
+        rows = stage(build(fact, games, rolling.wide_all_dates(fact, games, constants, columns, followed=True), FIRST, last))
+        return learning.train(rows, feature_names(columns), NOW)
 
 
 @query(
@@ -796,7 +806,7 @@ def _loaded(spark, sf_dir, *days: str) -> str:
     # Every game is listed twice; the first listing has another venue.
     listed = fx.schedule(chosen.withColumn("venue_id", F.col("venue_id") + 500)).unionByName(fx.schedule(chosen))
     listed.coalesce(1).write.json(f"{root}/schedule")
-    raw = fx.raw_fact(spark, sf_dir).join(chosen.select("game_pk"), "game_pk", "left_semi")
+    raw = _of_days(spark, sf_dir, chosen)
     boxes = f"{root}/boxes"
     fx.boxscore_json(fx.players(raw)).write.parquet(boxes)
     for day in days:
@@ -839,7 +849,7 @@ def daily_sums_after_late_load(spark, sf_dir):
 def streamed_loads(spark, sf_dir):
     """The rolling table after two schedule files, the later day first, were loaded by the stream."""
     root, games = _folder(spark), fx.games(spark, sf_dir)
-    raw = fx.raw_fact(spark, sf_dir).join(games.where(F.col("game_date").isin([*_TWO])).select("game_pk"), "game_pk", "left_semi")
+    raw = _of_days(spark, sf_dir, games.where(F.col("game_date").isin([*_TWO])))
     fx.boxscore_json(fx.players(raw)).write.parquet(f"{root}/boxes")
     for day in _TWO[::-1]:
         fx.schedule(games.where(F.col("game_date") == day)).coalesce(1).write.json(f"{root}/landed/{day}")

@@ -6,11 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statspark.operators.rolling import games_of
-from statspark.schemas import BATTER, PITCHER, WINDOWS
+from statspark.schemas import BATTER, PITCHER, WINDOWS, feature_names
 
 
 def wide(rolling: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per player and date with <column>_<window>; one shuffle, a window without a row gives nulls."""
+    """One row per player and date with <column>_<window>; one shuffle, a window without a row gives nulls.
+
+    Rows that are wide already (``rolling.wide_all_dates``) stay as they are.
+    """
+    if "window_days" not in rolling.columns:
+        return rolling.select("player_id", "as_of_date", *feature_names(columns))
     value = [F.max(F.when(F.col("window_days") == n, F.col(c))).alias(f"{c}_{n}") for n in WINDOWS for c in columns]
     known = rolling.where(F.col("window_days").isin(list(WINDOWS)))
     return known.groupBy("player_id", "as_of_date").agg(*value)

@@ -342,3 +342,58 @@ def test_stream_follows_landing(spark, sf_dir, tmp_path):
             (path / "b.json").write_text(text)
         landing.follow(spark, str(path), str(tmp_path / "check"), handle).awaitTermination()
     assert [tuple(map(str, r)) for r in seen] == [("2024-03-01", "2024-03-30", "30"), ("2024-02-01", "2024-03-01", "30")]
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("Exchange ")[1] for line in plan.splitlines() if " Exchange hashpartitioning" in line]
+
+
+@pytest.fixture
+def without_broadcasts(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_wide_rows_are_shuffled_by_player_alone(spark, sf_dir, without_broadcasts):
+    """Facts are not shuffled by game once they are wide, and the days of a player not once more for the windows."""
+    raw, games, constants = fx.raw_fact(spark, sf_dir), fx.games(spark, sf_dir), fx.constants(spark)
+    fact = transform.enrich(raw, games, constants)
+    assert not any("game_pk" in x and "REPARTITION" not in x and "l_" in x for x in shuffles(raw))
+    every = shuffles(rolling.rolling_all_dates(fact, games, constants))
+    assert sum("(player_id#" in x for x in every) == 1
+    box = shuffles(fx.boxscore_json(fx.players(raw)))
+    assert len(box) == len(shuffles(raw)) == 3  # lines and players by player, narrow lines by game
+
+
+def test_wide_all_dates_makes_what_wide_does(spark, sf_dir):
+    raw, games, constants = fx.raw_fact(spark, sf_dir), fx.games(spark, sf_dir), fx.constants(spark)
+    fact = transform.enrich(raw, games, constants)
+    for columns in (BATTER, PITCHER):
+        want = features.wide(rolling.rolling_all_dates(fact, games, constants), columns)
+        got = rolling.wide_all_dates(fact, games, constants, columns)
+        assert got.dtypes == want.dtypes
+        want, got = ({(r[0], r[1]): r for r in df.collect()} for df in (want, got))
+        assert got == want and got
+        next_day = {k for k in want if (k[0], k[1] + dt.timedelta(days=1)) in {(r.player_id, r.game_date) for r in rolling.daily(fact, games).select("player_id", "game_date").collect()}}
+        followed = rolling.wide_all_dates(fact, games, constants, columns, followed=True).collect()
+        assert {(r[0], r[1]): r for r in followed} == {k: want[k] for k in next_day}
+
+
+def test_values_are_counted_in_the_tasks(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (1, 1.0, -0.0), (2, 1.0, 0.0), (None, 2.0, None), (None, 2.0, 3.0)], "day int, a double, b double")
+    counts = learning.value_counts(df, ["a", "b"], "day")
+    want = [(None, "a", 2.0, 2), (None, "b", 3.0, 1), (1, "a", 1.0, 2), (1, "b", 0.0, 1), (2, "a", 1.0, 1), (2, "b", 0.0, 1)]
+    assert sorted(map(tuple, counts.collect()), key=str) == sorted(want, key=str)
+    assert sorted(map(tuple, learning.value_counts(df, ["a", "b"]).collect())) == [("a", 1.0, 3), ("a", 2.0, 2), ("b", 0.0, 2), ("b", 3.0, 1)]
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
+    got = {r.feature: (r.median, round(r["mean"], 6), round(r["std"], 6)) for r in learning.feature_statistics(df, ["a", "b"]).collect()}
+    assert got == {"a": (1.0, 1.4, 0.489898), "b": (0.0, 0.6, 1.2)}
+
+
+def test_games_of_a_day_far_apart_share_a_partition(spark, tmp_path):
+    games = spark.range(300).select((F.col("id") * 2000).alias("game_pk"), F.lit(200106).alias("month"))
+    tables.write(spark, str(tmp_path), "game_months", games)
+    assert len(list((tmp_path / "game_months").glob("part=*"))) == 1

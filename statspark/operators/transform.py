@@ -132,6 +132,7 @@ def enrich(flat: DataFrame, games: DataFrame, constants: DataFrame, true_singles
     own = {"bat": "bat_at_bats", "pit": "pit_innings_text", "fld": "fld_chances"}
     stored = {n: F.when(F.col(own[n[:3]]).isNotNull(), metrics.rounded(x, METRICS[n])) for n, x in value.items()}
     stored |= {n: metrics.rounded(value[n], METRICS[n]) for n in LANDED_METRICS}
+    rows = rows.withColumn("team_id", metrics.apart(F.col("team_id")))
     return rows.select(*CONTEXT, *((stored[x] if x in stored else F.col(x)).alias(x) for x in BATTING + PITCHING + FIELDING))
 
 

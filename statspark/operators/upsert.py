@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statspark.operators.transform import fixed_columns
@@ -26,25 +26,25 @@ def upsert(
 ) -> DataFrame:
     """Rows of ``updates`` replace those of equal keys, nulls included; columns in ``keep_old`` keep an old row's value.
 
-    Both sides meet in one aggregation by key, so each is read and shuffled once. Of updates with equal keys the last in
-    ``order`` counts; without an order they are an error. Keys are not null and occur once in ``existing``.
+    Both sides meet in one window by key, so each is read and shuffled once, and rows pass through it as they are. Of updates
+    with equal keys the last in ``order`` counts; without an order they are an error. Keys are not null and occur once in
+    ``existing``.
     """
     given = [c for c in updates.columns if c != order]
     columns = [*existing.columns, *(c for c in given if c not in existing.columns)]
     place = F.lit(None).cast("long") if order is None else F.col(order)
     new = updates.select(*given, F.lit(True).alias("_new"), place.alias("_order"))
     both = existing.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
-    row = F.struct(*(c for c in columns if c not in keys))
-    best = both.groupBy(*keys).agg(
-        F.max_by(row, F.struct("_new", F.coalesce("_order", F.lit(0)) if order is None else "_order")).alias("row"),
-        F.max_by(row, ~F.col("_new")).alias("old"),
-        F.count_if("_new").alias("n_new"),
-        F.count_if(~F.col("_new")).alias("n_old"),
-    )
+    best_first = Window.partitionBy(*keys).orderBy(F.desc("_new"), F.desc_nulls_last("_order"))
+    found = {"_place": F.row_number().over(best_first), "_next": F.lead("_new").over(best_first)}
+    if keep_old:
+        whole = best_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        found["_old"] = F.first(F.when(~F.col("_new"), F.struct(*keep_old)), ignorenulls=True).over(whole)
+    best = both.withColumns(found).where(F.col("_place") == 1)
     if order is None:
-        twice = F.raise_error(F.lit("keys occur twice and no order is given")).cast(both.select(row.alias("r")).schema["r"].dataType)
-        best = best.withColumn("row", F.when(F.col("n_new") < 2, F.col("row")).otherwise(twice))
-    value = {c: F.when(F.col("n_old") > 0, F.col(f"old.{c}")).otherwise(F.col(f"row.{c}")) if c in keep_old else F.col(f"row.{c}") for c in columns if c not in keys}
+        twice = F.raise_error(F.lit("keys occur twice and no order is given")).cast("boolean")
+        best = best.where(F.when(F.col("_new") & F.coalesce("_next", F.lit(False)), twice).otherwise(True))
+    value = {c: F.when(F.col("_old").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(c)) for c in keep_old}
     return best.select(*(value.get(c, F.col(c)).alias(c) for c in columns))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import numpy as np
 import pytest
@@ -397,3 +398,27 @@ def test_games_of_a_day_far_apart_share_a_partition(spark, tmp_path):
     games = spark.range(300).select((F.col("id") * 2000).alias("game_pk"), F.lit(200106).alias("month"))
     tables.write(spark, str(tmp_path), "game_months", games)
     assert len(list((tmp_path / "game_months").glob("part=*"))) == 1
+
+
+@pytest.mark.parametrize("name", ["upsert_fact", "rolling_all_dates"])
+def test_generated_methods_stay_within_what_the_jit_compiles(spark, name):
+    """HotSpot leaves methods of more than 8,000 bytes to the interpreter; Spark tells the longest one of each stage."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        text = plan.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_upsert_keeps_an_old_null_and_refuses_equal_keys(spark):
+    old = spark.createDataFrame([(1, "a", None), (2, "b", "x")], "k long, v string, at string")
+    new = spark.createDataFrame([(1, "c", "new"), (3, None, "new")], "k long, v string, at string")
+    got = upsert.upsert(old, new, ["k"], keep_old=("at",))
+    assert sorted(map(tuple, got.collect())) == [(1, "c", None), (2, "b", "x"), (3, None, "new")]
+    with pytest.raises(Exception, match="keys occur twice"):
+        upsert.upsert(old, new.union(new), ["k"]).collect()
+    ordered = new.withColumn("o", F.lit(None).cast("long")).union(new.selectExpr("k", "'last'", "at", "7L"))
+    assert {r.k: r.v for r in upsert.upsert(old, ordered, ["k"], "o").collect()} == {1: "last", 2: "b", 3: "last"}

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statspark.functions.metrics import reached, rounded, share, weighted_on_base
+from statspark.functions.metrics import apart, reached, rounded, share, weighted_on_base
 from statspark.operators.transform import with_constants
 from statspark.schemas import HELPERS, ROLLING, ROLLING_SUMS, WINDOWS
 
@@ -63,8 +63,8 @@ def _edges(days: DataFrame, windows: tuple[int, ...], followed: bool = False) ->
     edges = running.select("player_id", F.col("game_date").alias("as_of_date"), "season", *SUMS, *(x.alias(c) for c, x in before.items()), *after)
     if followed:
         edges = edges.where(F.col("_after") == F.date_add("as_of_date", 1))
-    apart = [(F.col(c) - F.coalesce(f"_{n}_{c}", F.lit(0))).alias(f"_{n}_{c}") for n in windows for c in SUMS]
-    return edges.select("player_id", "as_of_date", "season", *apart)
+    between = [(F.col(c) - F.coalesce(f"_{n}_{c}", F.lit(0))).alias(f"_{n}_{c}") for n in windows for c in SUMS]
+    return edges.select("player_id", "as_of_date", apart(F.col("season")).alias("season"), *between)
 
 
 def windowed(days: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
@@ -125,7 +125,7 @@ def _values(of: Callable[[str], Column]) -> dict[str, Column]:
 
 def rates(sums: DataFrame, constants: DataFrame) -> DataFrame:
     """The rolling table's columns: counts that are 0 become null, rates are null without a base."""
-    value = _values(F.col)
+    value = {"window_days": apart(F.col("window_days"))} | _values(F.col)
     return with_constants(sums, constants).select(*(value.get(n, F.col(n)).alias(n) for n in ROLLING))
 
 

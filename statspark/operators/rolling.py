@@ -64,13 +64,13 @@ def _edges(days: DataFrame, windows: tuple[int, ...], followed: bool = False) ->
     if followed:
         edges = edges.where(F.col("_after") == F.date_add("as_of_date", 1))
     between = [(F.col(c) - F.coalesce(f"_{n}_{c}", F.lit(0))).alias(f"_{n}_{c}") for n in windows for c in SUMS]
-    return edges.select("player_id", "as_of_date", apart(F.col("season")).alias("season"), *between)
+    return edges.select("player_id", "as_of_date", "season", *between)
 
 
 def windowed(days: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
     """Sums of all windows for every player and date with a row in ``days`` (see ``daily``)."""
     sums = lambda n: F.struct(F.lit(n).cast("smallint").alias("window_days"), *(F.col(f"_{n}_{c}").alias(c) for c in SUMS))
-    edges = _edges(days, windows)
+    edges = _edges(days, windows).withColumn("season", apart(F.col("season")))
     return active(edges.select("player_id", "as_of_date", "season", F.inline(F.array(*map(sums, windows)))))
 
 

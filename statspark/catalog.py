@@ -479,8 +479,9 @@ _ROSTER = f"""select distinct s.game_pk, f.player_id from game s join raw f on f
 
 @query(f"{_BASE} {_ROSTER}")
 def roster_for_schedule(spark, sf_dir):
-    games = fx.games(spark, sf_dir)
-    return features.roster(games.where(F.col("game_date") == DAY), fx.raw_fact(spark, sf_dir), games, F.lit(AS_OF).cast("date"))
+    games, as_of = fx.games(spark, sf_dir), F.lit(AS_OF).cast("date")
+    fact = fx.raw_fact(spark, sf_dir, of=features.recent_games(games, as_of))
+    return features.roster(games.where(F.col("game_date") == DAY), fact, games, as_of)
 
 
 @query(f"{_ROLL}, wide as ({_wide_sql(BATTER)}) select {', '.join(f'cast(coalesce(median({c}), 0) as double) as {c}' for c in feature_names(BATTER))} from wide")

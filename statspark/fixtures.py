@@ -93,11 +93,18 @@ _LINES = "lineitem join supplier on l_suppkey = s_suppkey"
 _CODE, _SHORT = "cast(1 + pk % 10 as string) as position_code", "transform(array(1 + pk % 10), x -> cast(x as string))[0] as position_code"
 
 
-def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Narrow lines are shuffled by their game, so that sums by game and player, and what else goes by game, need no other shuffle."""
+def raw_fact(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
+    """Narrow lines are shuffled by their game, so that sums by game and player, and what else goes by game, need no other shuffle.
+
+    With ``of`` (game_pk) only lines of these games are shuffled and summed; the hint keeps Spark from moving such a join below it.
+    """
     views(spark, sf_dir)
     lines = "l_orderkey, l_suppkey, s_nationkey, l_quantity, l_linenumber, l_partkey, l_returnflag"
-    return spark.sql(FACT_RAW.replace(_LINES, f"(select /*+ repartition(l_orderkey) */ {lines} from {_LINES})").replace(_CODE, _SHORT))
+    source = _LINES
+    if of is not None:
+        of.select("game_pk").createOrReplaceTempView("wanted_game")
+        source = f"{_LINES} left semi join wanted_game on l_orderkey = game_pk"
+    return spark.sql(FACT_RAW.replace(_LINES, f"(select /*+ repartition(l_orderkey) */ {lines} from {source})").replace(_CODE, _SHORT))
 
 
 def constants(spark: SparkSession) -> DataFrame:

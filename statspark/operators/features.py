@@ -89,15 +89,24 @@ def training_range(games: DataFrame, fact: DataFrame, today: str, days: int = 73
     return played.agg(F.min("game_date").alias("min_date"), F.max("game_date").alias("max_date"))
 
 
+def recent_games(games: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """Games in the closed range of ``days`` before a date."""
+    return games.where(F.col("game_date").between(F.date_sub(as_of, days), as_of))
+
+
 def roster(schedule: DataFrame, fact: DataFrame, games: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
     """game_pk, player_id: players of both teams with a game in the closed range of ``days`` before a date.
 
-    Teams are exploded, so the join is by equality and not by a choice of two columns.
+    Teams are exploded, so the join is by equality and not by a choice of two columns. Games and players carry the sets of their
+    teams, and a pair is made by the first team that both have: pairs, of which there may be far more than rows, need no distinct.
     """
     teams = schedule.select("game_pk", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
-    recent = games.where(F.col("game_date").between(F.date_sub(as_of, days), as_of)).select(F.col("game_pk").alias("_game"))
-    seen = fact.join(recent, F.col("game_pk") == F.col("_game"), "left_semi").select("team_id", "player_id").distinct()
-    return teams.join(seen, "team_id").select("game_pk", "player_id").distinct()
+    teams = teams.groupBy("game_pk").agg(F.collect_set("team_id").alias("teams")).select("*", F.explode("teams").alias("team_id"))
+    recent = recent_games(games, as_of, days).select(F.col("game_pk").alias("_game"))
+    seen = fact.join(recent, F.col("game_pk") == F.col("_game"), "left_semi")
+    seen = seen.groupBy("player_id").agg(F.collect_set("team_id").alias("played")).select("*", F.explode("played").alias("team_id"))
+    first = F.filter("teams", lambda t: F.array_contains("played", t))[0]
+    return teams.join(seen, "team_id").where(first == F.col("team_id")).select("game_pk", "player_id")
 
 
 def model_columns(rows: DataFrame, columns: list[str]) -> DataFrame:

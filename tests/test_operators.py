@@ -136,6 +136,24 @@ def test_roster_is_eight_days(spark):
     assert features.roster(schedule.limit(0), fact, games, F.lit("2024-01-01").cast("date")).count() == 0
 
 
+def test_roster_pairs_are_distinct_without_a_distinct(spark):
+    """Players of both teams, games listed twice and teams against themselves make one pair each; no aggregate runs over pairs."""
+    games = spark.createDataFrame([(1, "2024-01-01")], "game_pk long, day string").select("game_pk", F.col("day").cast("date").alias("game_date"))
+    fact = spark.createDataFrame([(1, 5, 10), (1, 5, 11), (1, 6, 11), (1, 7, None), (2, 8, 10)], "game_pk long, player_id long, team_id int")
+    schedule = spark.createDataFrame([(3, 10, 11), (3, 10, 11), (3, 11, 12), (4, 11, 11), (5, None, 10)], "game_pk long, home_team_id int, away_team_id int")
+    found = features.roster(schedule, fact, games, F.lit("2024-01-01").cast("date"))
+    assert rows(found) == [(3, 5), (3, 6), (4, 5), (4, 6), (5, 5)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("Join Inner")]
+
+
+def test_roster_sums_only_recent_games(spark, sf_dir):
+    """The join with the recent games stands below the shuffle by game."""
+    plan = catalog.roster_for_schedule(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan[plan.index("RepartitionByExpression") :]
+
+
+
 def closed_form(x, y, alpha=1.0):
     x = x.copy()
     for j in range(x.shape[1]):

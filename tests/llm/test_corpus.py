@@ -497,6 +497,37 @@ def test_a_state_is_known_by_its_counts():
     assert told[1] % lm_score.STEPS + told[2] % lm_score.STEPS == lm_score.STEPS and told[5] % lm_score.STEPS == lm_score.STEPS // 2
 
 
+@pytest.mark.parametrize("held", [22, 13])
+def test_what_states_say_is_learned_from_all_training_texts(spark, monkeypatch, held):
+    """Codes and maps against all training decisions, each met without itself, of 400 short texts and one beyond 20,000 characters."""
+    monkeypatch.setattr(lm_score, "LEAST_BITS", 14)
+    monkeypatch.setattr(lm_score, "HELD_BITS", held)
+    rng = np.random.default_rng(4)
+    made = {i: "".join(rng.choice(list("abc \n"), 12)) for i in range(400)} | {400: "ab " * 8000, 401: "", 402: None}
+    model = lm_score.train(spark.createDataFrame(list(made.items()), "doc_id long, text string"))
+    assert isinstance(model.table, np.ndarray) == (held == 22)
+    texts = [(t or "").encode() for i, t in made.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    pairs = np.zeros((257, 257), np.int64)
+    for t in texts:
+        for a, b in itertools.pairwise([256, *t, 256]):
+            pairs[a, b] += 1
+    code = lm_score.Code.of(pairs)
+    assert all(np.array_equal(getattr(code, x), getattr(model.code, x)) for x in ("start", "size", "node", "bit"))
+    assert all(math.isclose(sum(2.0 ** -int(s) for s in row), 1.0) for row in code.size.reshape(257, 257))
+    seen = [[] for _ in range(lm_score.K)]
+    for t in texts:
+        symbols, _, hashes = lm_score.contexts([t])
+        of, at = lm_score.decisions(code, symbols)
+        for k, h in enumerate(hashes):
+            seen[k] += zip(lm_score.slots(h, of, code.node[at], 14).tolist(), code.bit[at].tolist(), strict=True)
+    met = np.zeros((lm_score.K, 256, 2), np.int64)
+    for k, all_ in enumerate(seen):
+        for (slot, bit), n in (counts := collections.Counter(all_)).items():
+            others = np.array([counts[slot, 0] - (bit == 0), counts[slot, 1] - (bit == 1)])
+            met[k, int(lm_score.states(others[None])[0]), bit] += n
+    assert np.array_equal(model.mixer.maps, lm_score.Mixer.of(met).maps)
+
+
 def segmentations(word, v):
     if not word:
         return [((), 0.0)]

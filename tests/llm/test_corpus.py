@@ -528,6 +528,15 @@ def test_what_states_say_is_learned_from_all_training_texts(spark, monkeypatch,
     assert np.array_equal(model.mixer.maps, lm_score.Mixer.of(met).maps)
 
 
+def test_short_signatures_lose_no_link(spark, docs, monkeypatch):
+    """Signatures are shuffled with their upper bits only; with so few that most sets meet by chance the components are the same."""
+    rows = ngram_join.in_batches(docs.select("doc_id", "text"), ngram_join._sets("doc_id", "text", 5, "signatures"), "sig long, s long")
+    assert rows.where("sig < 0 or sig >= (1L << 48)").isEmpty() and not rows.isEmpty()
+    want = sorted(map(tuple, ngram_join.jaccard_components(docs).collect()))
+    monkeypatch.setattr(ngram_join, "SHUFFLED_BITS", 6)
+    assert sorted(map(tuple, ngram_join.jaccard_components(docs).collect())) == want
+
+
 def segmentations(word, v):
     if not word:
         return [((), 0.0)]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import free_name, materialised, without_rows, written
+from .shared import bounded, free_name, materialised, named_rows, shuffles_freed, without_rows, written
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: Chunk sizes in bytes.
@@ -81,8 +81,9 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     an id come last. Rows that repeat an id share its decision. An empty table gives no rows; columns other than key
     and text are not read, so their names cannot clash.
     """
-    strong = not unverified(docs, text).isEmpty()
-    each = materialised(recipes(docs, key, text, strong))
+    with shuffles_freed(docs.sparkSession):
+        strong = not unverified(docs, text).isEmpty()
+        each = materialised(recipes(docs, key, text, strong))
     best = F.min(F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id"))
     groups = each.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
     return each.join(groups, "recipe").select(
@@ -98,13 +99,29 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """One row of each group of equal texts, with all its columns: the one with the most characters of original text, then
     the smallest id (rows without an id come last), then the first.
 
-    Rows are decided one by one, also where they repeat an id; for that they are written once with a number.
+    Rows are decided one by one, also where they repeat an id. Texts are not written again, but those of rows that repeat
+    both id and text and stay.
     """
-    number = free_name(docs)
-    rows = written(docs.withColumn(number, F.monotonically_increasing_id()))
+    with shuffles_freed(docs.sparkSession):
+        return _without_copies(docs, key, text)
+
+
+def _without_copies(docs: DataFrame, key: str, text: str) -> DataFrame:
+    rows, number = named_rows(docs, key, text)
     strong = not unverified(rows, text).isEmpty()
-    each = materialised(recipes(rows, key, text, strong, F.col(number).alias("row")))
-    best = F.min(F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    groups = each.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    gone = each.join(groups, "recipe").where("row <> best.row").select("row")
-    return without_rows(rows, gone, number).select(*(F.col(f"`{c}`") for c in docs.columns))
+    each = recipes(rows, key, text, strong, F.col(number).alias("row"))
+    each = materialised(each.drop("text_sha256").withColumn("place", F.monotonically_increasing_id()))
+    order = F.struct((-F.col("chars")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id", "place", "row")
+    groups = each.groupBy("recipe").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = materialised(each.join(groups, "recipe").select("row", F.col("best.row").alias("stays")))
+    kept = without_rows(rows, groups.where("row <> stays").select("row"), number)
+    again = materialised(groups.where("row = stays").groupBy("row").count().where("count > 1").select("row"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if again.isEmpty():
+        return kept.select(*columns)
+    place = free_name(rows, "_place")
+    same = kept.join(bounded(again.withColumnRenamed("row", "_again")), F.col(number) == F.col("_again"), "left_semi")
+    same = written(same.withColumn(place, F.monotonically_increasing_id()))
+    first = same.groupBy(F.col(number).alias("row")).agg(F.min(place).alias("place")).select("place")
+    once = same.join(first, F.col(place) == F.col("place"), "left_semi")
+    return without_rows(kept, again, number).select(*columns).unionByName(once.select(*columns))

@@ -24,7 +24,8 @@ from .components import connected
 from .shared import bounded, in_batches, materialised, named_rows, shuffles_freed, without_rows, written
 
 WORDS, PERCENT = 5, 80
-#: Least number of a set's parity bits; larger sets have four an element and more.
+#: Least number of a set's parity bits; larger sets have two to four an element. They are shuffled with every member of
+#: every bucket. With fewer bits more pairs are proposed and verified in vain; none is lost.
 LEAST_BITS = 512
 #: Members of a bucket that are compared at once; larger buckets are cut into so large parts, every two of which meet.
 TILE = 2048
@@ -117,7 +118,7 @@ def parities(h: np.ndarray) -> np.ndarray:
     Each element in which two sets differ changes one bit, so sets differ in at least as many elements as bits. The
     number of bits is a power of two that follows the size; ``folded`` brings more bits to fewer.
     """
-    width = max(LEAST_BITS.bit_length() - 1, int(4 * len(h) - 1).bit_length())
+    width = max(LEAST_BITS.bit_length() - 1, int(2 * len(h) - 1).bit_length())
     return np.packbits(np.bincount((h >> np.uint64(64 - width)).astype(np.int64), minlength=1 << width).astype(np.uint8) & 1)
 
 
@@ -358,7 +359,8 @@ def _components(docs: DataFrame, key: str, text: str, words: int, percent: int,
     links, roots, asked, more = None, None, None, 0
     while True:
         named = known.withColumn("root", F.col("s")) if roots is None else _rooted(known, roots)
-        blocks = cells.join(named, "s").repartition("bucket", "tile").sortWithinPartitions("bucket", "tile")
+        # Sorted by set, so that a partition's rows of one set stand together and their bits compress.
+        blocks = cells.join(named.hint("merge"), "s").repartition("bucket", "tile").sortWithinPartitions("bucket", "tile")
         blocks = blocks.select("bucket", "tile", "s", "root", "n", "bits")
         found = written(in_batches(blocks, _proposals(percent, more), "a long, b long, bucket long, tile int"))
         pairs = found.where("a is not null").select("a", "b").distinct()

@@ -537,6 +537,27 @@ def test_short_signatures_lose_no_link(spark, docs, monkeypatch):
     assert sorted(map(tuple, ngram_join.jaccard_components(docs).collect())) == want
 
 
+def test_bits_of_sets_cost_little_disk():
+    """Every member of every bucket is shuffled with its bits: half a byte for each shingle at most, beyond 64 bytes."""
+    rng = np.random.default_rng(4)
+    for size in (3, 200, 600, 1025, 5000):
+        h = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        assert len(ngram_join.parities(h)) <= max(64, size / 2)
+
+
+def test_copies_go_without_texts_being_written(spark, tmp_path, monkeypatch):
+    """Rows that repeat id and text are numbered, no others; one of them stays."""
+    rows = [(1, "a b", "x"), (2, "ab", "y"), (3, "c", "z"), (3, "c", "z"), (3, "c d", "z"), (None, "c", "w"), (None, None, "v"), (None, None, "v"), (4, "e", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    held, written = [], exact_dedup.written
+    monkeypatch.setattr(exact_dedup, "written", lambda df: held.append(df.count()) or written(df))
+    got = sorted(map(tuple, exact_dedup.drop_copies(docs).collect()), key=str)
+    assert got == sorted([(1, "a b", "x"), (3, "c", "z"), (3, "c d", "z"), (None, None, "v"), (4, "e", "u")], key=str)
+    assert held == [4]
+    held.clear()
+    assert exact_dedup.drop_copies(docs.where("source in ('x', 'y', 'u')")).count() == 2 and held == []
+
+
 def segmentations(word, v):
     if not word:
         return [((), 0.0)]

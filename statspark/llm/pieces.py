@@ -140,15 +140,18 @@ class Lattices:
         # Most strings are no pieces; a table of hash prefixes tells so at once.
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[(np.concatenate([h for h, _ in self.known.values()]) * _STEP) >> np.uint64(42)] = True
+        # What is read together stands together in memory.
+        self.words = _Store(base=np.int64, end=np.int64)
+        self.places = _Store(first=np.int64, mass=np.float64)  # place p at p; its edges end where the next one's begin
+        self.edges = _Store(bound=np.float64, log=np.float64, other=np.float64, piece=np.int32, length=np.int32)
         self.clear()
 
     def clear(self) -> None:
+        """Forget all words; the arrays stay, so that they need not grow again."""
         self.of = _Rows()
         self.last = 0
-        # What is read together stands together in memory.
-        self.words = _Store(base=np.int64, end=np.int64)
-        self.places = _Store(first=np.int64, mass=np.float64)  # place p at p; its edges end where the next one's begin
-        self.edges = _Store(bound=np.float64, log=np.float64, other=np.float64, piece=np.int32, length=np.int32)
+        for store in (self.words, self.places, self.edges):
+            store.n = 0
         self.places.add(first=np.zeros(2, np.int64), mass=np.zeros(2))
 
     def build(self) -> None:
@@ -162,15 +165,16 @@ class Lattices:
         j = np.arange(total) - np.repeat(ends - n, n) + 1  # place in the word
         order = np.argsort(j.astype(np.uint16) if n.max() < 1 << 16 else j, kind="stable")
         borders = np.concatenate(([0], np.cumsum(np.bincount(j)[1:])))
-        h, found = np.zeros(total, np.uint64), []
+        every, found = np.zeros(total, np.uint64), []
         for size in range(1, min(longest, len(borders) - 1) + 1):
-            h[size - 1 :] += codes[: total - size + 1] * _POWERS[size - 1]
-            at = order[borders[size - 1] :]
+            begin = borders[size - 1]  # places that so long a string can end at; fewer with each size
+            at = order[begin:]
+            h = every[begin:]
+            h += codes.take(at - (size - 1)) * _POWERS[size - 1]
             if size in self.known:
                 hashes, numbers = self.known[size]
-                value = h[at]
-                some = np.flatnonzero(self.maybe[(value * _STEP) >> np.uint64(42)])
-                at, value = at[some], value[some]
+                some = np.flatnonzero(self.maybe.take(((h * _STEP) >> np.uint64(42)).view(np.int64)))
+                at, value = at.take(some), h.take(some)
                 i = np.minimum(np.searchsorted(hashes, value), len(hashes) - 1)
                 hit = hashes[i] == value
                 found.append((size, at[hit], numbers[i[hit]], self.v.log_prob[numbers[i[hit]]]))
@@ -264,12 +268,12 @@ class Lattices:
 
     def _shares(self, at: int, base: int) -> dict[int, float]:
         """The edges that end at a place, and their probabilities."""
-        edges, mass, first = self.edges.held, self.places["mass"], self.places["first"]
-        shares = {}
-        for e in range(int(first[at]), int(first[at + 1])):
-            before = at - int(edges[e]["length"])
-            shares[e] = math.exp(edges[e]["log"] + (mass[before] if before > base else 0.0) - mass[at])
-        return shares
+        mass, first = self.places["mass"], self.places["first"]
+        low, high = int(first[at]), int(first[at + 1])
+        logs, lengths = self.edges["log"][low:high].tolist(), self.edges["length"][low:high].tolist()
+        before = [float(mass[at - n]) if at - n > base else 0.0 for n in lengths]
+        here = float(mass[at])
+        return {low + i: math.exp(x + y - here) for i, (x, y) in enumerate(zip(logs, before, strict=True))}
 
     def _seen(self, row: int, seen: list[list[int]]) -> list[tuple[dict[int, float], dict[int, int]]]:
         """The tree of segmentations, each from its end on: by edge, the probability of what is not in the tree and the

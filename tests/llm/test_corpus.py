@@ -558,6 +558,19 @@ def test_copies_go_without_texts_being_written(spark, tmp_path, monkeypatch):
     assert exact_dedup.drop_copies(docs.where("source in ('x', 'y', 'u')")).count() == 2 and held == []
 
 
+def test_lattices_keep_their_arrays(texts):
+    """Forgetting the words frees no arrays, which would have to grow again; what is built then is what a new store builds."""
+    v = pieces.vocabulary()
+    lattices = pieces.Lattices(v)
+    rows = [(k, t) for k, t in texts.items() if t][:40]
+    want = [[(*s[:5], s[5].tolist()) for s in one] for one in pieces.encode(rows, lattices)]
+    held = [store.held for store in (lattices.words, lattices.places, lattices.edges)]
+    lattices.clear()
+    assert lattices.last == 0 and not lattices.of
+    assert [[(*s[:5], s[5].tolist()) for s in one] for one in pieces.encode(rows, lattices)] == want
+    assert all(a is b.held for a, b in zip(held, (lattices.words, lattices.places, lattices.edges), strict=True))
+
+
 def segmentations(word, v):
     if not word:
         return [((), 0.0)]

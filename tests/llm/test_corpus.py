@@ -571,6 +571,30 @@ def test_lattices_keep_their_arrays(texts):
     assert all(a is b.held for a, b in zip(held, (lattices.words, lattices.places, lattices.edges), strict=True))
 
 
+def test_frequent_words_are_found_without_a_sort(spark):
+    counts = spark.createDataFrame([(f"w{i}", i) for i in range(1, 200)], "word string, n long")
+    for most in (0, 3, 50, 500):
+        top = lm_score.frequent_words(counts, most)
+        n = sorted(r.n for r in top.collect())
+        assert len(n) <= most and n == list(range(200 - len(n), 200)) and len(n) >= min(most, 199) * 0.5 - 2
+        assert "Sort" not in top._jdf.queryExecution().toString()
+
+
+def test_equal_texts_score_equal_beside_others():
+    """Long rounds are multiplied one by one, whatever texts go with them."""
+    rng = random.Random(3)
+    raw = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(n)).encode() for n in (900, 20, 3000, 900)]
+    pairs = np.zeros(lm_score.SYMBOLS**2, np.int64)
+    pairs += np.bincount(lm_score.paired(lm_score.ended(raw)[1]), minlength=len(pairs))
+    code = lm_score.Code.of(pairs.reshape(lm_score.SYMBOLS, lm_score.SYMBOLS))
+    counts = np.zeros((lm_score.K, 2 << 14), np.uint32)
+    assert lm_score.tallied(code, 14, raw, counts) == counts[0].sum()
+    table = np.stack([lm_score.states(c.reshape(-1, 2)) for c in counts])
+    model = lm_score.Model(code, 14, table, lm_score.Mixer.plain())
+    alone = [float(model.score([t])[0]) for t in raw]
+    assert model.score(raw).tolist() == alone and model.score(raw[::-1]).tolist() == alone[::-1]
+
+
 def segmentations(word, v):
     if not word:
         return [((), 0.0)]

@@ -580,6 +580,42 @@ def test_frequent_words_are_found_without_a_sort(spark):
         assert "Sort" not in top._jdf.queryExecution().toString()
 
 
+def test_passages_of_other_rows_are_known(spark):
+    """Scores against passages counted in Python, each row without its own; what occurs twice is scored apart."""
+    rng = random.Random(9)
+    text = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(120))
+    made = [(i, text()) for i in range(60)]
+    made += [(100 + i, made[i][1]) for i in range(12)] + [(200, text() + made[0][1]), (201, text() * 3), (202, ""), (203, None), (204, "")]
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    model, trained = lm_score.train(docs), {i: zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in made}
+    told = {}
+    for i, t in made:
+        passages, logs = model.passages([(t or "").encode()])
+        own = passages.own.tolist()
+        told[i] = (list(itertools.pairwise([None, *own])), logs.tolist())
+    both = collections.Counter((i, p) for i, (pairs, _) in told.items() for p in pairs)
+    before = collections.Counter((i, a) for i, (pairs, _) in told.items() for a, _ in pairs)
+
+    def elsewhere(counts, i, key):
+        return sum(counts[j, key] for j, _ in made if j != i and trained[j])
+
+    cases = [(i, elsewhere(both, i, p), elsewhere(before, i, p[0]), p[0] is None, log) for i, (pairs, logs) in told.items() for p, log in zip(pairs, logs, strict=True)]
+    kind = lambda n, begins: -1 if begins else int(math.log2(n))
+    met = collections.defaultdict(list)
+    for i, b, n, begins, _ in cases:
+        if n and trained[i]:
+            met[kind(n, begins)].append(b > 0)
+    want = collections.Counter()
+    for i, b, n, begins, log in cases:
+        w = (sum(met[kind(n, begins)]) + 0.5) / (len(met[kind(n, begins)]) + 1) if n else 0
+        want[i] += math.log10(w * b / max(n, 1) + (1 - w) * 10**log) if b or log > -300 else math.log10(1 - w) + log
+    rows = {r.doc_id: r for r in lm_score.scores(docs, model=model).collect()}
+    assert all(math.isclose(r.score, want[i], rel_tol=1e-6, abs_tol=1e-6) for i, r in rows.items())
+    apart = [i for i in range(12) if trained[i] and trained[100 + i]]
+    once = min(rows[i].bits_per_byte for i in range(12, 60))
+    assert len(apart) > 3 and all(max(rows[i].bits_per_byte, rows[100 + i].bits_per_byte) < once / 2 for i in apart)
+
+
 def test_equal_texts_score_equal_beside_others():
     """Long rounds are multiplied one by one, whatever texts go with them."""
     rng = random.Random(3)

@@ -82,6 +82,27 @@ def pitcher_training(fact: DataFrame, games: DataFrame, rolling: DataFrame, firs
     return _training(fact, games, rolling, first, last, "pit_fip", "pit_innings_pitched", PITCHER, latest)
 
 
+def training_of_both(fact: DataFrame, games: DataFrame, rolling: DataFrame, first: str, last: str) -> DataFrame:
+    """player_id, game_date, label_batter, label_pitcher and the features of both models of exactly the day before.
+
+    The labels are those of ``batter_training`` and ``pitcher_training``, null in the rows that the one or the other lacks:
+    what both need is put side by side once, in one shuffle.
+    """
+    day = lambda x: F.lit(x).cast("date")
+    counts = lambda label, activity: F.when(F.coalesce(F.col(activity), F.lit(0)) > 0, F.col(label))
+    played = games_of(fact, games.where(F.col("game_date").between(day(first), day(last))))
+    targets = played.select(
+        "player_id",
+        "game_date",
+        F.date_sub("game_date", 1).alias("as_of_date"),
+        counts("bat_woba", "bat_plate_appearances").alias("label_batter"),
+        counts("pit_fip", "pit_innings_pitched").alias("label_pitcher"),
+    ).where("label_batter is not null or label_pitcher is not null")
+    before = F.col("as_of_date").between(F.date_sub(day(first), 1), F.date_sub(day(last), 1))
+    found = wide(rolling.where(before), list(dict.fromkeys([*BATTER, *PITCHER])))
+    return targets.join(found, ["player_id", "as_of_date"]).drop("as_of_date")
+
+
 def training_range(games: DataFrame, fact: DataFrame, today: str, days: int = 730) -> DataFrame:
     """One row: first and last game date with facts since ``days`` before today; nulls if there are none."""
     since = games.where(F.col("game_date") >= F.date_sub(F.lit(today).cast("date"), days))

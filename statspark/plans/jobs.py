@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -155,7 +156,7 @@ def refresh_training(spark: SparkSession, root: str) -> None:
     days = sorted(r["day"] for r in spark.read.parquet(f"{root}/{PENDING}").distinct().collect())
     months = {m for d in days for m in tables.months(d, d)}
     with tables.staging(spark) as stage:
-        for name, sums in _training_sums(spark, root, days).items():
+        for name, sums in _training_sums(spark, root, stage, days).items():
             tables.merge(spark, root, name, stage(sums), lambda old, new: upsert.replace_dates(old, new, days, "day"), months)
     tables.remove(spark, f"{root}/{PENDING}")
 
@@ -163,8 +164,14 @@ def refresh_training(spark: SparkSession, root: str) -> None:
 MODELS = {"batter": (features.batter_training, BATTER), "pitcher": (features.pitcher_training, PITCHER)}
 
 
-def _training_sums(spark: SparkSession, root: str, days: list[dt.date] | None = None) -> dict[str, DataFrame]:
-    """Gram matrices and value counts of both models' training rows, by day, of some days or of all."""
+def _training_sums(
+    spark: SparkSession, root: str, stage: Callable[[DataFrame], DataFrame], days: list[dt.date] | None = None
+) -> dict[str, DataFrame]:
+    """Gram matrices and value counts of both models' training rows, by day, of some days or of all.
+
+    The rows are staged once, the rows of a day together: a matrix is larger than many rows, and tasks that met all days
+    would each shuffle a matrix for every day.
+    """
     if days is None:
         first, last, own, before = dt.date(1, 1, 2), dt.date(9999, 12, 31), None, None
     else:
@@ -173,10 +180,12 @@ def _training_sums(spark: SparkSession, root: str, days: list[dt.date] | None =
         before = sorted({m for d in days for m in tables.months(d - dt.timedelta(days=1), d)})
     fact, games = (tables.read(spark, root, t, own) for t in ("fact_game_state", "dim_game"))
     stats = tables.read(spark, root, "player_rolling_stats", before)
+    every = features.training_of_both(fact, games, stats, str(first), str(last))
+    every = every if days is None else every.where(F.col("game_date").isin(days))
+    every = stage(every.repartition("game_date").sortWithinPartitions("game_date"))
     products, values = [], []
-    for model, (build, columns) in MODELS.items():
-        rows = build(fact, games, stats, str(first), str(last))
-        rows = rows if days is None else rows.where(F.col("game_date").isin(days))
+    for model, (_, columns) in MODELS.items():
+        rows = every.withColumn("label", F.col(f"label_{model}")).where("label is not null")
         products.append(learning.grams(rows, feature_names(columns)).withColumn("model", F.lit(model)))
         counts = learning.value_counts(rows, feature_names(columns), "game_date")
         values.append(counts.withColumnRenamed("game_date", "day").withColumn("model", F.lit(model)))
@@ -256,8 +265,9 @@ def run_rolling_backfill(spark: SparkSession, root: str, constants: DataFrame, t
     days = tables.write(spark, root, "player_daily", rolling.daily(fact, games))
     stats = tables.write(spark, root, "player_rolling_stats", rolling.rates(rolling.windowed(days), constants))
     if training:
-        for name, sums in _training_sums(spark, root).items():
-            tables.write(spark, root, name, sums)
+        with tables.staging(spark) as stage:
+            for name, sums in _training_sums(spark, root, stage).items():
+                tables.write(spark, root, name, sums)
         tables.remove(spark, f"{root}/{PENDING}")
     return stats
 

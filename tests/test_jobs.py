@@ -10,8 +10,9 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from statspark import fixtures as fx
-from statspark.operators import quality
+from statspark.operators import features, learning, quality, transform
 from statspark.plans import jobs
+from statspark.schemas import feature_names
 from statspark.sources import tables
 
 TABLES = ["dim_team", "dim_player", "dim_game", "game_months", "fact_game_state", "player_daily", "player_rolling_stats", "training_products", "training_values"]
@@ -190,3 +191,38 @@ def test_stream_goes_on_where_it_broke_off(spark, tmp_path, monkeypatch):
     (tmp_path / "check" / "commits" / ".0.crc").unlink(missing_ok=True)
     run().awaitTermination()
     assert len(loads) == n and contents(spark, root) == before
+
+
+@pytest.fixture
+def backfilled(spark, sf_dir, tmp_path):
+    """A folder with games and facts to fill up from."""
+    root, games, constants = str(tmp_path), fx.games(spark, sf_dir), fx.constants(spark)
+    tables.write(spark, root, "dim_game", games)
+    tables.write(spark, root, "fact_game_state", jobs.placed(transform.enrich(fx.raw_fact(spark, sf_dir), games, constants), games))
+    return root, constants
+
+
+def test_a_day_is_added_up_in_one_task(spark, backfilled, monkeypatch):
+    """A matrix is larger than the rows of many tasks, so tasks shuffle one for each day, and not one for each day that each met."""
+    root, constants = backfilled
+    added, made = learning._added, []
+
+    def seen(parts, columns, *by):
+        made.append((parts.count(), parts.select("day").distinct().count() * (2 * len(columns) + 2)))
+        return added(parts, columns, *by)
+
+    monkeypatch.setattr(learning, "_added", seen)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        jobs.run_rolling_backfill(spark, root, constants)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(made) == 2 and all(0 < n == least for n, least in made)
+    monkeypatch.undo()
+    fact, games, stats = (tables.read(spark, root, t) for t in ("fact_game_state", "dim_game", "player_rolling_stats"))
+    for model, (build, columns) in jobs.MODELS.items():
+        names = ["player_id", "game_date", "label", *feature_names(columns)]
+        span = (fact, games, stats, "1990-01-01", "2010-01-01")
+        both = features.training_of_both(*span).withColumn("label", F.col(f"label_{model}")).where("label is not null")
+        want, got = (sorted(map(repr, df.select(names).collect())) for df in (build(*span), both))
+        assert got == want and got

@@ -97,7 +97,9 @@ def write(spark: SparkSession, root: str, name: str, rows: DataFrame, touched: I
     rows, touched, seen = parted(name, rows), sorted(touched), Observation()
     if touched:
         rows = rows.observe(seen, F.collect_set(PART).alias("parts"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(f"{root}/{name}")
+    out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(PART)
+    with shuffles_freed(spark):
+        out.parquet(f"{root}/{name}")
     for p in sorted({*touched} - {*seen.get["parts"]}) if touched else ():
         remove(spark, f"{root}/{name}/{PART}={p}")
     stored = _stored(spark, root, name)
@@ -128,6 +130,19 @@ def append(root: str, name: str, rows: DataFrame) -> None:
     rows.write.mode("append").parquet(f"{root}/{name}")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of an action go when it has ended and its result is written, and not when the driver's garbage
+    is collected. Only for code that writes what it uses again; an executor that is lost on the way matters as little as ever."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A function that writes rows to the shared folder and gives them back as a table, which goes when the block ends."""
@@ -135,7 +150,8 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
 
     def stage(rows: DataFrame) -> DataFrame:
         made.append(f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}")
-        rows.write.parquet(made[-1])
+        with shuffles_freed(spark):
+            rows.write.option("compression", "zstd").parquet(made[-1])
         return spark.read.schema(rows.schema).parquet(made[-1])
 
     try:

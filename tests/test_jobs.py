@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import re
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from statspark import fixtures as fx
-from statspark.operators import features, learning, quality, transform
+from statspark.operators import features, learning, quality, rolling, transform
 from statspark.plans import jobs
 from statspark.schemas import feature_names
 from statspark.sources import tables
@@ -226,3 +228,19 @@ def test_a_day_is_added_up_in_one_task(spark, backfilled, monkeypatch):
         both = features.training_of_both(*span).withColumn("label", F.col(f"label_{model}")).where("label is not null")
         want, got = (sorted(map(repr, df.select(names).collect())) for df in (build(*span), both))
         assert got == want and got
+
+
+def test_writes_leave_no_shuffle_files(spark, backfilled, tmp_path):
+    """Shuffle files of one step do not wait for the driver's garbage collector while the next one fills the disk."""
+    root, _ = backfilled
+    files = lambda: {str(f) for f in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data")}
+    before = files()
+    days = rolling.daily(*(tables.read(spark, root, t) for t in ("fact_game_state", "dim_game")))
+    stored = tables.write(spark, root, "player_daily", days)
+    for _ in range(50):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert stored.count() > 1000 and any("zstd" in f.name for f in (tmp_path / "player_daily").rglob("*.parquet"))

@@ -197,10 +197,11 @@ def test_stream_goes_on_where_it_broke_off(spark, tmp_path, monkeypatch):
 
 @pytest.fixture
 def backfilled(spark, sf_dir, tmp_path):
-    """A folder with games and facts to fill up from."""
+    """A folder with games and facts to fill up from, eight players for each of the fixtures'."""
     root, games, constants = str(tmp_path), fx.games(spark, sf_dir), fx.constants(spark)
     tables.write(spark, root, "dim_game", games)
-    tables.write(spark, root, "fact_game_state", jobs.placed(transform.enrich(fx.raw_fact(spark, sf_dir), games, constants), games))
+    copies = fx.raw_fact(spark, sf_dir).crossJoin(spark.range(8)).withColumn("player_id", F.col("player_id") + 100 * F.col("id")).drop("id")
+    tables.write(spark, root, "fact_game_state", jobs.placed(transform.enrich(copies, games, constants), games))
     return root, constants
 
 
@@ -214,11 +215,15 @@ def test_a_day_is_added_up_in_one_task(spark, backfilled, monkeypatch):
         return added(parts, columns, *by)
 
     monkeypatch.setattr(learning, "_added", seen)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    large = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in large}
+    for k, v in large.items():
+        spark.conf.set(k, v)
     try:
         jobs.run_rolling_backfill(spark, root, constants)
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for k, v in before.items():
+            spark.conf.set(k, v)
     assert len(made) == 2 and all(0 < n == least for n, least in made)
     monkeypatch.undo()
     fact, games, stats = (tables.read(spark, root, t) for t in ("fact_game_state", "dim_game", "player_rolling_stats"))

@@ -580,6 +580,17 @@ def test_frequent_words_are_found_without_a_sort(spark):
         assert "Sort" not in top._jdf.queryExecution().toString()
 
 
+def test_large_tables_are_held_without_being_asked_for(spark, docs, monkeypatch):
+    """A table that tasks cannot count in arrays is sorted together, and is the same; its texts ask for no slots up to 8 GiB."""
+    monkeypatch.setattr(lm_score, "LEAST_BITS", 14)
+    want = lm_score.train(docs)
+    monkeypatch.setattr(lm_score, "COUNTED_BITS", 13)
+    monkeypatch.setattr(lm_score, "SORTING", 300_000)
+    got = lm_score.train(docs)
+    assert got.bits == want.bits and np.array_equal(got.table, want.table) and np.array_equal(got.mixer.maps, want.mixer.maps)
+    assert lm_score.HELD_BITS >= math.log2((8 << 30) / lm_score.PER_SLOT)
+
+
 def test_passages_of_other_rows_are_known(spark):
     """Scores against passages counted in Python, each row without its own; what occurs twice is scored apart."""
     rng = random.Random(9)
